@@ -1 +1 @@
-"""operators."""
+"""Operators: DataFrame -> DataFrame transforms of the order model."""

@@ -1 +1 @@
-"""plans."""
+"""Plans: the composed monthly chain, counters, staging, registered queries."""

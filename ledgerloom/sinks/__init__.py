@@ -1 +1 @@
-"""sinks."""
+"""Sinks: CSV and table writers."""

@@ -1 +1 @@
-"""streaming."""
+"""Streaming: incremental landing of daily order files."""
