@@ -7,14 +7,16 @@ customers -> report):
 * keep-first, per-order and the refund join all key on ``order_id``; the
   one hash partitioning made for keep-first satisfies the other two, so
   only the (much smaller) refund sums are shuffled to meet it;
-* the customer join keys on ``customer_id``: per-order rows move once;
-  the customer side is already partitioned by its de-duplication. AQE
-  turns it into a broadcast join at run time when the *measured* active
-  customer side is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``,
-  so nothing is broadcast on a guess;
+* the customer join keys on ``customer_id``: per-order rows move once.
+  Customers with very many orders are found by exact counting and
+  spread over several tasks by a salted join (``operators.skew``), so a
+  customer holding a third of all orders does not land in one task. AQE
+  may still turn the join into a broadcast join at run time when the
+  *measured* customer side is small -- nothing is broadcast on a guess;
 * the report groups on (date, city, channel) with partial aggregation
-  before its exchanges; the two exact distinct counts are planned as one
-  Expand + two-level aggregate (no per-group collection of ids).
+  before its exchanges. Exact distinct counts are two-level aggregates
+  (no per-group collection of ids); at line grain the order count is a
+  plain count, leaving one distinct aggregate and no Expand.
 
 All money and quantity sums are exact decimals; doubles appear only in
 the output projections.
@@ -27,6 +29,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.scalar import active_flag, parse_date, safe_number, to_double
 from ledgerloom.operators.dedup import unique_by_key
+from ledgerloom.operators.skew import salted_join
 
 PER_ORDER_KEYS = ["order_id", "customer_id", "channel", "created_at"]
 REPORT_KEYS = ["order_date", "city", "channel"]
@@ -66,10 +69,17 @@ def active_customers(customers: DataFrame) -> DataFrame:
     return customers.where(F.col("is_active")).select("customer_id", "city")
 
 
-def attach_customers(orders: DataFrame, customers: DataFrame) -> DataFrame:
+def attach_customers(orders: DataFrame, customers: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """J1 + P3: left join then keep active == inner join with the active
-    customers (Catalyst would make the same rewrite)."""
-    return orders.join(active_customers(customers), "customer_id", "inner")
+    customers (Catalyst would make the same rewrite).
+
+    ``hot``: customer ids with very many orders (a bounded frame, see
+    ``operators.skew.hot_keys``); their orders are spread over several
+    tasks by a salted join instead of landing in one."""
+    active = active_customers(customers)
+    if hot is None:
+        return orders.join(active, "customer_id", "inner")
+    return salted_join(orders, active, "customer_id", hot, salt_by=["order_id"])
 
 
 def refunds_per_order(refunds: DataFrame, bad_amount: float = 0.0) -> DataFrame:
@@ -100,17 +110,27 @@ def with_order_date(orders: DataFrame) -> DataFrame:
     return orders.withColumn("order_date", parse_date("created_at"))
 
 
-def enrich(per_order_df: DataFrame, customers: DataFrame, refund_sums: DataFrame) -> DataFrame:
+def enrich(
+    per_order_df: DataFrame, customers: DataFrame, refund_sums: DataFrame, hot_customers: DataFrame | None = None
+) -> DataFrame:
     """per-order -> + refunds (order_id, co-partitioned) -> + active
-    customers (customer_id) -> + order_date."""
-    return with_order_date(attach_customers(attach_refunds(per_order_df, refund_sums), customers))
+    customers (customer_id, hot ids salted) -> + order_date."""
+    with_refunds = attach_refunds(per_order_df, refund_sums)
+    return with_order_date(attach_customers(with_refunds, customers, hot_customers))
 
 
-def daily_city_sales(enriched: DataFrame, sort: bool = True) -> DataFrame:
+def daily_city_sales(enriched: DataFrame, sort: bool = True, orders_unique: bool = False) -> DataFrame:
     """A3 + P9 + P10 (+ O1): per (date, city, channel): exact distinct
-    orders and customers, items, gross, refunds, net = gross - refunds."""
+    orders and customers, items, gross, refunds, net = gross - refunds.
+
+    ``orders_unique``: the caller guarantees one row per order_id (true
+    after line-grain keep-first); the distinct order count is then a
+    plain count and only one distinct aggregate remains, which Spark
+    plans as a two-level aggregate without the Expand of multi-distinct
+    aggregation."""
+    orders = F.count("order_id") if orders_unique else F.count_distinct("order_id")
     agg = enriched.groupBy(*REPORT_KEYS).agg(
-        F.count_distinct("order_id").alias("orders_count"),
+        orders.alias("orders_count"),
         F.count_distinct("customer_id").alias("unique_customers"),
         F.sum("items_sold").alias("items_sold"),
         F.sum("gross_revenue_eur").alias("gross_revenue_eur"),

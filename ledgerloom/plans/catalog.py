@@ -46,8 +46,9 @@ def _good_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _kept_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good = _good_lines(spark, sf_dir)
-    return dedup.keep_first(good, "order_id", R.line_order(good))
+    """Keep-first over lines; orders are keyed by order_id, so it runs on
+    the item side before the head join (see report.from_keyed_tables)."""
+    return _table_chain(spark, sf_dir, sort=False).kept
 
 
 def _per_order(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,8 +80,9 @@ def _doc_rows(docs: DataFrame, *extra: str) -> DataFrame:
 
 
 def _table_chain(spark: SparkSession, sf_dir: str, grain: str = "line", sort: bool = True) -> R.SalesFrames:
-    return R.from_lines(
-        T.order_lines(spark, sf_dir),
+    return R.from_keyed_tables(
+        T.order_heads(spark, sf_dir),
+        T.item_rows(spark, sf_dir),
         T.customers_raw(spark, sf_dir),
         T.refunds_raw(spark, sf_dir),
         grain=grain,

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from ledgerloom.operators import dedup, lines as L, sales as S
+from ledgerloom.operators.skew import HOT_ROWS, hot_keys
 
 GRAINS = ("line", "order", "all")
 
@@ -42,6 +43,7 @@ def from_lines(
     null_policy: str = "drop",
     sort: bool = True,
     normalized: bool = False,
+    hot_rows: int | None = HOT_ROWS,
 ) -> SalesFrames:
     """Chain from exploded lines (which still carry ``payment_status``).
 
@@ -56,8 +58,16 @@ def from_lines(
         paid = L.apply_null_policy(L.normalize_items(paid), null_policy)
     good, rejects = L.split_rejects(paid)
     kept = dedup.keep_first(good, "order_id", line_order(good)) if grain == "line" else good
+    return _finish(paid, good, rejects, kept, customers_raw, refunds_raw, grain, sort, good, hot_rows)
+
+
+def _finish(paid, good, rejects, kept, customers_raw, refunds_raw, grain, sort, hot_source, hot_rows) -> SalesFrames:
+    """Shared tail of the chain. ``hot_source`` has at least as many rows
+    per customer as the per-order frame (an upper bound), so counting it
+    finds every hot customer without recomputing per-order."""
     po = S.per_order(kept)
-    enriched = S.enrich(po, S.normalize_customers(customers_raw), S.refunds_per_order(refunds_raw))
+    hot = hot_keys(hot_source, "customer_id", hot_rows) if hot_rows else None
+    enriched = S.enrich(po, S.normalize_customers(customers_raw), S.refunds_per_order(refunds_raw), hot)
     return SalesFrames(
         lines=paid,
         good=good,
@@ -65,11 +75,55 @@ def from_lines(
         kept=kept,
         per_order=po,
         enriched=enriched,
-        report=S.daily_city_sales(enriched, sort=sort),
+        # at line grain keep-first leaves one row per order_id all the way
+        # through per-order and both (key-unique) joins
+        report=S.daily_city_sales(enriched, sort=sort, orders_unique=(grain == "line")),
         orders_clean=S.orders_clean(enriched),
     )
 
 
+def from_keyed_tables(
+    heads: DataFrame,
+    items: DataFrame,
+    customers_raw: DataFrame,
+    refunds_raw: DataFrame,
+    grain: str = "line",
+    null_policy: str = "drop",
+    sort: bool = True,
+    hot_rows: int | None = HOT_ROWS,
+) -> SalesFrames:
+    """Chain from order heads keyed by ``order_id`` plus flat item rows.
+
+    Precondition: ``heads`` has at most one row per order_id (a keyed
+    table such as ``orders``). Then every line of an order carries the
+    same head fields, so the keep-first order (created_at, position,
+    head fields, item fields) reduces to (position, item fields) and
+    keep-first can run on the item side *before* the join: its partial
+    top-1 cuts the item rows to about one per order and map task before
+    the shuffle, and the head join then reuses that order_id
+    partitioning. The paid filter is pushed to the heads, the price
+    split to the items. Results equal ``from_lines(items JOIN heads)``.
+    """
+    if grain not in GRAINS:
+        raise ValueError(f"grain must be one of {GRAINS}")
+    lines = L.apply_null_policy(L.normalize_items(items), null_policy)
+    good_items, reject_items = L.split_rejects(lines)
+    paid_heads = L.paid_only(heads)
+    kept_items = dedup.keep_first(good_items, "order_id", ("item_pos",)) if grain == "line" else good_items
+    return _finish(
+        lines.join(paid_heads, "order_id"),
+        good_items.join(paid_heads, "order_id"),
+        reject_items.join(paid_heads, "order_id"),
+        kept_items.join(paid_heads, "order_id"),
+        customers_raw,
+        refunds_raw,
+        grain,
+        sort,
+        paid_heads,
+        hot_rows,
+    )
+
+
 def first_documents(docs: DataFrame) -> DataFrame:
     """W1 at document grain: first document per order_id (created_at,
     then source file, then content)."""
@@ -85,6 +139,7 @@ def from_documents(
     keep_empty: bool = False,
     null_policy: str = "drop",
     sort: bool = True,
+    hot_rows: int | None = HOT_ROWS,
 ) -> SalesFrames:
     """Chain from nested order documents: P1 on documents (before explode,
     so unpaid documents are never exploded), optional document-grain
@@ -93,4 +148,4 @@ def from_documents(
     if grain == "order":
         paid = first_documents(paid)
     lines = L.item_lines(paid, keep_empty=keep_empty, null_policy=null_policy)
-    return from_lines(lines, customers_raw, refunds_raw, grain=grain, sort=sort, normalized=True)
+    return from_lines(lines, customers_raw, refunds_raw, grain=grain, sort=sort, normalized=True, hot_rows=hot_rows)

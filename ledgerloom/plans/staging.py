@@ -36,8 +36,10 @@ def stage_inputs(spark: SparkSession, sf_dir: str) -> str:
     if path_exists(spark, f"{base}/refunds.csv/_SUCCESS"):
         return base
     docs = T.order_documents(spark, sf_dir).withColumn(DAY_PARTITION, F.to_date("created_at"))
+    # range partitioning keeps each day in few files while a very large
+    # day is still split over several writer tasks (order_id in the range key)
     (
-        docs.repartition(DAY_PARTITION)
+        docs.repartitionByRange(DAY_PARTITION, "order_id")
         .write.mode("overwrite")
         .partitionBy(DAY_PARTITION)
         .json(f"{base}/orders")

@@ -114,3 +114,28 @@ def test_d20_paid_is_exact(spark):
 def test_active_customers_filter(spark):
     c = S.normalize_customers(cust(spark, [("c1", "P", " TRUE"), ("c2", "P", "maybe"), ("c3", "P", None)]))
     assert [r.customer_id for r in S.active_customers(c).collect()] == ["c1"]
+
+
+def test_hot_customer_salted_join_same_result(spark):
+    from ledgerloom.operators.skew import hot_keys, salted_join
+
+    rows = [(f"o{i}", "c1" if i % 3 else "c2", "web", "2025-03-01", "paid", [item("1", str(i))]) for i in range(1, 40)]
+    d = docs(spark, rows)
+    c = cust(spark, [("c1", "Paris", "1"), ("c2", "Lyon", "yes"), ("c3", "Nice", "1")])
+    plain = report(spark, d, c, refunds(spark, []), hot_rows=None)
+    salted = report(spark, d, c, refunds(spark, []), hot_rows=5)  # c1 and c2 are hot
+    assert plain == salted and sum(r[3] for r in plain) == 39
+    facts = spark.createDataFrame([(f"o{i}", "k") for i in range(100)], "order_id string, customer_id string")
+    dim = spark.createDataFrame([("k", "v")], "customer_id string, city string")
+    hot = hot_keys(facts, "customer_id", 10)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = salted_join(facts, dim, "customer_id", hot, salt_by=["order_id"], salts=8)
+        assert joined.count() == 100
+        # the one hot key is spread over several shuffle partitions (sort-merge join)
+        parts = joined.select(F.spark_partition_id().alias("p")).distinct().count()
+        assert parts > 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
