@@ -26,13 +26,15 @@ from ledgerloom.sources.files import DAY_PARTITION
 
 # Fixed values of the staged fixture: day that receives a malformed file.
 BAD_DAY = "1997-03-15"
+# bumped whenever the staged layout changes, so old copies are not reused
+LAYOUT_VERSION = "2"
 BAD_TEXT = '{"order_id": "broken", "items": [ this is not json'
 
 
 def stage_inputs(spark: SparkSession, sf_dir: str) -> str:
     sf_dir = sf_dir.rstrip("/")
     key = fingerprint(spark, *[f"{sf_dir}/{t}.parquet" for t in ("orders", "lineitem", "customer", "nation")])
-    base = work_path(spark, "stage", key)
+    base = work_path(spark, "stage", f"v{LAYOUT_VERSION}-{key}")
     if path_exists(spark, f"{base}/refunds.csv/_SUCCESS"):
         return base
     docs = T.order_documents(spark, sf_dir).withColumn(DAY_PARTITION, F.to_date("created_at"))
