@@ -21,6 +21,19 @@ from pyspark.sql import functions as F
 
 from ledgerloom.schemas import NUM
 
+# Declared schemas of the stand-in tables (only the columns used): the
+# read needs no footer-inference job, and a type change in the files is
+# an error at read time instead of a silent re-typing.
+TABLE_SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz, "
+    "o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "customer": "c_custkey bigint, c_nationkey int, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string",
+}
+
 # Fixed values of the mapping (driver table value -> order-model value).
 STATUS_MAP = {"F": "paid", "O": "pending", "P": "cancelled"}
 # c_mktsegment -> raw is_active text, chosen to exercise the normaliser:
@@ -36,7 +49,8 @@ CREATED_AT_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read.schema(TABLE_SCHEMAS[name]) if name in TABLE_SCHEMAS else spark.read
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _case(c: Column, mapping: dict[str, str]) -> Column:
