@@ -22,7 +22,7 @@ from ledgerloom.operators import sales as S
 from ledgerloom.plans import metrics as M
 from ledgerloom.plans import report as R
 from ledgerloom.plans.month_job import run_month
-from ledgerloom.plans.staging import stage_inputs
+from ledgerloom.plans.staging import stage_daily_files, stage_inputs
 from ledgerloom.schemas import CUSTOMERS_FILE, REFUNDS_FILE, TABLE_DAILY_SALES
 from ledgerloom.session import work_path
 from ledgerloom.sinks import files as K
@@ -107,6 +107,15 @@ def scan_json_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _doc_rows(clean, SRC.DAY_PARTITION)
 
 
+def scan_json_month_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3/S4 in the reference's own layout: one multi-line JSON array per
+    day named orders_YYYY-MM-DD.json in one folder; the month is chosen by
+    file name (glob + day validation) in a single scan."""
+    folder = stage_daily_files(spark, sf_dir)
+    clean, _ = SRC.split_corrupt(SRC.read_orders_month(spark, folder, *MONTH, layout="daily_files"))
+    return _doc_rows(clean, "source_file")
+
+
 def union_evolving(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines written with {qty, unit_price} and lines written with
     {quantity, price}, unioned by name (missing fields are null)."""
@@ -334,6 +343,15 @@ def month_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{out}/tables/{TABLE_DAILY_SALES}")
 
 
+def month_job_daily_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E1 on the reference's own input folder (day files + customers.csv +
+    refunds.csv side by side); returns daily_city_sales read back."""
+    folder = stage_daily_files(spark, sf_dir)
+    out = work_path(spark, "jobs", uuid.uuid4().hex[:12])
+    run_month(spark, folder, out, *MONTH, replace_empty=True)
+    return spark.read.parquet(f"{out}/tables/{TABLE_DAILY_SALES}")
+
+
 def landed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Streaming landing of all staged order files into Parquet
     (availableNow, exactly-once file sink), read back."""
@@ -347,6 +365,7 @@ def builders() -> dict[str, Builder]:
     return {
         "scan_csv_customers": scan_csv_customers,
         "scan_json_month": scan_json_month,
+        "scan_json_month_files": scan_json_month_files,
         "union_evolving": union_evolving,
         "paid_orders": paid_orders,
         "explode_lines": explode_lines,
@@ -372,5 +391,6 @@ def builders() -> dict[str, Builder]:
         "daily_csv_export": daily_csv_export,
         "quality_counters": quality_counters,
         "month_job": month_job,
+        "month_job_daily_files": month_job_daily_files,
         "landed_orders": landed_orders,
     }

@@ -179,10 +179,13 @@ CSV_LINE = (
 
 def statements() -> dict[str, str]:
     line_report = with_ctes(*LINE_CHAIN, FIRST, *ENRICH_CHAIN)
-    return {
+    out = {
         "scan_csv_customers": with_ctes(CUST_RAW) + " SELECT customer_id, city, is_active FROM cust_raw",
         "scan_json_month": with_ctes(HEADS, ITEMS, N_ITEMS)
         + f" SELECT *, TRY_CAST(created_at AS DATE) AS order_day FROM doc_rows WHERE {IN_MONTH}",
+        "scan_json_month_files": with_ctes(HEADS, ITEMS, N_ITEMS)
+        + f" SELECT *, 'orders_' || CAST(TRY_CAST(created_at AS DATE) AS VARCHAR) || '.json' AS source_file"
+        f" FROM doc_rows WHERE {IN_MONTH}",
         "union_evolving": with_ctes(ITEMS)
         + " SELECT order_id, item_pos, item_qty, item_unit_price FROM items WHERE item_qty IS NOT NULL"
         " UNION ALL BY NAME"
@@ -298,3 +301,6 @@ QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY city NULLS LAST, is
         + REPORT_SELECT,
         "landed_orders": with_ctes(HEADS, ITEMS, N_ITEMS) + " SELECT * FROM doc_rows",
     }
+    # E1 gives the same report whichever input layout it reads
+    out["month_job_daily_files"] = out["month_job"]
+    return out

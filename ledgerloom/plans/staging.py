@@ -16,10 +16,11 @@ interrupted staging is rewritten from scratch (all writes overwrite).
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.session import fingerprint, path_exists, work_path
+from ledgerloom.schemas import CUSTOMERS_FILE, ORDERS_FILE_PREFIX, REFUNDS_FILE
+from ledgerloom.session import fingerprint, list_paths, path_exists, rename_path, work_path
 from ledgerloom.sinks.files import write_csv
 from ledgerloom.sources import tables as T
 from ledgerloom.sources.files import DAY_PARTITION
@@ -31,10 +32,14 @@ LAYOUT_VERSION = "2"
 BAD_TEXT = '{"order_id": "broken", "items": [ this is not json'
 
 
+def _stage_base(spark: SparkSession, sf_dir: str) -> str:
+    key = fingerprint(spark, *[f"{sf_dir}/{t}.parquet" for t in ("orders", "lineitem", "customer", "nation")])
+    return work_path(spark, "stage", f"v{LAYOUT_VERSION}-{key}")
+
+
 def stage_inputs(spark: SparkSession, sf_dir: str) -> str:
     sf_dir = sf_dir.rstrip("/")
-    key = fingerprint(spark, *[f"{sf_dir}/{t}.parquet" for t in ("orders", "lineitem", "customer", "nation")])
-    base = work_path(spark, "stage", f"v{LAYOUT_VERSION}-{key}")
+    base = _stage_base(spark, sf_dir)
     if path_exists(spark, f"{base}/refunds.csv/_SUCCESS"):
         return base
     docs = T.order_documents(spark, sf_dir).withColumn(DAY_PARTITION, F.to_date("created_at"))
@@ -53,3 +58,34 @@ def stage_inputs(spark: SparkSession, sf_dir: str) -> str:
     write_csv(T.customers_raw(spark, sf_dir), f"{base}/customers.csv", sep=",")
     write_csv(T.refunds_raw(spark, sf_dir), f"{base}/refunds.csv", sep=",")
     return base
+
+
+def stage_daily_files(spark: SparkSession, sf_dir: str) -> str:
+    """The reference's own input layout in one folder: one multi-line JSON
+    array per day named ``orders_YYYY-MM-DD.json`` plus customers.csv and
+    refunds.csv. Returns the folder.
+
+    Each day file is a single JSON array, so a day has to be written by
+    one task: rows are numbered within their day (sort-based window, not
+    collected in memory) to place the opening and closing brackets, the
+    day directories are written in parallel, and the part files are then
+    renamed to the day names (file-system metadata, one per day)."""
+    sf_dir = sf_dir.rstrip("/")
+    base = _stage_base(spark, sf_dir)
+    folder = f"{base}/daily"
+    if path_exists(spark, f"{folder}/{REFUNDS_FILE}/_SUCCESS"):
+        return folder
+    docs = T.order_documents(spark, sf_dir).withColumn(DAY_PARTITION, F.date_format(F.to_date("created_at"), "yyyy-MM-dd"))
+    w = Window.partitionBy(DAY_PARTITION).orderBy("order_id")
+    whole_day = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rn, n = F.row_number().over(w), F.count(F.lit(1)).over(whole_day)
+    doc = F.to_json(F.struct("order_id", "customer_id", "channel", "created_at", "payment_status", "items"))
+    text = F.concat(F.when(rn == 1, F.lit("[\n")).otherwise(F.lit("")), doc, F.when(rn == n, F.lit("\n]")).otherwise(F.lit(",")))
+    parts = f"{base}/daily_parts"
+    docs.select(DAY_PARTITION, text.alias("value")).write.mode("overwrite").partitionBy(DAY_PARTITION).text(parts)
+    for path in list_paths(spark, f"{parts}/{DAY_PARTITION}=*/part-*"):
+        day = path.rsplit("/", 2)[-2].split("=", 1)[1]
+        rename_path(spark, path, f"{folder}/{ORDERS_FILE_PREFIX}{day}.json")
+    write_csv(T.customers_raw(spark, sf_dir), f"{folder}/{CUSTOMERS_FILE}", sep=",")
+    write_csv(T.refunds_raw(spark, sf_dir), f"{folder}/{REFUNDS_FILE}", sep=",")
+    return folder

@@ -55,3 +55,19 @@ def fingerprint(spark: SparkSession, *paths: str) -> str:
         else:
             h.update(f"{path}|missing".encode())
     return h.hexdigest()[:12]
+
+
+def list_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths matching a glob (file-system metadata only, no data)."""
+    fs, p = _fs_and_path(spark, pattern)
+    found = fs.globStatus(p) or []
+    return [str(st.getPath().toString()) for st in found]
+
+
+def rename_path(spark: SparkSession, src: str, dst: str) -> bool:
+    """Move one file or folder (a metadata operation on the file system)."""
+    jvm = spark.sparkContext._jvm
+    fs, s = _fs_and_path(spark, src)
+    d = jvm.org.apache.hadoop.fs.Path(dst)
+    fs.mkdirs(d.getParent())
+    return bool(fs.rename(s, d))

@@ -21,9 +21,9 @@ def test_flagship_plan_shape(spark):
     assert "EvalPython" not in plan and "ExistingRDD" not in plan
     # keep-first is a partial top-1 before the shuffle and a final one after
     assert "WindowGroupLimit" in plan and "Partial" in plan and "Final" in plan
-    # keep-first, per-order and the refund join share the order_id partitioning:
-    # lines are shuffled on order_id once (refund sums once more for their own aggregate)
-    assert len(re.findall(r"Exchange hashpartitioning\(order_id", plan)) <= 2
+    # keep-first, the head join, per-order and the refund join share one order_id
+    # partitioning: items, heads and refund sums are each shuffled on order_id once
+    assert len(re.findall(r"Exchange hashpartitioning\(order_id", plan)) <= 3
     # the scans read only the needed columns
     schemas = re.findall(r"ReadSchema: (struct<[^>]*>)", plan)
     assert schemas and not any("o_totalprice" in s or "c_name" in s or "c_acctbal" in s for s in schemas)
@@ -35,7 +35,8 @@ def test_per_order_reuses_keep_first_partitioning(spark):
         plan = _plan(catalog.per_order(spark, SF))
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1
+    # items once (keep-first) and heads once (join); per-order adds none
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) <= 2
 
 
 def test_entry_contract(spark):

@@ -42,3 +42,28 @@ def test_union_by_name_fills_missing(spark):
     b = spark.createDataFrame([("o2", 2.0)], "order_id string, quantity double")
     out = SRC.union_by_name(a, b).orderBy("order_id").collect()
     assert [(r.qty, r.quantity) for r in out] == [(1.0, None), (None, 2.0)]
+
+
+def test_streaming_landing_exactly_once(spark, tmp_dir):
+    import json
+    import os
+
+    from ledgerloom.streaming.landing import land_orders
+    from tests.fixtures import DAY1, DAY2
+
+    src = f"{tmp_dir}/src"
+    for day, docs in (("2025-03-01", DAY1), ("2025-03-02", DAY2)):
+        os.makedirs(f"{src}/order_day={day}")
+        with open(f"{src}/order_day={day}/part-0.json", "w") as f:
+            f.write("\n".join(json.dumps(d) for d in docs) + "\n")
+    os.makedirs(f"{src}/order_day=2025-03-03")
+    with open(f"{src}/order_day=2025-03-03/part-0.json", "w") as f:
+        f.write("{not json\n")
+    out, ckpt = f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
+    first = land_orders(spark, src, out, ckpt)
+    assert first == {"clean": 6, "quarantine": 6}  # each stream reads all 6 input rows
+    landed = spark.read.parquet(f"{out}/orders")
+    assert landed.count() == 5 and spark.read.parquet(f"{out}/quarantine").count() == 1
+    again = land_orders(spark, src, out, ckpt)  # nothing new: nothing re-landed
+    assert again == {"clean": 0, "quarantine": 0}
+    assert spark.read.parquet(f"{out}/orders").count() == 5
