@@ -108,11 +108,14 @@ def read_orders_month(
         if layout == "daily_files":
             glob = f"{ORDERS_FILE_PREFIX}{year:04d}-{month:02d}-*.json"
             valid = [f"{ORDERS_FILE_PREFIX}{d}.json" for d in month_day_names(year, month)]
-            df = reader.option("pathGlobFilter", glob).json(input_dir)
+            df = reader.json(f"{input_dir.rstrip('/')}/{glob}")
             df = df.withColumn("source_file", F.col("_metadata.file_name"))
             return df.where(F.col("source_file").isin(valid))
+        # list only this month's day directories (a glob on the partition
+        # directory names), not every day the input holds
         first, last = month_bounds(year, month)
-        df = reader.json(input_dir)
+        month_glob = f"{input_dir.rstrip('/')}/{DAY_PARTITION}={year:04d}-{month:02d}-*"
+        df = reader.option("basePath", input_dir).json(month_glob)
         df = df.where(F.col(DAY_PARTITION).between(F.lit(first), F.lit(last)))
         return df.withColumn("source_file", F.col("_metadata.file_name"))
     except AnalysisException as e:
