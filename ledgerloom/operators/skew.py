@@ -6,16 +6,19 @@ of a key to one task. When one key holds a large share of the facts
 alone. ``salted_join`` spreads such keys:
 
 1. ``hot_keys``: exact row count per key over the facts (partial
-   aggregation, so only (key, count) pairs are shuffled) and keep keys
-   with at least ``min_rows`` rows. That set has at most
-   ``rows / min_rows`` keys -- a proven bound, so it may be broadcast.
-2. Fact rows of hot keys get a deterministic salt in [0, salts) from a
+   aggregation, so only (key, count) pairs are shuffled); a key with at
+   least ``min_rows`` rows is hot and gets ``ceil(rows / salt_rows)``
+   salts. The hot set has at most ``rows / min_rows`` keys -- a proven
+   bound, so it may be broadcast.
+2. Fact rows of a hot key get a deterministic salt in [0, salts) from a
    hash of their own columns (stable under task retries); other rows
    get salt 0.
-3. Dimension rows of hot keys are repeated once per salt (bounded:
-   hot keys x salts rows); other rows once, with salt 0.
-4. Join on (key, salt): a hot key is split over ``salts`` tasks, every
-   fact row still meets exactly its one dimension row.
+3. The dimension row of a hot key is repeated once per salt; in total
+   at most ``rows / salt_rows`` extra rows. Other rows appear once, with
+   salt 0.
+4. Join on (key, salt): a hot key is split into pieces of about
+   ``salt_rows`` fact rows however large it is, and every fact row still
+   meets exactly its one dimension row. No row is dropped or sampled.
 """
 
 from __future__ import annotations
@@ -25,19 +28,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Fixed defaults: a key is hot from this many fact rows; hot keys are
-# spread over this many salts.
+# Fixed defaults: a key is hot from HOT_ROWS fact rows; a hot key is cut
+# into pieces of about SALT_ROWS fact rows.
 HOT_ROWS = 1_000_000
-SALTS = 64
+SALT_ROWS = 250_000
 
 
-def hot_keys(facts: DataFrame, key: str, min_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with at least ``min_rows`` rows (at most rows/min_rows keys)."""
+def hot_keys(facts: DataFrame, key: str, min_rows: int = HOT_ROWS, salt_rows: int = SALT_ROWS) -> DataFrame:
+    """(key, _salts) for keys with at least ``min_rows`` rows; at most
+    rows/min_rows keys."""
     return (
         facts.groupBy(key)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_rows") >= min_rows)
-        .select(key)
+        .select(key, F.ceil(F.col("_rows") / F.lit(salt_rows)).cast("long").alias("_salts"))
     )
 
 
@@ -48,29 +52,20 @@ def salted_join(
     hot: DataFrame,
     salt_by: Sequence[str],
     how: str = "inner",
-    salts: int = SALTS,
 ) -> DataFrame:
-    """``facts JOIN dim USING (key)`` with hot keys spread over ``salts``
-    partitions. ``dim`` must hold at most one row per key; ``hot`` is a
-    frame of keys bounded as by ``hot_keys``; ``salt_by`` are fact
-    columns whose hash picks the salt (e.g. the fact's own id)."""
-    flag = F.broadcast(hot.select(key).distinct().withColumn("_hot", F.lit(True)))
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in salt_by]), F.lit(salts))
+    """``facts JOIN dim USING (key)`` with hot keys spread by salt.
+    ``dim`` must hold at most one row per key; ``hot`` comes from
+    ``hot_keys`` (bounded); ``salt_by`` are fact columns whose hash picks
+    the salt (e.g. the fact's own id)."""
+    flag = F.broadcast(hot.select(key, "_salts"))
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in salt_by]), F.col("_salts"))
     f = (
         facts.join(flag, key, "left")
-        .withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0)).cast("long"))
-        .drop("_hot")
-    )
-    d = (
-        dim.join(flag, key, "left")
-        .withColumn(
-            "_salt",
-            F.explode(
-                F.when(F.col("_hot"), F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).otherwise(
-                    F.array(F.lit(0).cast("long"))
-                )
-            ),
-        )
-        .drop("_hot")
+        .withColumn("_salt", F.when(F.col("_salts").isNotNull(), salt).otherwise(F.lit(0)).cast("long"))
+        .drop("_salts")
     )
+    copies = F.when(
+        F.col("_salts").isNotNull(), F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1)
+    ).otherwise(F.array(F.lit(0).cast("long")))
+    d = dim.join(flag, key, "left").withColumn("_salt", F.explode(copies)).drop("_salts")
     return f.join(d, [key, "_salt"], how).drop("_salt")

@@ -66,7 +66,7 @@ def _finish(paid, good, rejects, kept, customers_raw, refunds_raw, grain, sort,
     per customer as the per-order frame (an upper bound), so counting it
     finds every hot customer without recomputing per-order."""
     po = S.per_order(kept)
-    hot = hot_keys(hot_source, "customer_id", hot_rows) if hot_rows else None
+    hot = hot_keys(hot_source, "customer_id", hot_rows, salt_rows=max(1, hot_rows // 4)) if hot_rows else None
     enriched = S.enrich(po, S.normalize_customers(customers_raw), S.refunds_per_order(refunds_raw), hot)
     return SalesFrames(
         lines=paid,
