@@ -16,14 +16,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.scalar import active_flag, parse_date, safe_number, to_double
-from ledgerloom.operators import dedup
 from ledgerloom.operators import lines as L
 from ledgerloom.operators import sales as S
 from ledgerloom.plans import metrics as M
 from ledgerloom.plans import report as R
 from ledgerloom.plans.month_job import run_month
 from ledgerloom.plans.staging import stage_daily_files, stage_inputs
-from ledgerloom.schemas import CUSTOMERS_FILE, REFUNDS_FILE, TABLE_DAILY_SALES
+from ledgerloom.schemas import CUSTOMERS_FILE, TABLE_DAILY_SALES
 from ledgerloom.session import work_path
 from ledgerloom.sinks import files as K
 from ledgerloom.sources import files as SRC
