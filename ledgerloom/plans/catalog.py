@@ -27,7 +27,7 @@ from ledgerloom.session import work_path
 from ledgerloom.sinks import files as K
 from ledgerloom.sources import files as SRC
 from ledgerloom.sources import tables as T
-from ledgerloom.streaming.landing import land_orders
+from ledgerloom.streaming.landing import land_orders, landed_clean
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -356,8 +356,8 @@ def landed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     (availableNow, exactly-once file sink), read back."""
     base = stage_inputs(spark, sf_dir)
     run = work_path(spark, "landing", uuid.uuid4().hex[:12])
-    land_orders(spark, f"{base}/orders", f"{run}/out", f"{run}/checkpoints")
-    return _doc_rows(spark.read.parquet(f"{run}/out/orders"))
+    land_orders(spark, f"{base}/orders", f"{run}/landed", f"{run}/checkpoint")
+    return _doc_rows(landed_clean(spark.read.parquet(f"{run}/landed")))
 
 
 def builders() -> dict[str, Builder]:

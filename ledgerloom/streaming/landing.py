@@ -1,13 +1,15 @@
 """Incremental landing of daily order files (Structured Streaming).
 
 The same file source as the batch job, run as a stream: each new day
-directory (or day file) is parsed once, clean documents are appended to
-a Parquet table partitioned by ``order_day`` and malformed ones to a
-quarantine table. The file sink's commit log makes the output
-exactly-once across restarts; ``availableNow`` processes what is there
-and stops, so it also serves as a catch-up batch. Later monthly jobs
-then read Parquet (splittable, pruned by day) instead of re-parsing
-JSON.
+file is parsed once and appended to a Parquet table partitioned by
+``order_month`` (the access pattern of the monthly job: one month is one
+partition, and a partition holds few, large files instead of one small
+directory per day). Malformed records are landed too, with their raw text
+in ``_corrupt_record``, so the quarantine is a filter on the same table
+and every file is parsed exactly once. The file sink's commit log makes
+the output exactly-once across restarts and task retries;
+``availableNow`` processes what is there and stops, so the same code
+also serves as a catch-up batch.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from ledgerloom.schemas import CORRUPT_COLUMN, ORDER_DOC
 from ledgerloom.sources.files import DAY_PARTITION
 
 STREAM_SCHEMA = StructType(ORDER_DOC.fields + [StructField(DAY_PARTITION, DateType())])
+MONTH_PARTITION = "order_month"
 
 
 def order_stream(spark: SparkSession, source_dir: str, multi_line: bool = False, max_files: int = 1000) -> DataFrame:
@@ -32,6 +35,7 @@ def order_stream(spark: SparkSession, source_dir: str, multi_line: bool = False,
         .option("maxFilesPerTrigger", max_files)
         .json(source_dir)
         .withColumn("source_file", F.col("_metadata.file_name"))
+        .withColumn(MONTH_PARTITION, F.date_format(DAY_PARTITION, "yyyy-MM"))
     )
 
 
@@ -41,26 +45,26 @@ def land_orders(
     target_dir: str,
     checkpoint_dir: str,
     multi_line: bool = False,
-) -> dict[str, int]:
-    """Run both landing streams to completion (``availableNow``); returns
-    the number of input rows each stream processed in this run."""
-    stream = order_stream(spark, source_dir, multi_line)
-    bad = F.col(CORRUPT_COLUMN).isNotNull()
-    clean = stream.where(~bad).drop(CORRUPT_COLUMN)
-    quarantine = stream.where(bad).select("source_file", "order_id", DAY_PARTITION, CORRUPT_COLUMN)
-    queries = {
-        "clean": clean.writeStream.format("parquet")
-        .partitionBy(DAY_PARTITION)
-        .option("checkpointLocation", f"{checkpoint_dir}/clean")
+) -> int:
+    """Run the landing stream to completion (``availableNow``); returns the
+    number of input rows processed in this run (0 when nothing is new)."""
+    q = (
+        order_stream(spark, source_dir, multi_line)
+        .writeStream.format("parquet")
+        .partitionBy(MONTH_PARTITION)
+        .option("checkpointLocation", checkpoint_dir)
         .trigger(availableNow=True)
-        .start(f"{target_dir}/orders"),
-        "quarantine": quarantine.writeStream.format("parquet")
-        .option("checkpointLocation", f"{checkpoint_dir}/quarantine")
-        .trigger(availableNow=True)
-        .start(f"{target_dir}/quarantine"),
-    }
-    rows = {}
-    for name, q in queries.items():
-        q.awaitTermination()
-        rows[name] = sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
-    return rows
+        .start(target_dir)
+    )
+    q.awaitTermination()
+    return sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
+
+
+def landed_clean(landed: DataFrame) -> DataFrame:
+    """Documents of the landed table that parsed."""
+    return landed.where(F.col(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN)
+
+
+def landed_quarantine(landed: DataFrame) -> DataFrame:
+    """Records of the landed table that did not parse."""
+    return landed.where(F.col(CORRUPT_COLUMN).isNotNull()).select("source_file", DAY_PARTITION, CORRUPT_COLUMN)

@@ -48,7 +48,7 @@ def test_streaming_landing_exactly_once(spark, tmp_dir):
     import json
     import os
 
-    from ledgerloom.streaming.landing import land_orders
+    from ledgerloom.streaming.landing import land_orders, landed_clean, landed_quarantine
     from tests.fixtures import DAY1, DAY2
 
     src = f"{tmp_dir}/src"
@@ -60,10 +60,9 @@ def test_streaming_landing_exactly_once(spark, tmp_dir):
     with open(f"{src}/order_day=2025-03-03/part-0.json", "w") as f:
         f.write("{not json\n")
     out, ckpt = f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
-    first = land_orders(spark, src, out, ckpt)
-    assert first == {"clean": 6, "quarantine": 6}  # each stream reads all 6 input rows
-    landed = spark.read.parquet(f"{out}/orders")
-    assert landed.count() == 5 and spark.read.parquet(f"{out}/quarantine").count() == 1
-    again = land_orders(spark, src, out, ckpt)  # nothing new: nothing re-landed
-    assert again == {"clean": 0, "quarantine": 0}
-    assert spark.read.parquet(f"{out}/orders").count() == 5
+    assert land_orders(spark, src, out, ckpt) == 6  # every row parsed once
+    landed = spark.read.parquet(out)
+    assert landed_clean(landed).count() == 5 and landed_quarantine(landed).count() == 1
+    assert {r.order_month for r in landed.select("order_month").distinct().collect()} == {"2025-03"}
+    assert land_orders(spark, src, out, ckpt) == 0  # nothing new: nothing re-landed
+    assert spark.read.parquet(out).count() == 6
