@@ -98,12 +98,13 @@ def scan_csv_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scan_json_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The order documents of one month in one pruned scan; the
-    malformed file of that month goes to quarantine, not to the result."""
+    """The order documents of one month in one scan of its
+    partition directory; the malformed file of that month goes to
+    quarantine, not to the result."""
     base = stage_inputs(spark, sf_dir)
-    docs = SRC.read_orders_month(spark, f"{base}/orders", *MONTH, layout="day_partitions")
+    docs = SRC.read_orders_month(spark, f"{base}/orders", *MONTH, layout="month_partitions")
     clean, _ = SRC.split_corrupt(docs)
-    return _doc_rows(clean, SRC.DAY_PARTITION)
+    return _doc_rows(clean, SRC.MONTH_PARTITION)
 
 
 def scan_json_month_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -333,12 +334,13 @@ def quality_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def month_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The monthly job on files written from the tables (1997-03):
+    """The monthly job on month-partitioned JSON-lines files written
+    from the tables (1997-03):
     JSON + CSV in, tables and CSV out; returns daily_city_sales as read
     back from its written table."""
     base = stage_inputs(spark, sf_dir)
     out = work_path(spark, "jobs", uuid.uuid4().hex[:12])
-    run_month(spark, f"{base}/orders", out, *MONTH, layout="day_partitions", side_dir=base, replace_empty=True)
+    run_month(spark, f"{base}/orders", out, *MONTH, layout="month_partitions", side_dir=base, replace_empty=True)
     return spark.read.parquet(f"{out}/tables/{TABLE_DAILY_SALES}")
 
 

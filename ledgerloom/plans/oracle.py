@@ -182,7 +182,7 @@ def statements() -> dict[str, str]:
     out = {
         "scan_csv_customers": with_ctes(CUST_RAW) + " SELECT customer_id, city, is_active FROM cust_raw",
         "scan_json_month": with_ctes(HEADS, ITEMS, N_ITEMS)
-        + f" SELECT *, TRY_CAST(created_at AS DATE) AS order_day FROM doc_rows WHERE {IN_MONTH}",
+        + f" SELECT *, substr(created_at, 1, 7) AS order_month FROM doc_rows WHERE {IN_MONTH}",
         "scan_json_month_files": with_ctes(HEADS, ITEMS, N_ITEMS)
         + f" SELECT *, 'orders_' || CAST(TRY_CAST(created_at AS DATE) AS VARCHAR) || '.json' AS source_file"
         f" FROM doc_rows WHERE {IN_MONTH}",

@@ -4,9 +4,10 @@ The job's real inputs are files (CSV customers/refunds, daily order
 documents). To run the file sources over data that grows with the
 tables, the table adapters are written once into the shared work folder:
 
-* ``orders/order_day=YYYY-MM-DD/`` -- order documents as JSON lines, one
-  directory per day (plus one malformed file in 1997-03-15 for the
+* ``orders/order_month=YYYY-MM/`` -- order documents as JSON lines, one
+  directory per month (plus one malformed file in 1997-03 for the
   quarantine path);
+* ``daily/`` -- the reference's own layout (``stage_daily_files``);
 * ``customers.csv/`` and ``refunds.csv/`` -- CSV with a header.
 
 A copy is keyed by the size/mtime of the source tables and reused until
@@ -23,12 +24,14 @@ from ledgerloom.schemas import CUSTOMERS_FILE, ORDERS_FILE_PREFIX, REFUNDS_FILE
 from ledgerloom.session import fingerprint, list_paths, path_exists, rename_path, work_path
 from ledgerloom.sinks.files import write_csv
 from ledgerloom.sources import tables as T
-from ledgerloom.sources.files import DAY_PARTITION
+from ledgerloom.sources.files import MONTH_PARTITION
 
-# Fixed values of the staged fixture: day that receives a malformed file.
-BAD_DAY = "1997-03-15"
+DAY = "order_day"
+
+# Fixed values of the staged fixture: month that receives a malformed file.
+BAD_MONTH = "1997-03"
 # bumped whenever the staged layout changes, so old copies are not reused
-LAYOUT_VERSION = "2"
+LAYOUT_VERSION = "3"
 BAD_TEXT = '{"order_id": "broken", "items": [ this is not json'
 
 
@@ -42,18 +45,18 @@ def stage_inputs(spark: SparkSession, sf_dir: str) -> str:
     base = _stage_base(spark, sf_dir)
     if path_exists(spark, f"{base}/refunds.csv/_SUCCESS"):
         return base
-    docs = T.order_documents(spark, sf_dir).withColumn(DAY_PARTITION, F.to_date("created_at"))
-    # range partitioning keeps each day in few files while a very large
-    # day is still split over several writer tasks (order_id in the range key)
+    docs = T.order_documents(spark, sf_dir).withColumn(MONTH_PARTITION, F.substring("created_at", 1, 7))
+    # range partitioning keeps each month in few files while a very large
+    # month is still split over several writer tasks (order_id in the key)
     (
-        docs.repartitionByRange(DAY_PARTITION, "order_id")
+        docs.repartitionByRange(MONTH_PARTITION, "order_id")
         .write.mode("overwrite")
-        .partitionBy(DAY_PARTITION)
+        .partitionBy(MONTH_PARTITION)
         .json(f"{base}/orders")
     )
-    # appended next to the day's JSON part files (append keeps them)
+    # appended next to the month's JSON part files (append keeps them)
     spark.range(1).select(F.lit(BAD_TEXT).alias("value")).write.mode("append").text(
-        f"{base}/orders/{DAY_PARTITION}={BAD_DAY}"
+        f"{base}/orders/{MONTH_PARTITION}={BAD_MONTH}"
     )
     write_csv(T.customers_raw(spark, sf_dir), f"{base}/customers.csv", sep=",")
     write_csv(T.refunds_raw(spark, sf_dir), f"{base}/refunds.csv", sep=",")
@@ -75,15 +78,15 @@ def stage_daily_files(spark: SparkSession, sf_dir: str) -> str:
     folder = f"{base}/daily"
     if path_exists(spark, f"{folder}/{REFUNDS_FILE}/_SUCCESS"):
         return folder
-    docs = T.order_documents(spark, sf_dir).withColumn(DAY_PARTITION, F.date_format(F.to_date("created_at"), "yyyy-MM-dd"))
-    w = Window.partitionBy(DAY_PARTITION).orderBy("order_id")
+    docs = T.order_documents(spark, sf_dir).withColumn(DAY, F.date_format(F.to_date("created_at"), "yyyy-MM-dd"))
+    w = Window.partitionBy(DAY).orderBy("order_id")
     whole_day = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rn, n = F.row_number().over(w), F.count(F.lit(1)).over(whole_day)
     doc = F.to_json(F.struct("order_id", "customer_id", "channel", "created_at", "payment_status", "items"))
     text = F.concat(F.when(rn == 1, F.lit("[\n")).otherwise(F.lit("")), doc, F.when(rn == n, F.lit("\n]")).otherwise(F.lit(",")))
     parts = f"{base}/daily_parts"
-    docs.select(DAY_PARTITION, text.alias("value")).write.mode("overwrite").partitionBy(DAY_PARTITION).text(parts)
-    for path in list_paths(spark, f"{parts}/{DAY_PARTITION}=*/part-*"):
+    docs.select(DAY, text.alias("value")).write.mode("overwrite").partitionBy(DAY).text(parts)
+    for path in list_paths(spark, f"{parts}/{DAY}=*/part-*"):
         day = path.rsplit("/", 2)[-2].split("=", 1)[1]
         rename_path(spark, path, f"{folder}/{ORDERS_FILE_PREFIX}{day}.json")
     write_csv(T.customers_raw(spark, sf_dir), f"{folder}/{CUSTOMERS_FILE}", sep=",")

@@ -5,8 +5,9 @@
 * Order documents as JSON, one scan per month with a declared schema
   (S3/S4): either the reference's flat layout of day files
   ``orders_YYYY-MM-DD.json`` (multi-line arrays; the day is validated
-  from ``_metadata.file_name``) or a day-partitioned directory
-  ``order_day=YYYY-MM-DD/`` (partition pruning; JSON lines, splittable).
+  from ``_metadata.file_name``) or a month-partitioned directory
+  ``order_month=YYYY-MM/`` that daily files are appended to (JSON lines,
+  splittable; a month is one partition directory, listed alone).
 * Malformed input never fails the read: PERMISSIVE mode keeps the raw
   text in ``_corrupt_record``; ``split_corrupt`` routes those rows to a
   quarantine frame (S5). A zero-byte file yields no row.
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ledgerloom.functions.scalar import month_bounds, month_day_names
+from ledgerloom.functions.scalar import month_day_names
 from ledgerloom.schemas import (
     CORRUPT_COLUMN,
     CUSTOMERS_RAW,
@@ -30,8 +31,8 @@ from ledgerloom.schemas import (
     REFUNDS_RAW,
 )
 
-LAYOUTS = ("daily_files", "day_partitions")
-DAY_PARTITION = "order_day"
+LAYOUTS = ("daily_files", "month_partitions")
+MONTH_PARTITION = "order_month"
 
 
 def _is_missing_path(e: AnalysisException) -> bool:
@@ -111,12 +112,11 @@ def read_orders_month(
             df = reader.json(f"{input_dir.rstrip('/')}/{glob}")
             df = df.withColumn("source_file", F.col("_metadata.file_name"))
             return df.where(F.col("source_file").isin(valid))
-        # list only this month's day directories (a glob on the partition
-        # directory names), not every day the input holds
-        first, last = month_bounds(year, month)
-        month_glob = f"{input_dir.rstrip('/')}/{DAY_PARTITION}={year:04d}-{month:02d}-*"
-        df = reader.option("basePath", input_dir).json(month_glob)
-        df = df.where(F.col(DAY_PARTITION).between(F.lit(first), F.lit(last)))
+        # list only this month's partition directory, not every month the
+        # input holds; as with day files, where a document is filed decides
+        # its month (not its created_at text)
+        month_dir = f"{input_dir.rstrip('/')}/{MONTH_PARTITION}={year:04d}-{month:02d}"
+        df = reader.option("basePath", input_dir).json(month_dir)
         return df.withColumn("source_file", F.col("_metadata.file_name"))
     except AnalysisException as e:
         if _is_missing_path(e):

@@ -1,10 +1,10 @@
 """Incremental landing of daily order files (Structured Streaming).
 
-The same file source as the batch job, run as a stream: each new day
-file is parsed once and appended to a Parquet table partitioned by
-``order_month`` (the access pattern of the monthly job: one month is one
-partition, and a partition holds few, large files instead of one small
-directory per day). Malformed records are landed too, with their raw text
+The same file source as the batch job, run as a stream over the
+month-partitioned JSON-lines folder: each new file (a day's orders are
+appended to their month directory) is parsed once and appended to a
+Parquet table partitioned by ``order_month`` (the access pattern of the
+monthly job: one month is one partition of few, large files). Malformed records are landed too, with their raw text
 in ``_corrupt_record``, so the quarantine is a filter on the same table
 and every file is parsed exactly once. The file sink's commit log makes
 the output exactly-once across restarts and task retries;
@@ -16,17 +16,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerloom.schemas import CORRUPT_COLUMN, ORDER_DOC
-from ledgerloom.sources.files import DAY_PARTITION
+from ledgerloom.sources.files import MONTH_PARTITION
 
-STREAM_SCHEMA = StructType(ORDER_DOC.fields + [StructField(DAY_PARTITION, DateType())])
-MONTH_PARTITION = "order_month"
+STREAM_SCHEMA = StructType(ORDER_DOC.fields + [StructField(MONTH_PARTITION, StringType())])
 
 
 def order_stream(spark: SparkSession, source_dir: str, multi_line: bool = False, max_files: int = 1000) -> DataFrame:
-    """Streaming read of a day-partitioned order directory."""
+    """Streaming read of a month-partitioned order directory."""
     return (
         spark.readStream.schema(STREAM_SCHEMA)
         .option("multiLine", multi_line)
@@ -35,7 +34,6 @@ def order_stream(spark: SparkSession, source_dir: str, multi_line: bool = False,
         .option("maxFilesPerTrigger", max_files)
         .json(source_dir)
         .withColumn("source_file", F.col("_metadata.file_name"))
-        .withColumn(MONTH_PARTITION, F.date_format(DAY_PARTITION, "yyyy-MM"))
     )
 
 
@@ -67,4 +65,4 @@ def landed_clean(landed: DataFrame) -> DataFrame:
 
 def landed_quarantine(landed: DataFrame) -> DataFrame:
     """Records of the landed table that did not parse."""
-    return landed.where(F.col(CORRUPT_COLUMN).isNotNull()).select("source_file", DAY_PARTITION, CORRUPT_COLUMN)
+    return landed.where(F.col(CORRUPT_COLUMN).isNotNull()).select("source_file", MONTH_PARTITION, CORRUPT_COLUMN)

@@ -52,12 +52,11 @@ def test_streaming_landing_exactly_once(spark, tmp_dir):
     from tests.fixtures import DAY1, DAY2
 
     src = f"{tmp_dir}/src"
-    for day, docs in (("2025-03-01", DAY1), ("2025-03-02", DAY2)):
-        os.makedirs(f"{src}/order_day={day}")
-        with open(f"{src}/order_day={day}/part-0.json", "w") as f:
+    os.makedirs(f"{src}/order_month=2025-03")
+    for day, docs in (("01", DAY1), ("02", DAY2)):
+        with open(f"{src}/order_month=2025-03/orders_2025-03-{day}.json", "w") as f:
             f.write("\n".join(json.dumps(d) for d in docs) + "\n")
-    os.makedirs(f"{src}/order_day=2025-03-03")
-    with open(f"{src}/order_day=2025-03-03/part-0.json", "w") as f:
+    with open(f"{src}/order_month=2025-03/orders_2025-03-03.json", "w") as f:
         f.write("{not json\n")
     out, ckpt = f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
     assert land_orders(spark, src, out, ckpt) == 6  # every row parsed once
