@@ -139,3 +139,20 @@ def test_hot_customer_salted_join_same_result(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_d14b_neither_field_name_gives_null(spark):
+    from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+
+    other = StructType([StructField("sku", StringType())])
+    schema = StructType([StructField("order_id", StringType()), StructField("items", ArrayType(other))])
+    d = spark.createDataFrame([("o1", [("x",)])], schema)
+    row = L.item_lines(d).collect()[0]
+    assert row.item_qty is None and row.item_unit_price is None and row.item_sku == "x"
+
+
+def test_d16_null_quantity_policy(spark):
+    d = docs(spark, [("o1", "c1", "web", "2025-03-01", "paid", [item(None, "5")])])
+    c = cust(spark, [("c1", "Paris", "1")])
+    assert report(spark, d, c, refunds(spark, []))[0][5] is None  # sum of nulls stays null
+    assert report(spark, d, c, refunds(spark, []), null_policy="zero")[0][5] == 0.0

@@ -72,3 +72,14 @@ def test_same_result_any_partitioning(spark, tmp_dir, partitions):
         assert _report(spark, out)[1] == (D1, "Paris", "web", 1, 1, 2.0, 10.0, 2.0, 8.0)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_d25_rerun_other_month_keeps_day_files(spark, tmp_dir):
+    root = write_mini_month(f"{tmp_dir}/in")
+    out = f"{tmp_dir}/out"
+    run_month(spark, root, out, 2025, 3)
+    run_month(spark, root, out, 2025, 4)  # April holds one paid order (o9)
+    assert glob.glob(f"{out}/daily_summary/day=20250301/*.csv")  # March day kept
+    assert glob.glob(f"{out}/daily_summary/day=20250401/*.csv")  # April day added
+    # tables and the all-days file hold the last run only
+    assert [r.date for r in spark.read.parquet(f"{out}/tables/daily_city_sales").collect()] == [dt.date(2025, 4, 1)]

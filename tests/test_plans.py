@@ -24,6 +24,8 @@ def test_flagship_plan_shape(spark):
     # keep-first, the head join, per-order and the refund join share one order_id
     # partitioning: items, heads and refund sums are each shuffled on order_id once
     assert len(re.findall(r"Exchange hashpartitioning\(order_id", plan)) <= 3
+    # nation (fixed 25 rows) is broadcast to the customer scan
+    assert "BroadcastHashJoin" in plan and "BroadcastExchange" in plan
     # the scans read only the needed columns
     schemas = re.findall(r"ReadSchema: (struct<[^>]*>)", plan)
     assert schemas and not any("o_totalprice" in s or "c_name" in s or "c_acctbal" in s for s in schemas)
