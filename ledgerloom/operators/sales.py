@@ -96,11 +96,16 @@ def refunds_per_order(refunds: DataFrame, bad_amount: float = 0.0) -> DataFrame:
     )
 
 
-def attach_refunds(orders: DataFrame, refund_sums: DataFrame) -> DataFrame:
+def attach_refunds(orders: DataFrame, refund_sums: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Left join on order_id, a missing refund is 0. Refunds of
     unknown orders are ignored; one refund row per order (A2 first), so
-    nothing is double-counted."""
-    return orders.join(refund_sums, "order_id", "left").withColumn(
+    nothing is double-counted. ``hot``: order ids with very many per-order
+    rows (only possible when documents are not de-duplicated), salted."""
+    if hot is None:
+        joined = orders.join(refund_sums, "order_id", "left")
+    else:
+        joined = salted_join(orders, refund_sums, "order_id", hot, salt_by=["customer_id", "channel", "created_at"], how="left")
+    return joined.withColumn(
         "refunds_eur", F.coalesce(F.col("refunds_eur"), F.lit(0).cast("decimal(18,4)"))
     )
 
@@ -111,11 +116,15 @@ def with_order_date(orders: DataFrame) -> DataFrame:
 
 
 def enrich(
-    per_order_df: DataFrame, customers: DataFrame, refund_sums: DataFrame, hot_customers: DataFrame | None = None
+    per_order_df: DataFrame,
+    customers: DataFrame,
+    refund_sums: DataFrame,
+    hot_customers: DataFrame | None = None,
+    hot_orders: DataFrame | None = None,
 ) -> DataFrame:
     """per-order -> + refunds (order_id, co-partitioned) -> + active
     customers (customer_id, hot ids salted) -> + order_date."""
-    with_refunds = attach_refunds(per_order_df, refund_sums)
+    with_refunds = attach_refunds(per_order_df, refund_sums, hot_orders)
     return with_order_date(attach_customers(with_refunds, customers, hot_customers))
 
 

@@ -58,16 +58,24 @@ def from_lines(
         paid = L.apply_null_policy(L.normalize_items(paid), null_policy)
     good, rejects = L.split_rejects(paid)
     kept = dedup.keep_first(good, "order_id", line_order(good)) if grain == "line" else good
-    return _finish(paid, good, rejects, kept, customers_raw, refunds_raw, grain, sort, good, hot_rows)
+    # without keep-first and without keyed heads, one order_id may own many
+    # per-order rows (copies of a document with other times/channels)
+    order_source = kept if grain == "all" else None
+    return _finish(paid, good, rejects, kept, customers_raw, refunds_raw, grain, sort, good, hot_rows, order_source)
 
 
-def _finish(paid, good, rejects, kept, customers_raw, refunds_raw, grain, sort, hot_source, hot_rows) -> SalesFrames:
+def _finish(
+    paid, good, rejects, kept, customers_raw, refunds_raw, grain, sort, hot_source, hot_rows, order_source=None
+) -> SalesFrames:
     """Shared tail of the chain. ``hot_source`` has at least as many rows
     per customer as the per-order frame (an upper bound), so counting it
-    finds every hot customer without recomputing per-order."""
+    finds every hot customer without recomputing per-order; likewise
+    ``order_source`` for order ids, when those can repeat."""
     po = S.per_order(kept)
-    hot = hot_keys(hot_source, "customer_id", hot_rows, salt_rows=max(1, hot_rows // 4)) if hot_rows else None
-    enriched = S.enrich(po, S.normalize_customers(customers_raw), S.refunds_per_order(refunds_raw), hot)
+    salt_rows = max(1, hot_rows // 4) if hot_rows else None
+    hot = hot_keys(hot_source, "customer_id", hot_rows, salt_rows) if hot_rows else None
+    hot_orders = hot_keys(order_source, "order_id", hot_rows, salt_rows) if hot_rows and order_source is not None else None
+    enriched = S.enrich(po, S.normalize_customers(customers_raw), S.refunds_per_order(refunds_raw), hot, hot_orders)
     return SalesFrames(
         lines=paid,
         good=good,

@@ -156,3 +156,14 @@ def test_d16_null_quantity_policy(spark):
     c = cust(spark, [("c1", "Paris", "1")])
     assert report(spark, d, c, refunds(spark, []))[0][5] is None  # sum of nulls stays null
     assert report(spark, d, c, refunds(spark, []), null_policy="zero")[0][5] == 0.0
+
+
+def test_hot_order_copies_salted_refund_join(spark):
+    # one order sent 30 times with different times: at 'all' grain every copy counts
+    rows = [("o1", "c1", "web", f"2025-03-01 10:{i:02d}:00", "paid", [item("1", "2")]) for i in range(30)]
+    d = docs(spark, rows)
+    c = cust(spark, [("c1", "Paris", "1")])
+    r = refunds(spark, [("o1", "1", None)])
+    plain = report(spark, d, c, r, grain="all", hot_rows=None)
+    salted = report(spark, d, c, r, grain="all", hot_rows=4)
+    assert plain == salted == [(D1, "Paris", "web", 1, 1, 30.0, 60.0, 30.0, 30.0)]
