@@ -7,6 +7,7 @@ correctness gate runs them next to the Spark DataFrames at sf0.01.
 
 from __future__ import annotations
 
+from ledgerloom.schemas import FALSE_TOKENS, TRUE_TOKENS
 from ledgerloom.sources.tables import SEGMENT_ACTIVE_TEXT, STATUS_MAP
 
 
@@ -69,11 +70,15 @@ PER_ORDER = """per_order AS (
   FROM kept GROUP BY order_id, customer_id, channel, created_at)"""
 
 
+def _sql_list(values: list[str]) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
 def active_sql(x: str) -> str:
     t = f"lower(trim(CAST({x} AS VARCHAR)))"
     return (
-        f"CASE WHEN {t} IN ('1','true','yes','y','t') THEN true "
-        f"WHEN {t} IN ('0','false','no','n','f') THEN false "
+        f"CASE WHEN {t} IN ({_sql_list(TRUE_TOKENS)}) THEN true "
+        f"WHEN {t} IN ({_sql_list(FALSE_TOKENS)}) THEN false "
         f"ELSE COALESCE(CASE WHEN regexp_full_match({t}, '[+-]?[0-9]+') "
         f"THEN TRY_CAST({t} AS DECIMAL(38,0)) <> 0 END, false) END"
     )
