@@ -83,3 +83,20 @@ def test_d25_rerun_other_month_keeps_day_files(spark, tmp_dir):
     assert glob.glob(f"{out}/daily_summary/day=20250401/*.csv")  # April day added
     # tables and the all-days file hold the last run only
     assert [r.date for r in spark.read.parquet(f"{out}/tables/daily_city_sales").collect()] == [dt.date(2025, 4, 1)]
+
+
+def test_command_line(spark, tmp_dir):
+    from ledgerloom.__main__ import main
+
+    root = write_mini_month(f"{tmp_dir}/in")
+    settings = f"{tmp_dir}/settings.yaml"
+    with open(settings, "w") as f:
+        f.write(f"input_dir: {root}\noutput_dir: {tmp_dir}/out\ndb_path: {tmp_dir}/db\n")
+    counters = main(["--settings", settings, "--year", "2025", "--month", "3", "--csv-sep", ","])
+    assert counters["orders_paid"] == 4
+    assert [tuple(r)[1:3] for r in spark.read.parquet(f"{tmp_dir}/db/daily_city_sales").orderBy("city").collect()] == [
+        ("Lyon", "app"),
+        ("Paris", "web"),
+    ]
+    day = glob.glob(f"{tmp_dir}/out/daily_summary/day=20250301/*.csv")
+    assert open(day[0]).read().splitlines()[1].startswith("2025-03-01,Lyon,app,1,1,1.00,")
