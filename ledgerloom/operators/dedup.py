@@ -21,18 +21,19 @@ from pyspark.sql import functions as F
 
 def keep_first(
     df: DataFrame,
-    key: str = "order_id",
+    key: str | Sequence[str] = "order_id",
     order_by: Sequence[str] = ("created_at",),
     rank_col: str = "_rn",
 ) -> DataFrame:
-    """First row per ``key`` by ``order_by`` then all other columns, all
-    ascending with nulls last."""
-    order = [c for c in order_by if c in df.columns]
-    rest = [c for c in df.columns if c != key and c not in order]
-    w = Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_last() for c in order + rest])
+    """First row per ``key`` (one column or several) by ``order_by`` then
+    all other columns, all ascending with nulls last."""
+    keys = [key] if isinstance(key, str) else list(key)
+    order = [c for c in order_by if c in df.columns and c not in keys]
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order + rest])
     return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) == 1).drop(rank_col)
 
 
-def unique_by_key(df: DataFrame, key: str) -> DataFrame:
+def unique_by_key(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """One row per key, chosen deterministically by content."""
     return keep_first(df, key=key, order_by=())

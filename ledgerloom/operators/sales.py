@@ -50,18 +50,22 @@ def per_order(lines: DataFrame) -> DataFrame:
     )
 
 
-def normalize_customers(raw: DataFrame) -> DataFrame:
-    """F1/F4/P12 + D13: typed customer dimension, one row per customer_id
-    (duplicates resolved by content, so sums never fan out)."""
+def type_customers(raw: DataFrame) -> DataFrame:
+    """Typed customer rows (duplicates still possible)."""
     cols = set(raw.columns)
     active = active_flag("is_active") if "is_active" in cols else F.lit(False)
     city = F.col("city") if "city" in cols else F.lit(None).cast("string")
-    typed = raw.select(
+    return raw.select(
         F.col("customer_id").cast("string").alias("customer_id"),
         city.alias("city"),
         active.alias("is_active"),
     )
-    return unique_by_key(typed, "customer_id")
+
+
+def normalize_customers(raw: DataFrame) -> DataFrame:
+    """F1/F4/P12 + D13: typed customer dimension, one row per customer_id
+    (duplicates resolved by content, so sums never fan out)."""
+    return unique_by_key(type_customers(raw), "customer_id")
 
 
 def active_customers(customers: DataFrame) -> DataFrame:
@@ -70,16 +74,23 @@ def active_customers(customers: DataFrame) -> DataFrame:
 
 
 def attach_customers(orders: DataFrame, customers: DataFrame, hot: DataFrame | None = None) -> DataFrame:
-    """J1 + P3: left join then keep active == inner join with the active
-    customers (Catalyst would make the same rewrite).
-
-    ``hot``: customer ids with very many orders (a bounded frame, see
-    ``operators.skew.hot_keys``); their orders are spread over several
-    tasks by a salted join instead of landing in one."""
-    active = active_customers(customers)
+    """J1 + P3 + D13: left join then keep active == inner join with the
+    active customers (Catalyst would make the same rewrite).
+
+    ``customers`` are typed rows that may repeat a customer_id; the
+    de-duplication (D13) runs here, on the join's own partitioning, so
+    the dimension is shuffled once. ``hot``: customer ids with very many
+    orders (a bounded frame, see ``operators.skew.hot_keys``); their
+    orders are spread over several tasks by a salted join instead of
+    landing in one."""
     if hot is None:
-        return orders.join(active, "customer_id", "inner")
-    return salted_join(orders, active, "customer_id", hot, salt_by=["order_id"])
+        return orders.join(active_customers(unique_by_key(customers, "customer_id")), "customer_id", "inner")
+
+    def prepare(dim: DataFrame, keys: list[str]) -> DataFrame:
+        kept = unique_by_key(dim, keys)
+        return kept.where(F.col("is_active")).select(*keys, "city")
+
+    return salted_join(orders, customers, "customer_id", hot, salt_by=["order_id"], prepare_dim=prepare)
 
 
 def refunds_per_order(refunds: DataFrame, bad_amount: float = 0.0) -> DataFrame:

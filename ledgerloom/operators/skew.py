@@ -23,7 +23,7 @@ alone. ``salted_join`` spreads such keys:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,11 +52,15 @@ def salted_join(
     hot: DataFrame,
     salt_by: Sequence[str],
     how: str = "inner",
+    prepare_dim: Callable[[DataFrame, list[str]], DataFrame] | None = None,
 ) -> DataFrame:
     """``facts JOIN dim USING (key)`` with hot keys spread by salt.
-    ``dim`` must hold at most one row per key; ``hot`` comes from
-    ``hot_keys`` (bounded); ``salt_by`` are fact columns whose hash picks
-    the salt (e.g. the fact's own id)."""
+    ``dim`` must hold at most one row per key -- or ``prepare_dim`` makes
+    it so: it receives the salted dimension and the partition keys
+    ``[key, '_salt']`` (e.g. to de-duplicate and filter), so that work is
+    done on the join's own partitioning and the dimension moves once.
+    ``hot`` comes from ``hot_keys`` (bounded); ``salt_by`` are fact columns
+    whose hash picks the salt (e.g. the fact's own id)."""
     flag = F.broadcast(hot.select(key, "_salts"))
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in salt_by]), F.col("_salts"))
     f = (
@@ -68,4 +72,6 @@ def salted_join(
         F.col("_salts").isNotNull(), F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1)
     ).otherwise(F.array(F.lit(0).cast("long")))
     d = dim.join(flag, key, "left").withColumn("_salt", F.explode(copies)).drop("_salts")
+    if prepare_dim is not None:
+        d = prepare_dim(d, [key, "_salt"])
     return f.join(d, [key, "_salt"], how).drop("_salt")

@@ -55,7 +55,7 @@ def _per_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.normalize_customers(T.customers_raw(spark, sf_dir))
+    return S.type_customers(T.customers_raw(spark, sf_dir))
 
 
 def _refund_sums(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -75,7 +75,7 @@ def _finish(
     salt_rows = max(1, hot_rows // 4) if hot_rows else None
     hot = hot_keys(hot_source, "customer_id", hot_rows, salt_rows) if hot_rows else None
     hot_orders = hot_keys(order_source, "order_id", hot_rows, salt_rows) if hot_rows and order_source is not None else None
-    enriched = S.enrich(po, S.normalize_customers(customers_raw), S.refunds_per_order(refunds_raw), hot, hot_orders)
+    enriched = S.enrich(po, S.type_customers(customers_raw), S.refunds_per_order(refunds_raw), hot, hot_orders)
     return SalesFrames(
         lines=paid,
         good=good,
