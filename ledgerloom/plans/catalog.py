@@ -22,7 +22,7 @@ from ledgerloom.plans import metrics as M
 from ledgerloom.plans import report as R
 from ledgerloom.plans.month_job import run_month
 from ledgerloom.plans.staging import stage_daily_files, stage_inputs
-from ledgerloom.schemas import CUSTOMERS_FILE, TABLE_DAILY_SALES
+from ledgerloom.schemas import CUSTOMERS_FILE, REJECTS, REJECTS_FILE, TABLE_DAILY_SALES
 from ledgerloom.session import work_path
 from ledgerloom.sinks import files as K
 from ledgerloom.sources import files as SRC
@@ -158,6 +158,14 @@ def lines_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.reject_rows(L.split_rejects(_paid_lines(spark, sf_dir))[1])
 
 
+def rejects_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1: the reject sink -- rejected lines written as rejects_items.csv
+    (header, comma) and read back under the declared reject schema."""
+    out = work_path(spark, "rejects", uuid.uuid4().hex[:12])
+    K.write_rejects(L.split_rejects(_paid_lines(spark, sf_dir))[1], out, replace_empty=True)
+    return SRC.read_csv(spark, f"{out}/{REJECTS_FILE}", REJECTS)
+
+
 # ------------------------------------------------------------ functions
 def normalize_active(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw is_active text -> boolean."""
@@ -374,6 +382,7 @@ def builders() -> dict[str, Builder]:
         "coalesce_alternates": coalesce_alternates,
         "lines_good": lines_good,
         "lines_rejected": lines_rejected,
+        "rejects_file": rejects_file,
         "normalize_active": normalize_active,
         "safe_numeric": safe_numeric,
         "parse_dates": parse_dates,

@@ -205,6 +205,7 @@ def statements() -> dict[str, str]:
                FROM ex""",
         "lines_good": with_ctes(*LINE_CHAIN) + f" {SIX} FROM good",
         "lines_rejected": with_ctes(*LINE_CHAIN[:-1], REJECTS) + f" {SIX} FROM rejects",
+        "rejects_file": with_ctes(*LINE_CHAIN[:-1], REJECTS) + f" {SIX} FROM rejects",
         "normalize_active": with_ctes(CUST_RAW)
         + f" SELECT customer_id, city, is_active AS is_active_text, {active_sql('is_active')} AS is_active FROM cust_raw",
         "safe_numeric": f"""
