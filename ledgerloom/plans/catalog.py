@@ -47,7 +47,7 @@ def _good_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _kept_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keep-first over lines; orders are keyed by order_id, so it runs on
     the item side before the head join (see report.from_keyed_tables)."""
-    return _table_chain(spark, sf_dir, sort=False).kept
+    return R.keyed_lines(T.order_heads(spark, sf_dir), T.item_rows(spark, sf_dir))[3]
 
 
 def _per_order(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -112,24 +112,24 @@ def from_keyed_tables(
     partitioning. The paid filter is pushed to the heads, the price
     split to the items. Results equal ``from_lines(items JOIN heads)``.
     """
+    paid, good, rejects, kept = keyed_lines(heads, items, grain, null_policy)
+    return _finish(
+        paid, good, rejects, kept, customers_raw, refunds_raw, grain, sort, L.paid_only(heads), hot_rows
+    )
+
+
+def keyed_lines(
+    heads: DataFrame, items: DataFrame, grain: str = "line", null_policy: str = "drop"
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(paid lines, good, rejects, kept) for heads keyed by order_id; see
+    ``from_keyed_tables``."""
     if grain not in GRAINS:
         raise ValueError(f"grain must be one of {GRAINS}")
     lines = L.apply_null_policy(L.normalize_items(items), null_policy)
     good_items, reject_items = L.split_rejects(lines)
     paid_heads = L.paid_only(heads)
     kept_items = dedup.keep_first(good_items, "order_id", ("item_pos",)) if grain == "line" else good_items
-    return _finish(
-        lines.join(paid_heads, "order_id"),
-        good_items.join(paid_heads, "order_id"),
-        reject_items.join(paid_heads, "order_id"),
-        kept_items.join(paid_heads, "order_id"),
-        customers_raw,
-        refunds_raw,
-        grain,
-        sort,
-        paid_heads,
-        hot_rows,
-    )
+    return tuple(f.join(paid_heads, "order_id") for f in (lines, good_items, reject_items, kept_items))
 
 
 def first_documents(docs: DataFrame) -> DataFrame:
