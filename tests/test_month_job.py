@@ -100,3 +100,19 @@ def test_command_line(spark, tmp_dir):
     ]
     day = glob.glob(f"{tmp_dir}/out/daily_summary/day=20250301/*.csv")
     assert open(day[0]).read().splitlines()[1].startswith("2025-03-01,Lyon,app,1,1,1.00,")
+
+
+def test_export_null_date_only_in_all_file(spark, tmp_dir):
+    from ledgerloom.sinks.files import export_daily_csvs
+
+    schema = (
+        "date date, city string, channel string, orders_count bigint, unique_customers bigint, "
+        "items_sold double, gross_revenue_eur double, refunds_eur double, net_revenue_eur double"
+    )
+    rows = [(D1, "Paris", "web", 1, 1, 2.0, 10.125, 0.0, 10.125), (None, "Paris", "web", 1, 1, 1.0, 3.0, None, 3.0)]
+    export_daily_csvs(spark.createDataFrame(rows, schema), f"{tmp_dir}/o", sep=";", float_format="%.2f")
+    days = glob.glob(f"{tmp_dir}/o/daily_summary/day=*")
+    assert [os.path.basename(d) for d in days] == ["day=20250301"]
+    lines = sorted(l for f in glob.glob(f"{tmp_dir}/o/daily_summary_all.csv/*.csv") for l in open(f).read().splitlines())
+    assert ";Paris;web;1;1;1.00;3.00;;3.00" in lines  # null date, null refunds stay empty
+    assert "2025-03-01;Paris;web;1;1;2.00;10.13;0.00;10.13" in lines  # half-up to 2 decimals
