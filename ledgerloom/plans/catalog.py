@@ -22,7 +22,7 @@ from ledgerloom.plans import metrics as M
 from ledgerloom.plans import report as R
 from ledgerloom.plans.month_job import run_month
 from ledgerloom.plans.staging import stage_daily_files, stage_inputs
-from ledgerloom.schemas import CUSTOMERS_FILE, REJECTS, REJECTS_FILE, TABLE_DAILY_SALES
+from ledgerloom.schemas import CUSTOMERS_FILE, PAID, REJECTS, REJECTS_FILE, TABLE_DAILY_SALES
 from ledgerloom.session import work_path
 from ledgerloom.sinks import files as K
 from ledgerloom.sources import files as SRC
@@ -47,7 +47,7 @@ def _good_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _kept_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keep-first over lines; orders are keyed by order_id, so it runs on
     the item side before the head join (see report.from_keyed_tables)."""
-    return R.keyed_lines(T.order_heads(spark, sf_dir), T.item_rows(spark, sf_dir))[3]
+    return R.keyed_lines(T.order_heads(spark, sf_dir, status=PAID), T.item_rows(spark, sf_dir))[3]
 
 
 def _per_order(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,8 +79,10 @@ def _doc_rows(docs: DataFrame, *extra: str) -> DataFrame:
 
 
 def _table_chain(spark: SparkSession, sf_dir: str, grain: str = "line", sort: bool = True) -> R.SalesFrames:
+    # only paid heads are used: ask the source for them (pushed to Parquet);
+    # the chain's own paid filter stays on top
     return R.from_keyed_tables(
-        T.order_heads(spark, sf_dir),
+        T.order_heads(spark, sf_dir, status=PAID),
         T.item_rows(spark, sf_dir),
         T.customers_raw(spark, sf_dir),
         T.refunds_raw(spark, sf_dir),
