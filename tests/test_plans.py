@@ -46,8 +46,11 @@ def test_entry_contract(spark):
 
     df = E.entry(spark)
     assert df.count() > 0
-    assert df.columns == [
-        "date", "city", "channel", "orders_count", "unique_customers",
-        "items_sold", "gross_revenue_eur", "refunds_eur", "net_revenue_eur",
-    ]
+    from ledgerloom.schemas import DAILY_CITY_SALES, ORDERS_CLEAN
+
+    def shape(schema):
+        return [(f.name, f.dataType.simpleString()) for f in schema.fields]
+
+    assert shape(df.schema) == shape(DAILY_CITY_SALES)
+    assert shape(E.queries()["orders_clean"](spark, SF).schema) == shape(ORDERS_CLEAN)
     assert set(E.oracle_sql()) <= set(E.queries())
