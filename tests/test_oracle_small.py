@@ -22,6 +22,12 @@ NAMES = [
     "parse_dates",
     "report_dates",
     "quality_counters",
+    "scan_csv_customers",
+    "scan_json_month",
+    "orders_clean",
+    "rejects_file",
+    "month_job",
+    "landed_orders",
 ]
 
 
