@@ -65,9 +65,12 @@ def list_paths(spark: SparkSession, pattern: str) -> list[str]:
 
 
 def rename_path(spark: SparkSession, src: str, dst: str) -> bool:
-    """Move one file or folder (a metadata operation on the file system)."""
+    """Move one file or folder (a metadata operation on the file system);
+    an existing ``dst`` is replaced, so a rerun after a failure is safe."""
     jvm = spark.sparkContext._jvm
     fs, s = _fs_and_path(spark, src)
     d = jvm.org.apache.hadoop.fs.Path(dst)
     fs.mkdirs(d.getParent())
+    if fs.exists(d):
+        fs.delete(d, True)
     return bool(fs.rename(s, d))
