@@ -57,3 +57,39 @@ def test_salted_join_equals_plain_join(spark, facts, min_rows, salt_rows):
         plain = sorted(tuple(r) for r in f.join(d, "k", how).select("id", "k", "v").collect())
         salted = sorted(tuple(r) for r in salted_join(f, d, "k", hot, salt_by=["id"], how=how).select("id", "k", "v").collect())
         assert salted == plain
+
+
+def _py_active(v):
+    """Plain-Python statement of the boolean rule (trim, lower, token lists,
+    then an integer literal: non-zero is true; anything else false)."""
+    if v is None:
+        return False
+    s = v.strip(" ").lower()
+    if s in {"1", "true", "yes", "y", "t"}:
+        return True
+    if s in {"0", "false", "no", "n", "f"}:
+        return False
+    body = s[1:] if s[:1] in "+-" else s
+    if body and body.isascii() and body.isdigit():
+        return int(s) != 0
+    return False
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    values=st.lists(
+        st.one_of(
+            st.none(),
+            st.sampled_from(["1", " TRUE", "yes ", "Y", "t", "0", "False", "no", "N", "f", "2", "-0", "+7", "1.0", "maybe", "", " "]),
+            st.from_regex(r"\A[ ]?[+-]?[0-9]{1,25}[ ]?\Z"),
+            st.text(alphabet="tTfFyYnN01 +-.x", max_size=6),
+        ),
+        min_size=1,
+        max_size=30,
+    )
+)
+def test_active_flag_matches_python_rule(spark, values):
+    from ledgerloom.functions import active_flag
+
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in values], "v string").select(active_flag("v")).collect()]
+    assert got == [_py_active(v) for v in values]
