@@ -167,3 +167,9 @@ def test_hot_order_copies_salted_refund_join(spark):
     plain = report(spark, d, c, r, grain="all", hot_rows=None)
     salted = report(spark, d, c, r, grain="all", hot_rows=4)
     assert plain == salted == [(D1, "Paris", "web", 1, 1, 30.0, 60.0, 30.0, 30.0)]
+
+
+def test_p17_customers_without_is_active_are_inactive(spark):
+    d = docs(spark, [("o1", "c1", "web", "2025-03-01", "paid", [item("1", "5")])])
+    c = spark.createDataFrame([("c1", "Paris")], "customer_id string, city string")
+    assert report(spark, d, c, refunds(spark, [])) == []
