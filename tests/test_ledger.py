@@ -173,3 +173,19 @@ def test_p17_customers_without_is_active_are_inactive(spark):
     d = docs(spark, [("o1", "c1", "web", "2025-03-01", "paid", [item("1", "5")])])
     c = spark.createDataFrame([("c1", "Paris")], "customer_id string, city string")
     assert report(spark, d, c, refunds(spark, [])) == []
+
+
+def test_d15_ids_compare_as_strings(spark):
+    d = docs(spark, [("o1", "7", "web", "2025-03-01", "paid", [item("1", "5")])])
+    c = cust(spark, [("007", "Paris", "1")])  # not the same id as "7"
+    assert report(spark, d, c, refunds(spark, [])) == []
+
+
+def test_d21_nothing_left_gives_typed_empty_outputs(spark):
+    from ledgerloom.schemas import DAILY_CITY_SALES, ORDERS_CLEAN
+
+    d = docs(spark, [("o1", "c1", "web", "2025-03-01", "pending", [item("1", "5")])])
+    frames = from_documents(d, cust(spark, [("c1", "Paris", "1")]), refunds(spark, []))
+    assert frames.report.count() == 0 and frames.orders_clean.count() == 0
+    assert [f.name for f in frames.report.schema.fields] == [f.name for f in DAILY_CITY_SALES.fields]
+    assert [f.name for f in frames.orders_clean.schema.fields] == [f.name for f in ORDERS_CLEAN.fields]
