@@ -21,8 +21,8 @@ from pyspark.sql import SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.schemas import CUSTOMERS_FILE, ORDERS_FILE_PREFIX, REFUNDS_FILE
-from ledgerloom.session import fingerprint, list_paths, path_exists, rename_path, work_path
-from ledgerloom.sinks.files import write_csv
+from ledgerloom.session import fingerprint, list_paths, move_files, path_exists, work_path
+from ledgerloom.sinks.files import file_writers, write_csv
 from ledgerloom.sources import tables as T
 from ledgerloom.sources.files import MONTH_PARTITION
 
@@ -31,7 +31,7 @@ DAY = "order_day"
 # Fixed values of the staged fixture: month that receives a malformed file.
 BAD_MONTH = "1997-03"
 # bumped whenever the staged layout changes, so old copies are not reused
-LAYOUT_VERSION = "3"
+LAYOUT_VERSION = "5"
 BAD_TEXT = '{"order_id": "broken", "items": [ this is not json'
 
 
@@ -85,10 +85,15 @@ def stage_daily_files(spark: SparkSession, sf_dir: str) -> str:
     doc = F.to_json(F.struct("order_id", "customer_id", "channel", "created_at", "payment_status", "items"))
     text = F.concat(F.when(rn == 1, F.lit("[\n")).otherwise(F.lit("")), doc, F.when(rn == n, F.lit("\n]")).otherwise(F.lit(",")))
     parts = f"{base}/daily_parts"
+    # the explicit day shuffle keeps its partition count (AQE would shrink
+    # a small input to a few tasks, each then writing many day files)
+    docs = docs.repartition(file_writers(spark), DAY)
     docs.select(DAY, text.alias("value")).write.mode("overwrite").partitionBy(DAY).text(parts)
+    moves = []
     for path in list_paths(spark, f"{parts}/{DAY}=*/part-*"):
         day = path.rsplit("/", 2)[-2].split("=", 1)[1]
-        rename_path(spark, path, f"{folder}/{ORDERS_FILE_PREFIX}{day}.json")
+        moves.append((path, f"{folder}/{ORDERS_FILE_PREFIX}{day}.json"))
+    move_files(spark, moves, folder)
     write_csv(T.customers_raw(spark, sf_dir), f"{folder}/{CUSTOMERS_FILE}", sep=",")
     write_csv(T.refunds_raw(spark, sf_dir), f"{folder}/{REFUNDS_FILE}", sep=",")
     return folder

@@ -64,13 +64,14 @@ def list_paths(spark: SparkSession, pattern: str) -> list[str]:
     return [str(st.getPath().toString()) for st in found]
 
 
-def rename_path(spark: SparkSession, src: str, dst: str) -> bool:
-    """Move one file or folder (a metadata operation on the file system);
-    an existing ``dst`` is replaced, so a rerun after a failure is safe."""
+def move_files(spark: SparkSession, moves: list[tuple[str, str]], target_dir: str) -> int:
+    """Move many files into ``target_dir`` (file-system metadata only).
+    The folder is emptied first, so a rerun after a failure starts clean;
+    one file-system handle serves every move. Returns the number moved."""
     jvm = spark.sparkContext._jvm
-    fs, s = _fs_and_path(spark, src)
-    d = jvm.org.apache.hadoop.fs.Path(dst)
-    fs.mkdirs(d.getParent())
-    if fs.exists(d):
-        fs.delete(d, True)
-    return bool(fs.rename(s, d))
+    fs, folder = _fs_and_path(spark, target_dir)
+    if fs.exists(folder):
+        fs.delete(folder, True)
+    fs.mkdirs(folder)
+    Path = jvm.org.apache.hadoop.fs.Path
+    return sum(bool(fs.rename(Path(src), Path(dst))) for src, dst in moves)

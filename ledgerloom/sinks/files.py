@@ -31,6 +31,16 @@ from ledgerloom.schemas import (
 DAY_COLUMN = "day"
 
 
+def file_writers(spark) -> int:
+    """Writer tasks for outputs with one file per key: the session's
+    shuffle partition count (default parallelism when that is not a
+    number)."""
+    try:
+        return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    except (TypeError, ValueError):
+        return max(1, spark.sparkContext.defaultParallelism)
+
+
 def write_csv(
     df: DataFrame,
     path: str,
@@ -109,10 +119,15 @@ def export_daily_csvs(
     if not replace_empty and report.isEmpty():
         return False
     text = formatted_report(report, float_format)
+    # One file per day: the cost of this write is per file, not per byte,
+    # so the day shuffle keeps the session's partition count (an explicit
+    # count, which AQE does not coalesce) and days are written in
+    # parallel instead of all by the one task a small report shrinks to.
+    writers = file_writers(report.sparkSession)
     per_day = (
         text.where(F.col("date").isNotNull())
         .withColumn(DAY_COLUMN, day_key(F.to_date("date")))
-        .repartition(DAY_COLUMN)
+        .repartition(writers, DAY_COLUMN)
         .sortWithinPartitions(DAY_COLUMN, "city", "channel")
     )
     write_csv(per_day, f"{out_dir}/{DAILY_PREFIX.rstrip('_')}", sep, encoding, partition_by=DAY_COLUMN)
