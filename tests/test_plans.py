@@ -54,3 +54,21 @@ def test_entry_contract(spark):
     assert shape(df.schema) == shape(DAILY_CITY_SALES)
     assert shape(E.queries()["orders_clean"](spark, SF).schema) == shape(ORDERS_CLEAN)
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_flagship_exchanges_at_scale_settings(spark):
+    """With no broadcast allowed (as when every side is large), the whole
+    chain needs at most 8 hash exchanges: items, heads and refund sums on
+    order_id; the hot-key count; per-order rows and the customer dimension
+    on (customer_id, salt) -- the dimension only once; two report levels."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(catalog.daily_city_sales(spark, SF))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert len(exchanges) <= 8
+    assert sum(1 for e in exchanges if e.startswith("customer_id") and "_salt" in e) == 2
+    assert "SortMergeJoin" in plan and "Expand" not in plan
