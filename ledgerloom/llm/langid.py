@@ -128,7 +128,7 @@ def train(texts: list[str], labels: list[str], seed: int = 7) -> Model | None:
     right = p.argmax(axis=1) == y
     top = np.sort(p.max(axis=1)[right]) if right.any() else np.zeros(1)
     # below every right score but a share, and never above an even chance
-    reject_below = min(0.5, float(top[int((1 - KEEP_SHARE) * len(top))]) * 0.9)
+    reject_below = min(0.5, float(top[int((1 - KEEP_SHARE) * len(top))]) * 0.8)
     return Model(langs, table.astype(np.float32), bias, float(temperature), reject_below)
 
 
