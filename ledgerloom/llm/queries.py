@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import exact_dedup, langid, mixing, packing, url_filter
+from ledgerloom.llm import exact_dedup, langid, mixing, packing, pii, quality_rules, quote_threads, url_filter
 from ledgerloom.llm.common import table
 
 
@@ -16,6 +16,14 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, langid.fit(docs))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
+def op4_quote_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quote_threads.link(table(spark, sf_dir, "conversations"))
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
@@ -28,13 +36,27 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.group_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_rules.judge(docs, quality_rules.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan_mix(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_language_id, op5_url_filter, op6_packing, op8_exact_dedup, op10_mixing)
+    for f in (
+        op2_language_id,
+        op3_pii,
+        op4_quote_threads,
+        op5_url_filter,
+        op6_packing,
+        op8_exact_dedup,
+        op9_quality_rules,
+        op10_mixing,
+    )
 }
 
 SQL: dict[str, str] = {}
@@ -106,3 +128,46 @@ select page_id, host, path, rule,
             else 'allow' end as verdict
 from m
 """
+
+SQL["op4_quote_threads"] = r"""
+with recursive m as (
+  select row_number() over () as id, conv_id, turn, role, string_split(coalesce(text, ''), chr(10)) as ls from conversations),
+l as (select id, conv_id, turn, unnest(ls) as line, generate_subscripts(ls, 1) as i from m),
+k as (select *, regexp_extract(line, '^[ \t>]*>') as mark from l),
+b as (select *, length(regexp_replace(mark, '[ \t]', '', 'g')) as level, substr(line, length(mark) + 1) as body from k),
+r as (
+  select *, case when trim(regexp_replace(body, '[\x20\x09-\x0D]+', ' ', 'g')) = '' then -1 else level end as run,
+         lead(level) over (partition by id order by i) as next_level
+  from b),
+g as (select *, i - row_number() over (partition by id, run order by i) as island from r),
+p as (
+  select conv_id, turn, run as level,
+         md5(lower(trim(regexp_replace(string_agg(body, ' ' order by i), '[\x20\x09-\x0D]+', ' ', 'g')))) as hash
+  from g where run >= 0 and conv_id is not null and turn is not null group by id, conv_id, turn, run, island),
+d as (select distinct * from p),
+q as (
+  select a.conv_id, a.turn, a.level, a.hash, max(o.turn) as found
+  from d a left join d o on o.conv_id = a.conv_id and o.hash = a.hash and o.level = 0 and o.turn < a.turn
+  where a.level > 0 group by all),
+n as (
+  select conv_id, turn, count(*) as n_quotes, count(found) as n_linked,
+         arg_min(found, level * 1000000000 - found) filter (found is not null) as answered
+  from q group by all),
+t as (
+  select conv_id, turn, lag(turn) over (partition by conv_id order by turn) as prior
+  from (select distinct conv_id, turn from m where conv_id is not null and turn is not null)),
+a as (
+  select t.conv_id, t.turn, coalesce(answered, prior) as reply_to, coalesce(n_quotes, 0) as n_quotes, coalesce(n_linked, 0) as n_linked
+  from t left join n using (conv_id, turn)),
+x as (
+  select conv_id, turn, 0 as depth, turn as thread from a where reply_to is null
+  union all
+  select a.conv_id, a.turn, x.depth + 1, x.thread from a join x on a.conv_id = x.conv_id and a.reply_to = x.turn),
+c as (
+  select id, regexp_replace(coalesce(string_agg(body, chr(10) order by i), ''), '^[\s]+|[\s]+$', '', 'g') as clean_text
+  from r where level = 0 and not (regexp_matches(body, '^[ \t]*On .* wrote:[ \t\r]*$') and coalesce(next_level > 0, false))
+  group by id)
+select m.conv_id, m.turn, m.role, a.reply_to, coalesce(x.depth, 0)::bigint as depth, coalesce(x.thread, m.turn) as thread,
+       coalesce(a.n_quotes, 0)::bigint as n_quotes, coalesce(a.n_linked, 0)::bigint as n_linked, coalesce(c.clean_text, '') as clean_text
+from m left join a using (conv_id, turn) left join x using (conv_id, turn) left join c using (id)
+"""
