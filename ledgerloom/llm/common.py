@@ -41,6 +41,16 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def pick_rows(docs: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose ``key`` is in ``keys`` (one column, named
+    ``key``, distinct); of repeated rows with one key, one."""
+    name = fresh(docs, "_key")
+    kept = keys.select(F.col("key").alias(name))
+    hit = docs.withColumn(name, key).alias("d").join(kept.alias("k"), F.expr(f"d.{name} <=> k.{name}"), "left_semi")
+    firsts = [F.first(F.col(f"`{c}`")).alias(c) for c in docs.columns]
+    return hit.groupBy(name).agg(*firsts).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def word_count(text: Column) -> Column:
     """Number of words: white-space runs between non-blank ends, plus one.
     Null and blank texts have none."""

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import SPACE, fresh, mix64, written
+from ledgerloom.llm.common import SPACE, mix64, pick_rows, written
 
 SHARD_DIGESTS = 50_000  # digests of a shard on average: about 3 MB of slots
 INDEX_SCHEMA = "shard long, levels binary, bits binary, digests binary, winners binary, no_id binary"
@@ -193,15 +193,10 @@ def group_documents(docs: DataFrame) -> DataFrame:
 def keep_distinct(docs: DataFrame, history: DataFrame | None = None) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: the first
     row of each group of equal texts, and none that ``history`` has."""
-    digest, key = fresh(docs, "_digest"), fresh(docs, "_key")
-    hashed = docs.withColumn(digest, digest_of(F.col("text")))
-    verdicts = decide(hashed.select("doc_id", F.col(digest).alias("digest")), history)
+    digest = digest_of(F.col("text"))
+    verdicts = decide(docs.select("doc_id", digest.alias("digest")), history)
     if history is not None:
         verdicts = verdicts.where("not member")
     # the key holds digest and id, so a hot digest is dealt by its ids
-    stays = verdicts.select(F.struct(F.col("digest"), F.col("keep_id")).alias(key))
-    cols = [F.first(c).alias(c) for c in docs.columns]
-    out = hashed.withColumn(key, F.struct(F.col(digest), F.col("doc_id"))).join(
-        stays, F.col(key).eqNullSafe(stays[key]), "left_semi"
-    )
-    return out.groupBy(key).agg(*cols).select(*[F.col(f"`{c}`") for c in docs.columns])
+    stays = verdicts.select(F.struct("digest", F.col("keep_id").alias("doc_id")).alias("key"))
+    return pick_rows(docs, F.struct(digest.alias("digest"), F.col("doc_id").alias("doc_id")), stays)

@@ -24,6 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.common import written
 from ledgerloom.llm.native import let, words_of
 
 WINDOW = 8
@@ -203,11 +204,13 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = SAMPLE_ROWS) -> list
         .limit(max_rows)
     )
     labelled = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")  # at most max_rows
-    stats = statistics(labelled.select("doc_id", "text"))
+    # written, so that no feature expression repeats the statistics' work
+    stats = written(statistics(labelled.select("doc_id", "text")), "statistics")
     cols = [c.alias(n) for n, c in features().items()]
     seen = stats.join(F.broadcast(picked), "doc_id").select("doc_id", "quality", *cols).collect()
     seen.sort(key=lambda r: tuple(r))
-    return learn([({n: r[n] for n in features()}, 1 - r["quality"]) for r in seen])
+    names = seen[0].asDict().keys() - {"doc_id", "quality"} if seen else set()
+    return learn([({n: r[n] for n in sorted(names)}, 1 - r["quality"]) for r in seen])
 
 
 def verdict(rules: list[Rule]) -> Column:

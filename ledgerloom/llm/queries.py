@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import exact_dedup, langid, mixing, packing, pii, quality_rules, quote_threads, url_filter
+from ledgerloom.llm import exact_dedup, langid, mixing, near_dedup, packing, pii, quality_rules, quote_threads, url_filter
 from ledgerloom.llm.common import table
 
 
@@ -32,6 +32,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest_pieces(packing.pack(table(spark, sf_dir, "documents")))
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.group_documents(table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_quote_threads,
         op5_url_filter,
         op6_packing,
+        op7_near_dedup,
         op8_exact_dedup,
         op9_quality_rules,
         op10_mixing,
