@@ -8,14 +8,19 @@ the XOR of two bitmaps keeps the samples on which they differ, and its
 population count estimates the similarity precisely where it is high.
 
 Classes that share a band key are candidates, but no bucket's pairs are
-written out. In the first round each bucket pairs its first member with
-the others: linear in its size, and it merges groups of copies. Only
-buckets that still hold several components go on; each further round
-takes the next few members as pivots against the bucket's members of
-other components, until no bucket has an untested pair across components.
-Pairs whose odd sketches estimate far too low are dropped (``SKETCH_FLOOR``
-lies over six standard deviations below the threshold); all others are
-confirmed on the full sets. Components follow from confirmed links.
+written out. In the first round each bucket pairs its most central member
+(the one in the largest buckets: the original of its copies) with the
+others: linear in its size, and it merges groups of copies. Only buckets
+that still hold several components go on; each further round takes the
+next few members as pivots against the bucket's members of other
+components, until no bucket has an untested pair across components.
+
+Two exact bounds close most buckets at once. Shingles that no other
+candidate has cannot be shared, so a set of n shingles with s shared ones
+links only with sets of at most s * (100 + p) / p - n shingles. Pairs
+whose odd sketches estimate far too low (``SKETCH_FLOOR``, six standard
+deviations below the threshold) are dropped; all others are confirmed on
+the full sets. Components follow from confirmed links.
 
 With 20 bands of 4 values a pair at the threshold of 0.85 is missed with
 probability 4e-7.
@@ -44,7 +49,7 @@ from ledgerloom.llm.graph import components
 ROWS, BANDS = 4, 20
 HASHES = ROWS * BANDS
 SKETCH_BITS = 512
-SKETCH_FLOOR = 0.55
+SKETCH_FLOOR = 0.6
 FIRST_PIVOTS, MOST_PIVOTS = 4, 64
 CHUNK_BYTES = 2 << 20
 
@@ -194,46 +199,46 @@ def _close_sketches(pairs: DataFrame, classes: DataFrame, floor: float) -> DataF
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(node, n, values) for classes ``wanted`` (node, doc_id, digest):
+    """(node, shingles) for classes ``wanted`` (node, doc_id, digest):
     their texts are read again and the digest is checked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = list(_sets_of(batch.column("text"), size))
+            ends = np.concatenate(([0], np.cumsum([len(v) for v in found]))).astype(np.int32)
+            values = np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([_digest(v) for v in found], pa.binary()), pa.array([v.tobytes() for v in found], pa.binary())],
-                names=["digest", "values"],
+                [pa.array([_digest(v) for v in found], pa.binary()), pa.ListArray.from_arrays(ends, values)],
+                names=["digest", "shingles"],
             )
 
     ids = wanted.select(F.col("doc_id").alias("want")).distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     texts = texts.join(ids, F.col("doc_id").eqNullSafe(F.col("want")), "left_semi").select("text")
-    sets = texts.mapInArrow(run, "digest binary, values binary")
+    sets = texts.mapInArrow(run, "digest binary, shingles array<long>")
     # rows that share an id may share a digest: one of them is enough
-    return sets.join(wanted.select("node", "digest"), "digest").groupBy("node").agg(F.first("values").alias("values"))
+    return sets.join(wanted.select("node", "digest"), "digest").groupBy("node").agg(F.first("shingles").alias("shingles"))
+
+
+def size_limits(sets: DataFrame, percent: int) -> DataFrame:
+    """(node, n, most): set size, and the largest set it can link with."""
+    each = sets.select("node", F.explode("shingles").alias("s"))
+    own = each.groupBy("s").agg(F.count(F.lit(1)).alias("times"), F.min("node").alias("node")).where("times = 1")
+    unshared = own.groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
+    n, shared = F.col("n"), F.col("n") - F.coalesce("alone", F.lit(0))
+    return (
+        sets.select("node", F.size("shingles").cast("long").alias("n"))
+        .join(unshared, "node", "left")
+        .select("node", "n", (F.floor(shared * (100 + percent) / percent).cast("long") - n).alias("most"))
+    )
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs with 100 * intersection >= percent * union."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ok = []
-            for x, y in zip(batch.column("a_set"), batch.column("b_set")):
-                p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if len(p) > len(q):
-                    p, q = q, p
-                at = np.searchsorted(q, p)
-                at[at == len(q)] = 0
-                both = int((q[at] == p).sum())
-                ok.append(100 * both >= percent * (len(p) + len(q) - both))
-            keep = pa.array(ok, pa.bool_())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"]
-            )
-
-    own = lambda c: sets.select(F.col("node").alias(c), F.col("values").alias(f"{c}_set"))
-    return pairs.join(own("b"), "b").join(own("a"), "a").select("a", "b", "a_set", "b_set").mapInArrow(run, "a long, b long")
+    own = lambda c: sets.select(F.col("node").alias(c), F.col("shingles").alias(f"{c}_set"))
+    both = F.size(F.array_intersect("a_set", "b_set"))
+    joined = pairs.join(own("b"), "b").join(own("a"), "a").select("a", "b", both.alias("both"), F.size("a_set").alias("m"), F.size("b_set").alias("n"))
+    return joined.where(100 * F.col("both") >= percent * (F.col("m") + F.col("n") - F.col("both"))).select("a", "b")
 
 
 def _labelled(nodes: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -246,37 +251,53 @@ def link_classes(docs: DataFrame, classes: DataFrame, size: int, percent: int) -
     """(node, label) of the linked classes. ``classes`` is the written
     (node, doc_id, digest, bands, sketch)."""
     members = classes.select("node", F.explode("bands").alias("key"))
-    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("pivot")).where("size > 1")
-    buckets = written(members.join(shared.select("key", "pivot"), "key"), "buckets")
-    pairs = buckets.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    links = labels = sets = None
-    left = buckets.where("node <> pivot").select("key", "node")
+    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("together")).where("together > 1")
+    buckets = written(members.join(shared, "key"), "buckets")
+    central = written(buckets.groupBy("node").agg(F.sum("together").alias("central")), "central")
+    wanted = classes.join(central, "node", "left_semi")
+    sets = written(full_sets(docs, wanted.select("node", "doc_id", "digest"), size), "sets")
+    limits = size_limits(sets, percent)
+    # a set that no set of at least its least partner's size can reach is out
+    limits = limits.where(100 * F.col("most") >= percent * F.col("n"))
+    nodes = written(central.join(limits, "node"), "nodes")
+    buckets = written(buckets.select("key", "node").join(nodes, "node"), "buckets")
+    top = buckets.groupBy("key").agg(F.max(F.struct("central", (-F.col("node")).alias("minus"), "n", "most")).alias("top"))
+    top = top.select("key", (-F.col("top.minus")).alias("p"), F.col("top.n").alias("p_n"), F.col("top.most").alias("p_most"))
+    fits = "p <> node and n <= p_most and p_n <= most"
+    pairs = buckets.join(top, "key").where(fits).select(F.col("p").alias("a"), F.col("node").alias("b"))
+    left = buckets.join(top.select("key", F.col("p").alias("node")), ["key", "node"], "left_anti").select("key", "node", "n", "most")
+    links = labels = None
     pivots = FIRST_PIVOTS
     while True:
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         close = written(_close_sketches(pairs, classes, SKETCH_FLOOR), "candidates")
-        nodes = close.select(F.col("a").alias("node")).union(close.select(F.col("b").alias("node"))).distinct()
-        wanted = classes.join(nodes if sets is None else nodes.join(sets.select("node"), "node", "left_anti"), "node", "left_semi")
-        more = written(full_sets(docs, wanted.select("node", "doc_id", "digest"), size), "sets")
-        sets = more if sets is None else sets.unionByName(more)
         found = written(confirm(close, sets, percent), "links")
         if not found.isEmpty():
             links = found if links is None else links.unionByName(found)
             labels = components(links)
-        # buckets that still hold several components have untested pairs
+        # only buckets with several components, and sizes that can meet
         left = _labelled(left, labels)
-        several = left.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-        left = written(left.join(several.select("key"), "key"), "open")
+        open_keys = (
+            left.groupBy("key")
+            .agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("n").alias("least"), F.max("most").alias("reach"))
+            .where("low <> high")
+            .select("key", "least", "reach")
+        )
+        left = left.join(open_keys, "key").where("least <= most and n <= reach").select("key", "node", "n", "most", "label")
+        left = written(left, "open")
         if left.isEmpty():
             return labels
         nth = F.row_number().over(Window.partitionBy("key").orderBy("node"))
         first = written(left.withColumn("nth", nth).where(F.col("nth") <= pivots), "pivots")
         pairs = (
             left.alias("m")
-            .join(first.alias("p"), F.expr("m.key = p.key and m.label <> p.label and p.node < m.node"))
+            .join(
+                first.alias("p"),
+                F.expr("m.key = p.key and m.label <> p.label and p.node < m.node and m.n <= p.most and p.n <= m.most"),
+            )
             .select(F.col("p.node").alias("a"), F.col("m.node").alias("b"))
-            .distinct()
         )
-        left = left.join(first.select("key", "node"), ["key", "node"], "left_anti").select("key", "node")
+        left = left.join(first.select("key", "node"), ["key", "node"], "left_anti").select("key", "node", "n", "most")
         pivots = min(2 * pivots, MOST_PIVOTS)
 
 
