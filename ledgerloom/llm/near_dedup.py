@@ -15,12 +15,15 @@ that still hold several components go on; each further round takes the
 next few members as pivots against the bucket's members of other
 components, until no bucket has an untested pair across components.
 
-Two exact bounds close most buckets at once. Shingles that no other
-candidate has cannot be shared, so a set of n shingles with s shared ones
-links only with sets of at most s * (100 + p) / p - n shingles. Pairs
-whose odd sketches estimate far too low (``SKETCH_FLOOR``, over five
-standard deviations below 0.8) are dropped; all others are confirmed on
-the full sets. Components follow from confirmed links.
+Exact bounds close most buckets at once. A set of n shingles of which
+others can share s links only with sets of at most s * (100 + p) / p - n
+shingles; s leaves out shingles that no other candidate has, and for
+members of a bucket those that its pivot does not have. Members that share
+a shingle outside their pivot meet again in a bucket of that shingle. In
+the later rounds, pairs whose odd sketches estimate far too low
+(``SKETCH_FLOOR``, over five standard deviations below 0.8) are dropped;
+all others are confirmed on the full sets. Components follow from
+confirmed links.
 
 With 24 bands of 4 values a pair at a threshold of 0.85 is missed with
 probability 2e-8, at 0.8 with 3e-6.
@@ -233,12 +236,19 @@ def size_limits(sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs with 100 * intersection >= percent * union."""
+def overlaps(pairs: DataFrame, sets: DataFrame, outside: bool = False) -> DataFrame:
+    """(a, b, both, m, n): intersection and sizes of each pair's full sets;
+    with ``outside``, the shingles of b that a does not have."""
     own = lambda c: sets.select(F.col("node").alias(c), F.col("shingles").alias(f"{c}_set"))
     both = F.size(F.array_intersect("a_set", "b_set"))
-    joined = pairs.join(own("b"), "b").join(own("a"), "a").select("a", "b", both.alias("both"), F.size("a_set").alias("m"), F.size("b_set").alias("n"))
-    return joined.where(100 * F.col("both") >= percent * (F.col("m") + F.col("n") - F.col("both"))).select("a", "b")
+    more = [F.array_except("b_set", "a_set").alias("outside")] if outside else []
+    joined = pairs.join(own("b"), "b").join(own("a"), "a")
+    return joined.select("a", "b", both.alias("both"), F.size("a_set").alias("m"), F.size("b_set").alias("n"), *more)
+
+
+def linked(percent: int) -> Column:
+    """100 * intersection >= percent * union."""
+    return 100 * F.col("both") >= percent * (F.col("m") + F.col("n") - F.col("both"))
 
 
 def _labelled(nodes: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -261,20 +271,36 @@ def link_classes(docs: DataFrame, classes: DataFrame, size: int, percent: int) -
     limits = limits.where(100 * F.col("most") >= percent * F.col("n"))
     nodes = written(central.join(limits, "node"), "nodes")
     buckets = written(buckets.select("key", "node").join(nodes, "node"), "buckets")
-    top = buckets.groupBy("key").agg(F.max(F.struct("central", (-F.col("node")).alias("minus"), "n", "most")).alias("top"))
-    top = top.select("key", (-F.col("top.minus")).alias("p"), F.col("top.n").alias("p_n"), F.col("top.most").alias("p_most"))
-    fits = "p <> node and n <= p_most and p_n <= most"
-    pairs = buckets.join(top, "key").where(fits).select(F.col("p").alias("a"), F.col("node").alias("b"))
-    left = buckets.join(top.select("key", F.col("p").alias("node")), ["key", "node"], "left_anti").select("key", "node", "n", "most")
-    links = labels = None
+    top = buckets.groupBy("key").agg(F.max(F.struct("central", (-F.col("node")).alias("minus"))).alias("top"))
+    top = top.select("key", (-F.col("top.minus")).alias("p"))
+    # first round: every bucket's pivot against its members, on full sets
+    spokes = buckets.join(top, "key").where("p <> node").select("key", "p", "node", "n", "most")
+    star = spokes.select(F.col("p").alias("a"), F.col("node").alias("b")).distinct()
+    star = written(overlaps(star, sets, outside=True), "star")
+    links = star.where(linked(percent)).select("a", "b")
+    labels = None if links.isEmpty() else components(links)
+    # members of a bucket meet through shingles of its pivot, which limits
+    # their sizes, or share a shingle that the pivot does not have
+    known = star.select(F.col("a").alias("p"), F.col("b").alias("node"), F.floor(F.col("both") * (100 + percent) / percent - F.col("n")).cast("long").alias("through"))
+    through = F.least("most", F.coalesce("through", "most")).alias("most")
+    near = spokes.join(known, ["p", "node"], "left").select("key", "node", "n", through)
+    beyond = (
+        star.select("a", F.col("b").alias("node"), F.explode("outside").alias("s"))
+        .select(F.xxhash64("a", "s").alias("key"), "node")
+        .join(nodes.select("node", "n", "most"), "node")
+        .select("key", "node", "n", "most")
+    )
+    left = written(near.unionByName(beyond), "left")
+    pairs = None
     pivots = FIRST_PIVOTS
     while True:
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        close = written(_close_sketches(pairs, classes, SKETCH_FLOOR), "candidates")
-        found = written(confirm(close, sets, percent), "links")
-        if not found.isEmpty():
-            links = found if links is None else links.unionByName(found)
-            labels = components(links)
+        if pairs is not None:
+            pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+            close = written(_close_sketches(pairs, classes, SKETCH_FLOOR), "candidates")
+            found = written(overlaps(close, sets).where(linked(percent)).select("a", "b"), "links")
+            if not found.isEmpty():
+                links = links.unionByName(found)
+                labels = components(links)
         # only buckets with several components, and sizes that can meet
         left = _labelled(left, labels)
         open_keys = (
