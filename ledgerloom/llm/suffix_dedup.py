@@ -46,6 +46,7 @@ WINDOW = 50
 GRAM = 18
 BLOCK_BYTES = 4 << 20
 SHARD_BYTES = 256 << 10
+STRETCH = 1 << 20
 SHARDS = 4  # merged at once
 NO_ID = np.iinfo(np.int64).max
 BLOB = "target long, origin long, data binary"
@@ -67,33 +68,38 @@ def gram_hashes(raw: np.ndarray) -> np.ndarray:
     )
 
 
-def anchor_runs(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(anchor hash, anchor position, first window, last window, text) of
-    every run of windows that share an anchor."""
-    none = np.zeros(0, np.int64)
+def _runs(raw: np.ndarray, at: int, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """``anchor_runs`` of the windows in ``raw``, which starts at ``at``."""
     h = gram_hashes(raw)
-    n = len(raw) - WINDOW + 1
-    if n <= 0:
-        return h[:0], none, none, none, none
     span = WINDOW - GRAM + 1
-    best, width = np.arange(len(h)), 1
+    best, width = np.arange(len(h), dtype=np.int32), 1
     while width < span:
         step = min(width, span - width)
         left, right = best[: len(best) - step], best[step:]
         best = np.where(h[right] < h[left], right, left)  # ties: the leftmost
         width += step
-    best = best[:n]
-    start = np.arange(n)
+    start = np.arange(at, at + len(raw) - WINDOW + 1)
     text = np.searchsorted(offsets, start, "right") - 1
     valid = start + WINDOW <= offsets[text + 1]
     start, best, text = start[valid], best[valid], text[valid]
-    if not len(start):
-        return h[:0], none, none, none, none
     new = np.ones(len(start), bool)
     new[1:] = (best[1:] != best[:-1]) | (start[1:] != start[:-1] + 1)
     first = np.flatnonzero(new)
-    last = np.concatenate((first[1:], [len(start)])) - 1
-    return h[best[first]], best[first], start[first], start[last], text[first]
+    last = np.append(first[1:], len(start))[: len(first)] - 1
+    return h[best[first]], start[first], start[last], text[first]
+
+
+def anchor_runs(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(anchor hash, first window, last window, text) of every run of
+    windows that share an anchor, worked off in stretches of bounded size
+    (a run cut in two is two runs of one anchor)."""
+    found = [
+        _runs(raw[a : a + STRETCH + WINDOW - 1], a, offsets) for a in range(0, len(raw) - WINDOW + 1, STRETCH)
+    ]
+    if not found:
+        none = np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), none, none, none
+    return tuple(np.concatenate(part) for part in zip(*found))
 
 
 def _blob(target: list[int], origin: list[int], data: list[bytes]) -> pa.Table:
@@ -311,7 +317,7 @@ def dedup(docs: DataFrame) -> DataFrame:
         for batch in batches:
             raw, offsets = utf8(batch.column("text"))
             block = batch.column("block").to_numpy()
-            hashes, _, _, _, text = anchor_runs(raw, offsets)
+            hashes, _, _, text = anchor_runs(raw, offsets)
             of = block[text]
             for b in np.unique(of):
                 mine = of == b
@@ -332,7 +338,7 @@ def dedup(docs: DataFrame) -> DataFrame:
         texts, ids = _sorted_block(texts)
         raw, offsets = utf8(texts.column("text"))
         wanted = np.unique(np.concatenate([np.frombuffer(d.as_buffer(), np.uint64) for d in shared.column("data")]))
-        hashes, _, first, last, text = anchor_runs(raw, offsets)
+        hashes, first, last, text = anchor_runs(raw, offsets)
         spot = np.minimum(np.searchsorted(wanted, hashes), len(wanted) - 1)
         hit = np.flatnonzero(wanted[spot] == hashes)
         body = raw.tobytes()
