@@ -126,18 +126,16 @@ def _sorted_block(table: pa.Table) -> tuple[pa.Table, np.ndarray]:
     return table, table.column("doc_id").fill_null(NO_ID).to_numpy()
 
 
+_ASKED = np.dtype([("anchor", "<u8"), ("block", "<u4"), ("many", "?")])
+
+
 def _shared(table: pa.Table) -> pa.Table:
     """Of a bucket's anchors, those in two documents, sent to the blocks
     that have them."""
-    origins, parts, twice = [], [], []
-    for origin, data in zip(table.column("origin").to_pylist(), table.column("data")):
-        got = np.frombuffer(data.as_buffer(), np.uint64).reshape(2, -1)
-        parts.append(got[0])
-        twice.append(got[1] > 1)
-        origins.append(np.full(got.shape[1], origin))
-    hashes, many, origin = np.concatenate(parts), np.concatenate(twice), np.concatenate(origins)
+    asked = np.concatenate([np.frombuffer(d.as_buffer(), _ASKED) for d in table.column("data")])
+    hashes, many, origin = asked["anchor"], asked["many"], asked["block"].astype(np.int64)
     value, where, count = np.unique(hashes, return_inverse=True, return_counts=True)
-    keep = (count > 1)
+    keep = count > 1
     keep[where[many]] = True
     chosen = keep[where]
     hashes, origin = hashes[chosen], origin[chosen]
@@ -273,6 +271,13 @@ def _judge(table: pa.Table) -> pa.Table:
     order = sorted(range(len(segments)), key=anchors.__getitem__)
     low_ids = np.array(ids, np.int64)
     a = 0
+    alone = []  # the only segment of its anchor: its intervals hold its id
+    for k, i in enumerate(order):
+        near = order[max(0, k - 1) : k] + order[k + 1 : k + 2]
+        if all(anchors[i] != anchors[j] for j in near):
+            alone.append(i)
+            found[i] = low_ids[i : i + 1]
+    order = sorted(set(order).difference(alone), key=lambda i: (anchors[i], i))
     while a < len(order):  # runs of whole anchors, of about SHARDS shards
         b, size = a, 0
         while b < len(order) and (size < SHARDS * SHARD_BYTES or anchors[order[b]] == anchors[order[b - 1]]):
@@ -316,20 +321,23 @@ def dedup(docs: DataFrame) -> DataFrame:
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, offsets = utf8(batch.column("text"))
-            block = batch.column("block").to_numpy()
             hashes, _, _, text = anchor_runs(raw, offsets)
-            of = block[text]
-            for b in np.unique(of):
-                mine = of == b
-                # once per document, then the number of documents
-                own, at = hashes[mine], text[mine]
-                order = np.lexsort((at, own))
-                own, at = own[order], at[order]
-                new = np.ones(len(own), bool)
-                new[1:] = (own[1:] != own[:-1]) | (at[1:] != at[:-1])
-                value, count = np.unique(own[new], return_counts=True)
-                out = [(k, np.stack([value[i], count[i].astype(np.uint64)]).tobytes()) for k, i in _by(value, blocks)]
-                yield from _blob([k for k, _ in out], [int(b)] * len(out), [d for _, d in out]).to_batches()
+            # once per document, then once per block, with its documents
+            order = np.lexsort((text, hashes))
+            own, at = hashes[order], text[order]
+            new = np.ones(len(own), bool)
+            new[1:] = (own[1:] != own[:-1]) | (at[1:] != at[:-1])
+            own, of = own[new], batch.column("block").to_numpy()[at[new]]
+            order = np.lexsort((of, own))
+            own, of = own[order], of[order]
+            new = np.ones(len(own), bool)
+            new[1:] = (own[1:] != own[:-1]) | (of[1:] != of[:-1])
+            first = np.flatnonzero(new)
+            asked = np.zeros(len(first), _ASKED)
+            asked["anchor"], asked["block"] = own[first], of[first]
+            asked["many"] = np.diff(first, append=len(own)) > 1
+            out = [(k, asked[i].tobytes()) for k, i in _by(asked["anchor"], blocks)]
+            yield from _blob([k for k, _ in out], [0] * len(out), [d for _, d in out]).to_batches()
 
     def send(texts: pa.Table, shared: pa.Table) -> pa.Table:
         if not texts.num_rows or not shared.num_rows:
@@ -384,7 +392,7 @@ def dedup(docs: DataFrame) -> DataFrame:
     shared = written(asked.groupBy("target").applyInArrow(_shared, BLOB), "anchors")
     texts = rows.groupBy("block")
     segments = texts.cogroup(shared.groupBy(F.col("target"))).applyInArrow(send, BLOB)
-    removed = written(written(segments, "segments").groupBy("target").applyInArrow(_judge, BLOB), "removed")
+    removed = written(segments.groupBy("target").applyInArrow(_judge, BLOB), "removed")
     return texts.cogroup(removed.groupBy("target")).applyInArrow(cut, RESULT)
 
 
