@@ -156,21 +156,30 @@ def disclosures(contexts: DataFrame, docs: DataFrame) -> DataFrame:
         known.join(enough.select("entity").distinct(), "entity", "left_semi").select("entity", "doc_id").distinct()
         .groupBy("entity").agg(F.count(F.lit(1)).alias("df_entity"))
     )
-    wanted = enough.select("term").distinct()
+    n = docs.agg(F.count(F.lit(1)).cast("double").alias("n"))
+
+    def ratio(df_term: str) -> Column:
+        pmi = F.log2(F.col("df_both") * F.col("n") / (F.col("df_entity") * F.col(df_term)))
+        own = F.log2(F.col("n") / F.col("df_entity"))
+        return F.when(own > 0, pmi / own).otherwise(F.lit(0.0))
+
+    # documents with the term near any entity are a part of its documents,
+    # so they bound the ratio from above: common terms go before the corpus
+    # is searched
+    near = known.select("term", "doc_id").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("df_near"))
+    counted = written(
+        together.join(entity, "entity").join(near, "term").join(F.broadcast(n)).where(ratio("df_near") >= GENERALISE), "counted"
+    )
+    wanted = counted.select("term").distinct()
     terms = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))
     in_corpus = docs.where("doc_id is not null and text is not null")
     single = (
         in_corpus.select("doc_id", F.explode(terms).alias("term")).join(wanted, "term", "left_semi")
         .groupBy("term").agg(F.count(F.lit(1)).alias("df_term"))
     )
-    n = docs.agg(F.count(F.lit(1)).cast("double").alias("n"))
-    pmi = F.log2(F.col("df_both") * F.col("n") / (F.col("df_entity") * F.col("df_term")))
-    own = F.log2(F.col("n") / F.col("df_entity"))
     return (
-        together.join(entity, "entity")
-        .join(single, "term")
-        .join(F.broadcast(n))  # one row
-        .select("entity", "term", F.when(own > 0, pmi / own).otherwise(F.lit(0.0)).alias("ratio"))
+        counted.join(single, "term")
+        .select("entity", "term", ratio("df_term").alias("ratio"))
         .where(F.col("ratio") >= GENERALISE)
     )
 
