@@ -32,7 +32,7 @@ def active_flag(c: ColumnOrName) -> Column:
     """F1 boolean token normaliser: trim + lower, then the true/false token
     lists, then an integer literal (non-zero is true), else false.
     Null gives false."""
-    t = F.lower(F.trim(_col(c).cast("string")))
+    t = F.lower(F.regexp_replace(_col(c).cast("string"), r"^\s+|\s+$", ""))
     as_int = F.when(t.rlike(r"^[+-]?[0-9]+$"), t.try_cast("decimal(38,0)") != 0)
     return (
         F.when(t.isin(TRUE_TOKENS), F.lit(True))

@@ -24,16 +24,22 @@ def keep_first(
     key: str | Sequence[str] = "order_id",
     order_by: Sequence[str] = ("created_at",),
     rank_col: str = "_rn",
+    prefer: str | None = None,
 ) -> DataFrame:
     """First row per ``key`` (one column or several) by ``order_by`` then
-    all other columns, all ascending with nulls last."""
+    all other columns, all ascending with nulls last; rows where the
+    boolean ``prefer`` is true come before all others."""
     keys = [key] if isinstance(key, str) else list(key)
     order = [c for c in order_by if c in df.columns and c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in order]
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order + rest])
+    w = Window.partitionBy(*keys).orderBy(
+        *[F.col(c).desc_nulls_last() for c in [prefer] if c in df.columns],
+        *[F.col(c).asc_nulls_last() for c in order + rest],
+    )
     return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) == 1).drop(rank_col)
 
 
-def unique_by_key(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
-    """One row per key, chosen deterministically by content."""
-    return keep_first(df, key=key, order_by=())
+def unique_by_key(df: DataFrame, key: str | Sequence[str], prefer: str | None = None) -> DataFrame:
+    """One row per key, chosen deterministically by content; a row
+    where the boolean ``prefer`` is true wins."""
+    return keep_first(df, key=key, order_by=(), prefer=prefer)

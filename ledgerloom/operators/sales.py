@@ -64,8 +64,9 @@ def type_customers(raw: DataFrame) -> DataFrame:
 
 def normalize_customers(raw: DataFrame) -> DataFrame:
     """F1/F4/P12 + D13: typed customer dimension, one row per customer_id
-    (duplicates resolved by content, so sums never fan out)."""
-    return unique_by_key(type_customers(raw), "customer_id")
+    (of duplicates an active one wins, then content decides, so sums never
+    fan out)."""
+    return unique_by_key(type_customers(raw), "customer_id", prefer="is_active")
 
 
 def active_customers(customers: DataFrame) -> DataFrame:
@@ -84,10 +85,10 @@ def attach_customers(orders: DataFrame, customers: DataFrame, hot: DataFrame | N
     orders are spread over several tasks by a salted join instead of
     landing in one."""
     if hot is None:
-        return orders.join(active_customers(unique_by_key(customers, "customer_id")), "customer_id", "inner")
+        return orders.join(active_customers(unique_by_key(customers, "customer_id", prefer="is_active")), "customer_id", "inner")
 
     def prepare(dim: DataFrame, keys: list[str]) -> DataFrame:
-        kept = unique_by_key(dim, keys)
+        kept = unique_by_key(dim, keys, prefer="is_active")
         return kept.where(F.col("is_active")).select(*keys, "city")
 
     return salted_join(orders, customers, "customer_id", hot, salt_by=["order_id"], prepare_dim=prepare)

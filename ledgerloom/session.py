@@ -3,8 +3,8 @@
 Intermediate files (staged inputs, written tables read back, streaming
 checkpoints) go under the folder the cluster names in
 ``spark.checkpoint.dir`` -- a shared file system every executor and the
-driver can see. Only when that setting is absent (local tests) is a
-folder created here and registered as the checkpoint directory.
+driver can see. A cluster without that setting is refused; a local
+session gets a folder of its own, registered as checkpoint directory.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ def shared_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="ledgerloom-checkpoints-")
         sc.setCheckpointDir(root)
     return root.rstrip("/")

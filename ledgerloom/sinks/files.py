@@ -54,6 +54,7 @@ def write_csv(
         .option("header", header)
         .option("sep", sep)
         .option("encoding", encoding)
+        .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
     )

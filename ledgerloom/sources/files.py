@@ -54,17 +54,26 @@ def read_csv(
     sep: str = ",",
     encoding: str = "utf-8",
 ) -> DataFrame:
-    """CSV (file or directory of part files) under a declared
-    schema; a missing path gives a typed empty frame."""
+    """CSV (file or directory of part files) as the declared
+    columns. With a header they are taken by name: other columns are
+    ignored, absent ones are null. Without one the schema is positional.
+    A missing path gives a typed empty frame."""
     reader = (
-        spark.read.schema(schema)
-        .option("header", header)
+        spark.read.option("header", header)
         .option("sep", sep)
         .option("encoding", encoding)
+        .option("escape", '"')
         .option("mode", "PERMISSIVE")
     )
     try:
-        return reader.csv(path)
+        if not header:
+            return reader.schema(schema).csv(path)
+        found = reader.csv(path)
+        own = {c.strip("\ufeff \t"): c for c in found.columns}
+        columns = [
+            F.col(f"`{own[f.name]}`") if f.name in own else F.lit(None) for f in schema.fields
+        ]
+        return found.select(*[c.cast(f.dataType).alias(f.name) for c, f in zip(columns, schema.fields)])
     except AnalysisException as e:
         if _is_missing_path(e):
             return empty_frame(spark, schema)

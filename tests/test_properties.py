@@ -64,7 +64,7 @@ def _py_active(v):
     then an integer literal: non-zero is true; anything else false)."""
     if v is None:
         return False
-    s = v.strip(" ").lower()
+    s = v.strip(" \t\n\x0b\x0c\r").lower()
     if s in {"1", "true", "yes", "y", "t"}:
         return True
     if s in {"0", "false", "no", "n", "f"}:
