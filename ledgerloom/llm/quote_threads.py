@@ -130,18 +130,22 @@ def _threads(links: DataFrame) -> DataFrame:
         ),
         "threads",
     )
-    while True:
-        above = state.select("conv_id", F.col("turn").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("more"))
-        state = written(
-            state.join(above, ["conv_id", "up"]).select(
+    done, active = state.where("reply_to is null"), state.where("reply_to is not null")
+    while not active.isEmpty():
+        above = done.unionByName(active).select(
+            "conv_id", F.col("turn").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("more")
+        )
+        step = written(
+            active.join(above, ["conv_id", "up"]).select(
                 "conv_id", "turn", "reply_to", F.col("up2").alias("up"), (F.col("depth") + F.col("more")).alias("depth"),
                 (F.col("more") > 0).alias("moved"),
             ),
             "threads",
         )
-        if state.where("moved").isEmpty():
-            return state.select("conv_id", "turn", "reply_to", "depth", F.col("up").alias("thread"))
-        state = state.drop("moved")
+        # what points at a root is done: only longer chains go on
+        done = done.unionByName(step.where("not moved").drop("moved"))
+        active = step.where("moved").drop("moved")
+    return done.select("conv_id", "turn", "reply_to", "depth", F.col("up").alias("thread"))
 
 
 def link(messages: DataFrame) -> DataFrame:
