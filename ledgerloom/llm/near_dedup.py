@@ -11,9 +11,11 @@ Classes that share a band key are candidates, but no bucket's pairs are
 written out. In the first round each bucket pairs its most central member
 (the one in the largest buckets: the original of its copies) with the
 others: linear in its size, and it merges groups of copies. Only buckets
-that still hold several components go on; each further round takes the
-next few members as pivots against the bucket's members of other
-components, until no bucket has an untested pair across components.
+that still hold several components go on; each further round takes members
+of the bucket's smallest components as pivots against its members of other
+components, until no bucket has an untested pair across components. A
+bucket of one large component and few other members is thus done once
+those few are.
 
 Exact bounds close most buckets at once. A set of n shingles of which
 others can share s links only with sets of at most s * (100 + p) / p - n
@@ -53,7 +55,7 @@ ROWS, BANDS = 4, 24
 HASHES = ROWS * BANDS
 SKETCH_BITS = 512
 SKETCH_FLOOR = 0.58
-FIRST_PIVOTS, MOST_PIVOTS = 4, 64
+FIRST_PIVOTS, MOST_PIVOTS = 16, 256
 CHUNK_BYTES = 2 << 20
 
 _RNG = np.random.default_rng(20240607)
@@ -313,18 +315,22 @@ def link_classes(docs: DataFrame, classes: DataFrame, size: int, percent: int) -
         left = written(left, "open")
         if left.isEmpty():
             return labels
-        nth = F.row_number().over(Window.partitionBy("key").orderBy("node"))
-        first = written(left.withColumn("nth", nth).where(F.col("nth") <= pivots), "pivots")
+        # the smallest components of a bucket first: once its other members
+        # are tested, the largest needs no test
+        sizes = left.groupBy("key", "label").agg(F.count(F.lit(1)).alias("together"))
+        ranked = left.join(sizes, ["key", "label"]).withColumn("rank", F.struct("together", "label", "node"))
+        nth = F.row_number().over(Window.partitionBy("key").orderBy("rank"))
+        first = written(ranked.withColumn("nth", nth).where(F.col("nth") <= pivots).drop("nth"), "pivots")
         pairs = (
-            left.alias("m")
+            ranked.alias("m")
             .join(
                 first.alias("p"),
-                F.expr("m.key = p.key and m.label <> p.label and p.node < m.node and m.n <= p.most and p.n <= m.most"),
+                F.expr("m.key = p.key and m.label <> p.label and p.rank < m.rank and m.n <= p.most and p.n <= m.most"),
             )
             .select(F.col("p.node").alias("a"), F.col("m.node").alias("b"))
         )
         left = left.join(first.select("key", "node"), ["key", "node"], "left_anti").select("key", "node", "n", "most")
-        pivots = min(2 * pivots, MOST_PIVOTS)
+        pivots = min(4 * pivots, MOST_PIVOTS)
 
 
 def group(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
