@@ -22,22 +22,22 @@ def test_line_grain_golden(spark, tmp_dir):
     out = f"{tmp_dir}/out"
     counters = run_month(spark, root, out, 2025, 3)
     assert _report(spark, out) == [
-        (D1, "Lyon", "app", 1, 1, 1.0, 10.0, 0.0, 10.0),
-        (D1, "Paris", "web", 1, 1, 2.0, 10.0, 2.0, 8.0),
+        (D1, "Dijon", "phone", 1, 1, 5.0, 36.0, 0.0, 36.0),
+        (D1, "Nantes", "store", 1, 1, 4.0, 26.0, 4.75, 21.25),
     ]
     assert counters["orders_paid"] == 4
     assert counters["lines_rejected"] == 1
     assert counters["orders_corrupt"] == 1
     rejects = spark.read.option("header", True).csv(f"{out}/rejects_items.csv").collect()
-    assert [(r.order_id, float(r.item_unit_price)) for r in rejects] == [("o2", -1.0)]
+    assert [(r.order_id, float(r.item_unit_price)) for r in rejects] == [("P-302", -2.4)]
     clean = spark.read.parquet(f"{out}/tables/orders_clean")
-    assert sorted(r.order_id for r in clean.collect()) == ["o1", "o2"]
+    assert sorted(r.order_id for r in clean.collect()) == ["P-301", "P-302"]
     # one CSV per day, ';' separated, two decimals
     day_files = glob.glob(f"{out}/daily_summary/day=20250301/*.csv")
     assert len(day_files) == 1
     text = open(day_files[0]).read().splitlines()
     assert text[0] == "date;city;channel;orders_count;unique_customers;items_sold;gross_revenue_eur;refunds_eur;net_revenue_eur"
-    assert text[1:] == ["2025-03-01;Lyon;app;1;1;1.00;10.00;0.00;10.00", "2025-03-01;Paris;web;1;1;2.00;10.00;2.00;8.00"]
+    assert text[1:] == ["2025-03-01;Dijon;phone;1;1;5.00;36.00;0.00;36.00", "2025-03-01;Nantes;store;1;1;4.00;26.00;4.75;21.25"]
     assert os.path.isdir(f"{out}/daily_summary_all.csv")
 
 
@@ -46,8 +46,8 @@ def test_order_grain_golden(spark, tmp_dir):
     out = f"{tmp_dir}/out"
     run_month(spark, root, out, 2025, 3, grain="order")
     assert _report(spark, out) == [
-        (D1, "Lyon", "app", 1, 1, 1.0, 10.0, 0.0, 10.0),
-        (D1, "Paris", "web", 1, 1, 3.0, 13.0, 2.0, 11.0),
+        (D1, "Dijon", "phone", 1, 1, 5.0, 36.0, 0.0, 36.0),
+        (D1, "Nantes", "store", 1, 1, 6.0, 29.5, 4.75, 24.75),
     ]
 
 
@@ -69,7 +69,7 @@ def test_same_result_any_partitioning(spark, tmp_dir, partitions):
     try:
         out = f"{tmp_dir}/out"
         run_month(spark, root, out, 2025, 3)
-        assert _report(spark, out)[1] == (D1, "Paris", "web", 1, 1, 2.0, 10.0, 2.0, 8.0)
+        assert _report(spark, out)[1] == (D1, "Nantes", "store", 1, 1, 4.0, 26.0, 4.75, 21.25)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
@@ -78,7 +78,7 @@ def test_d25_rerun_other_month_keeps_day_files(spark, tmp_dir):
     root = write_mini_month(f"{tmp_dir}/in")
     out = f"{tmp_dir}/out"
     run_month(spark, root, out, 2025, 3)
-    run_month(spark, root, out, 2025, 4)  # April holds one paid order (o9)
+    run_month(spark, root, out, 2025, 4)  # April holds one paid order (P-401)
     assert glob.glob(f"{out}/daily_summary/day=20250301/*.csv")  # March day kept
     assert glob.glob(f"{out}/daily_summary/day=20250401/*.csv")  # April day added
     # tables and the all-days file hold the last run only
@@ -95,11 +95,11 @@ def test_command_line(spark, tmp_dir):
     counters = main(["--settings", settings, "--year", "2025", "--month", "3", "--csv-sep", ","])
     assert counters["orders_paid"] == 4
     assert [tuple(r)[1:3] for r in spark.read.parquet(f"{tmp_dir}/db/daily_city_sales").orderBy("city").collect()] == [
-        ("Lyon", "app"),
-        ("Paris", "web"),
+        ("Dijon", "phone"),
+        ("Nantes", "store"),
     ]
     day = glob.glob(f"{tmp_dir}/out/daily_summary/day=20250301/*.csv")
-    assert open(day[0]).read().splitlines()[1].startswith("2025-03-01,Lyon,app,1,1,1.00,")
+    assert open(day[0]).read().splitlines()[1].startswith("2025-03-01,Dijon,phone,1,1,5.00,")
 
 
 def test_export_null_date_only_in_all_file(spark, tmp_dir):
