@@ -46,8 +46,8 @@ STAGES = [
     ("packing", packed),
 ]
 
-# Trained and tokenised stages have no SQL; tests/llm compares the stages
-# with brute force.
+# Trained and tokenised stages have no SQL. There is no brute-force test of
+# the whole yet (README).
 ORACLE_SQL = None
 
 
