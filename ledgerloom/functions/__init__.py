@@ -4,9 +4,7 @@ from ledgerloom.functions.scalar import (
     active_flag,
     day_key,
     first_present,
-    last_day_of,
     money_text,
-    month_bounds,
     month_day_names,
     parse_date,
     safe_number,
@@ -17,9 +15,7 @@ __all__ = [
     "active_flag",
     "day_key",
     "first_present",
-    "last_day_of",
     "money_text",
-    "month_bounds",
     "month_day_names",
     "parse_date",
     "safe_number",

@@ -9,19 +9,28 @@ policy default), never fail the job.
 from __future__ import annotations
 
 import calendar
-from datetime import date
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgerloom.schemas import EDGE, FALSE_TOKENS, NUM, TRUE_TOKENS
+from ledgerloom.schemas import FACTOR, FALSE_TOKENS, NUM, TRUE_TOKENS
 
 ColumnOrName = Column | str
 
 # Extra date layouts accepted after the ISO forms (which
 # ``try_cast`` already handles: 'yyyy-MM-dd', 'yyyy-MM-dd HH:mm:ss',
 # 'yyyy-MM-ddTHH:mm:ss', with or without a zone suffix).
-FALLBACK_DATE_FORMATS = ["yyyy/MM/dd", "MM/dd/yyyy"]
+FALLBACK_DATE_FORMATS = [
+    "yyyy/M/d",
+    "M/d/yyyy",
+    "yyyy/M/d H:mm",
+    "yyyy/M/d H:mm:ss",
+    "M/d/yyyy H:mm",
+    "M/d/yyyy H:mm:ss",
+    "yyyyMMdd",
+    "MMMM d, yyyy",
+    "d-MMM-yyyy",
+]
 
 
 def _col(c: ColumnOrName) -> Column:
@@ -64,10 +73,20 @@ def parse_date(c: ColumnOrName) -> Column:
 
 
 def to_double(c: ColumnOrName) -> Column:
-    """Exact decimal to the output double. The value is first brought to
-    scale 4 (exact for the model's inputs), so the conversion is the
-    correctly rounded double of that decimal."""
-    return _col(c).cast(EDGE).cast("double")
+    """Exact decimal to the output double (the nearest one)."""
+    return _col(c).cast("double")
+
+
+def product(a: ColumnOrName, b: ColumnOrName) -> Column:
+    """F12 product of two numbers as the exact numeric type. Factors that
+    ``FACTOR`` holds are multiplied exactly; others (very large values, or
+    over eight decimals) as doubles, whose product is null when it has
+    over 28 digits before the point."""
+    a, b = _col(a), _col(b)
+    x, y = a.try_cast(FACTOR), b.try_cast(FACTOR)
+    return F.when((x == a) & (y == b), (x * y).cast(NUM)).otherwise(
+        (a.cast("double") * b.cast("double")).try_cast(NUM)
+    )
 
 
 def day_key(c: ColumnOrName) -> Column:
@@ -93,17 +112,7 @@ def _decimals_of(fmt: str) -> int | None:
     return None
 
 
-def month_bounds(year: int, month: int) -> tuple[date, date]:
-    """F14 first and last day of a month (driver-side calendar)."""
-    return date(year, month, 1), date(year, month, calendar.monthrange(year, month)[1])
-
-
 def month_day_names(year: int, month: int) -> list[str]:
     """The ISO day strings of a month, 1..last."""
     last = calendar.monthrange(year, month)[1]
     return [f"{year:04d}-{month:02d}-{d:02d}" for d in range(1, last + 1)]
-
-
-def last_day_of(c: ColumnOrName) -> Column:
-    """F14 as a column function."""
-    return F.last_day(_col(c))

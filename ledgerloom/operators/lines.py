@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 from ledgerloom.functions.scalar import first_present, safe_number
-from ledgerloom.schemas import PAID, PRICE_FIELDS, QTY_FIELDS
+from ledgerloom.schemas import NUM, PAID, PRICE_FIELDS, QTY_FIELDS
 
 LINE_KEYS = ["order_id", "customer_id", "channel", "created_at"]
 
@@ -57,8 +57,8 @@ def normalize_items(lines: DataFrame) -> DataFrame:
     alternative raw columns are dropped."""
     qty_cols = [f"item_{n}" for n in QTY_FIELDS if f"item_{n}" in lines.columns]
     price_cols = [f"item_{n}" for n in PRICE_FIELDS if f"item_{n}" in lines.columns]
-    qty = safe_number(first_present(*qty_cols)) if qty_cols else F.lit(None).cast("decimal(18,4)")
-    price = safe_number(first_present(*price_cols)) if price_cols else F.lit(None).cast("decimal(18,4)")
+    qty = safe_number(first_present(*qty_cols)) if qty_cols else F.lit(None).cast(NUM)
+    price = safe_number(first_present(*price_cols)) if price_cols else F.lit(None).cast(NUM)
     drop = set(qty_cols) | set(price_cols)
     keep = [c for c in lines.columns if c not in drop]
     return lines.select(*keep, qty.alias("item_qty"), price.alias("item_unit_price"))
@@ -72,7 +72,7 @@ def apply_null_policy(lines: DataFrame, null_policy: str = "drop") -> DataFrame:
         return lines
     if null_policy != "zero":
         raise ValueError(f"unknown null_policy {null_policy!r}")
-    zero = F.lit(0).cast("decimal(18,4)")
+    zero = F.lit(0).cast(NUM)
     return lines.withColumn("item_qty", F.coalesce("item_qty", zero)).withColumn(
         "item_unit_price", F.coalesce("item_unit_price", zero)
     )

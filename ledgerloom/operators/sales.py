@@ -27,9 +27,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.scalar import active_flag, parse_date, safe_number, to_double
+from ledgerloom.functions.scalar import active_flag, parse_date, product, safe_number, to_double
 from ledgerloom.operators.dedup import unique_by_key
 from ledgerloom.operators.skew import salted_join
+from ledgerloom.schemas import NUM
 
 PER_ORDER_KEYS = ["order_id", "customer_id", "channel", "created_at"]
 REPORT_KEYS = ["order_date", "city", "channel"]
@@ -37,7 +38,7 @@ REPORT_KEYS = ["order_date", "city", "channel"]
 
 def with_line_gross(lines: DataFrame) -> DataFrame:
     """line_gross = item_qty * item_unit_price (exact)."""
-    return lines.withColumn("line_gross", F.col("item_qty") * F.col("item_unit_price"))
+    return lines.withColumn("line_gross", product("item_qty", "item_unit_price"))
 
 
 def per_order(lines: DataFrame) -> DataFrame:
@@ -118,7 +119,7 @@ def attach_refunds(orders: DataFrame, refund_sums: DataFrame, hot: DataFrame | N
     else:
         joined = salted_join(orders, refund_sums, "order_id", hot, salt_by=["customer_id", "channel", "created_at"], how="left")
     return joined.withColumn(
-        "refunds_eur", F.coalesce(F.col("refunds_eur"), F.lit(0).cast("decimal(18,4)"))
+        "refunds_eur", F.coalesce(F.col("refunds_eur"), F.lit(0).cast(NUM))
     )
 
 

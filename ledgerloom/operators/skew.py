@@ -61,7 +61,7 @@ def salted_join(
     done on the join's own partitioning and the dimension moves once.
     ``hot`` comes from ``hot_keys`` (bounded); ``salt_by`` are fact columns
     whose hash picks the salt (e.g. the fact's own id)."""
-    flag = F.broadcast(hot.select(key, "_salts"))
+    flag = hot.select(key, "_salts")  # the planner broadcasts it by its measured size
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in salt_by]), F.col("_salts"))
     f = (
         facts.join(flag, key, "left")

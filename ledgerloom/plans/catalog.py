@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.scalar import active_flag, parse_date, safe_number, to_double
 from ledgerloom.operators import lines as L
 from ledgerloom.operators import sales as S
+from ledgerloom.operators.skew import hot_keys
 from ledgerloom.plans import metrics as M
 from ledgerloom.plans import report as R
 from ledgerloom.plans.month_job import run_month
@@ -37,7 +38,8 @@ MONTH = (1997, 3)
 
 # ---------------------------------------------------------------- helpers
 def _paid_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.normalize_items(L.paid_only(T.order_lines(spark, sf_dir)))
+    heads = T.order_heads(spark, sf_dir, status=PAID)  # the status reaches the scan
+    return L.normalize_items(L.paid_only(T.item_rows(spark, sf_dir).join(heads, "order_id")))
 
 
 def _good_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,7 +132,7 @@ def union_evolving(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------- lines / filters
 def paid_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """payment_status = 'paid'."""
-    return L.paid_only(T.order_heads(spark, sf_dir))
+    return L.paid_only(T.order_heads(spark, sf_dir, status=PAID))
 
 
 def explode_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,12 +178,15 @@ def normalize_active(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _refund_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Refund amounts as text, with unparseable values on some lines."""
-    l = T.table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "R")
+    """An amount of every line as text: some unparseable, some with more
+    decimals or digits than money has."""
+    l = T.table(spark, sf_dir, "lineitem")
     amount = (F.col("l_extendedprice").cast("decimal(12,2)") * F.col("l_tax").cast("decimal(4,2)")).cast("decimal(18,4)")
     text = (
         F.when(F.col("l_linenumber") == 7, F.lit("n/a"))
         .when(F.col("l_linenumber") == 6, F.lit(""))
+        .when(F.col("l_linenumber") == 5, F.concat(amount.cast("string"), F.lit("37")))
+        .when(F.col("l_linenumber") == 4, F.concat(F.lit("9"), F.lpad(F.col("l_orderkey").cast("string"), 14, "0"), F.lit(".25")))
         .otherwise(amount.cast("string"))
     )
     return l.select(F.col("l_orderkey").cast("string").alias("order_id"), text.alias("amount_text"))
@@ -202,13 +207,19 @@ def _created_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """created_at text in the layouts met in order files (one per order,
     chosen by a rule on the order key), plus unparseable text."""
     o = T.table(spark, sf_dir, "orders")
-    d, k = F.col("o_orderdate"), F.col("o_orderkey") % 6
+    d, k = F.col("o_orderdate"), F.col("o_orderkey") % 12
     text = (
         F.when(k == 0, F.date_format(d, "yyyy-MM-dd HH:mm:ss"))
         .when(k == 1, F.date_format(d, "yyyy-MM-dd"))
         .when(k == 2, F.date_format(d, "yyyy-MM-dd'T'HH:mm:ss"))
         .when(k == 3, F.date_format(d, "MM/dd/yyyy"))
         .when(k == 4, F.date_format(d, "yyyy/MM/dd"))
+        .when(k == 5, F.date_format(d, "M/d/yyyy"))
+        .when(k == 6, F.date_format(d, "MM/dd/yyyy HH:mm:ss"))
+        .when(k == 7, F.date_format(d, "yyyyMMdd"))
+        .when(k == 8, F.date_format(d, "MMMM d, yyyy"))
+        .when(k == 9, F.date_format(d, "dd-MMM-yyyy"))
+        .when(k == 10, F.date_format(d, "yyyy/MM/dd HH:mm"))
         .otherwise(F.concat(F.lit("week of "), F.date_format(d, "yyyyMMdd")))
     )
     return o.select(F.col("o_orderkey").cast("string").alias("order_id"), text.alias("created_text"))
@@ -280,7 +291,8 @@ def per_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def per_order_active(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-order rows of active customers, with their city."""
-    po = S.attach_customers(_per_order(spark, sf_dir), _customers(spark, sf_dir))
+    hot = hot_keys(T.order_heads(spark, sf_dir, status=PAID), "customer_id")
+    po = S.attach_customers(_per_order(spark, sf_dir), _customers(spark, sf_dir), hot)
     return _doubles(po, "items_sold", "gross_revenue_eur")
 
 

@@ -86,10 +86,9 @@ def active_sql(x: str) -> str:
 
 def date_sql(x: str) -> str:
     t = f"trim({x})"
-    return (
-        f"COALESCE(TRY_CAST({t} AS DATE), CAST(TRY_STRPTIME({t}, '%Y/%m/%d') AS DATE), "
-        f"CAST(TRY_STRPTIME({t}, '%m/%d/%Y') AS DATE))"
-    )
+    layouts = ["%Y/%m/%d", "%m/%d/%Y", "%m/%d/%Y %H:%M:%S", "%Y/%m/%d %H:%M", "%Y%m%d", "%B %d, %Y", "%d-%b-%Y"]
+    tries = ", ".join(f"CAST(TRY_STRPTIME({t}, '{f}') AS DATE)" for f in layouts)
+    return f"COALESCE(TRY_CAST({t} AS DATE), {tries})"
 
 
 def dbl(x: str) -> str:
@@ -212,22 +211,30 @@ def statements() -> dict[str, str]:
 WITH t AS (
   SELECT CAST(l_orderkey AS VARCHAR) AS order_id,
          CASE WHEN l_linenumber = 7 THEN 'n/a' WHEN l_linenumber = 6 THEN ''
+              WHEN l_linenumber = 4 THEN '9' || lpad(CAST(l_orderkey AS VARCHAR), 14, '0') || '.25'
               ELSE CAST(CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(18,4)) AS VARCHAR)
+                   || CASE WHEN l_linenumber = 5 THEN '37' ELSE '' END
          END AS amount_text
-  FROM lineitem WHERE l_returnflag = 'R')
+  FROM lineitem)
 SELECT order_id, amount_text,
-       {dbl('TRY_CAST(amount_text AS DECIMAL(18,4))')} AS amount,
-       {dbl('COALESCE(TRY_CAST(amount_text AS DECIMAL(18,4)), 0)')} AS amount_or_zero
+       TRY_CAST(amount_text AS DOUBLE) AS amount,
+       COALESCE(TRY_CAST(amount_text AS DOUBLE), 0) AS amount_or_zero
 FROM t""",
         "parse_dates": f"""
 WITH t AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS order_id,
-         CASE o_orderkey % 6
+         CASE o_orderkey % 12
            WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
            WHEN 1 THEN strftime(o_orderdate, '%Y-%m-%d')
            WHEN 2 THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S')
            WHEN 3 THEN strftime(o_orderdate, '%m/%d/%Y')
            WHEN 4 THEN strftime(o_orderdate, '%Y/%m/%d')
+           WHEN 5 THEN strftime(o_orderdate, '%-m/%-d/%Y')
+           WHEN 6 THEN strftime(o_orderdate, '%m/%d/%Y %H:%M:%S')
+           WHEN 7 THEN strftime(o_orderdate, '%Y%m%d')
+           WHEN 8 THEN strftime(o_orderdate, '%B %-d, %Y')
+           WHEN 9 THEN strftime(o_orderdate, '%d-%b-%Y')
+           WHEN 10 THEN strftime(o_orderdate, '%Y/%m/%d %H:%M')
            ELSE 'week of ' || strftime(o_orderdate, '%Y%m%d') END AS created_text
   FROM orders)
 SELECT order_id, created_text, {date_sql('created_text')} AS order_date FROM t""",

@@ -8,9 +8,11 @@
   from ``_metadata.file_name``) or a month-partitioned directory
   ``order_month=YYYY-MM/`` that daily files are appended to (JSON lines,
   splittable; a month is one partition directory, listed alone).
-* Malformed input never fails the read: PERMISSIVE mode keeps the raw
-  text in ``_corrupt_record``; ``split_corrupt`` routes those rows to a
-  quarantine frame (S5). A zero-byte file yields no row.
+* Malformed input never fails the read. ``_corrupt_record`` holds the
+  line that does not parse, the items text of a document whose items are
+  no array, or the byte length of a multi-line file that does not parse;
+  ``split_corrupt`` routes those rows to a quarantine frame (S5). A
+  zero-byte file yields no row.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerloom.functions.scalar import month_day_names
 from ledgerloom.schemas import (
@@ -108,8 +110,12 @@ def read_orders_month(
         raise ValueError(f"layout must be one of {LAYOUTS}")
     if multi_line is None:
         multi_line = layout == "daily_files"
+    # items stay text at first, so that one document of another shape does
+    # not fail the array that a whole day file is; a multi-line file that
+    # does not parse is one all-null row, and its text is not kept
+    as_text = [StructField(f.name, StringType()) for f in ORDER_DOC.fields if f.name != CORRUPT_COLUMN or not multi_line]
     reader = (
-        spark.read.schema(ORDER_DOC)
+        spark.read.schema(StructType(as_text))
         .option("multiLine", multi_line)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
@@ -119,20 +125,40 @@ def read_orders_month(
             glob = f"{ORDERS_FILE_PREFIX}{year:04d}-{month:02d}-*.json"
             valid = [f"{ORDERS_FILE_PREFIX}{d}.json" for d in month_day_names(year, month)]
             df = reader.json(f"{input_dir.rstrip('/')}/{glob}")
-            df = df.withColumn("source_file", F.col("_metadata.file_name"))
-            return df.where(F.col("source_file").isin(valid))
+            return _documents(df, multi_line).where(F.col("source_file").isin(valid))
         # list only this month's partition directory, not every month the
         # input holds; as with day files, where a document is filed decides
         # its month (not its created_at text)
         month_dir = f"{input_dir.rstrip('/')}/{MONTH_PARTITION}={year:04d}-{month:02d}"
         df = reader.option("basePath", input_dir).json(month_dir)
-        return df.withColumn("source_file", F.col("_metadata.file_name"))
+        return _documents(df, multi_line)
     except AnalysisException as e:
         if _is_missing_path(e):
             return empty_frame(spark, ORDER_DOC).withColumn("source_file", F.lit(None).cast("string"))
         raise
 
 
+def _documents(df: DataFrame, multi_line: bool) -> DataFrame:
+    """The read text fields as typed documents with ``source_file`` and
+    ``_corrupt_record``: the items text when it is no array of objects, the
+    line that did not parse, or the length of the file that did not."""
+    fields = [f.name for f in ORDER_DOC.fields if f.name != CORRUPT_COLUMN]
+    items = F.from_json(F.col("items"), ORDER_DOC["items"].dataType)
+    if multi_line:
+        size = F.col("_metadata.file_size").cast("string")
+        whole = F.when(F.coalesce(*fields).isNull(), F.concat(F.lit("unreadable file, bytes: "), size))
+    else:
+        whole = F.col(CORRUPT_COLUMN)
+    wrong = F.when(F.col("items").isNotNull() & items.isNull(), F.col("items"))
+    rest = [c for c in df.columns if c not in (*fields, CORRUPT_COLUMN)]
+    return df.select(
+        *[items.alias(c) if c == "items" else F.col(c) for c in fields],
+        F.coalesce(whole, wrong).alias(CORRUPT_COLUMN),
+        *rest,
+        F.col("_metadata.file_name").alias("source_file"),
+    )
+
+
 def split_corrupt(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(clean documents, quarantine rows). A malformed record has its
     text in ``_corrupt_record`` and null fields; it never reaches the

@@ -54,8 +54,13 @@ def land_orders(
         .trigger(availableNow=True)
         .start(target_dir)
     )
-    q.awaitTermination()
-    return sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
+    # Spark keeps the last updates only, so they are gathered while it runs
+    rows: dict[int, int] = {}
+    ended = False
+    while not ended:
+        ended = q.awaitTermination(1)
+        rows.update({int(p["batchId"]): int(p.get("numInputRows", 0)) for p in q.recentProgress})
+    return sum(rows.values())
 
 
 def landed_clean(landed: DataFrame) -> DataFrame:
