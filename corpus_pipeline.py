@@ -46,8 +46,8 @@ STAGES = [
     ("packing", packed),
 ]
 
-# Trained and tokenised stages have no SQL. There is no brute-force test of
-# the whole yet (README).
+# Trained and tokenised stages have no SQL; each stage is tested against
+# brute force on its own input (tests/llm/test_pipeline_and_packing.py).
 ORACLE_SQL = None
 
 

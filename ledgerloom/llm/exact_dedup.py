@@ -192,7 +192,8 @@ def group_documents(docs: DataFrame) -> DataFrame:
 
 def keep_distinct(docs: DataFrame, history: DataFrame | None = None) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: the first
-    row of each group of equal texts, and none that ``history`` has."""
+    row of each group of equal texts, and none whose digest is in
+    ``history`` (digest, winner; distinct digests)."""
     digest = digest_of(F.col("text"))
     verdicts = decide(docs.select("doc_id", digest.alias("digest")), history)
     if history is not None:
