@@ -29,8 +29,9 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, label) for every node of ``edges`` (a, b; longs): the
     smallest node that it reaches. Each round hooks every node to its
     smallest neighbour, follows the hooks to their roots and contracts the
-    edges; all tables are written, none is collected."""
-    edges = written(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+    edges; all tables are written, none is collected. Repeated edges do no
+    harm: the first contraction merges them."""
+    edges = written(edges.where("a <> b").select("a", "b"), "edges")
     labels = None
     while not edges.isEmpty():
         both = edges.union(edges.select("b", "a"))
