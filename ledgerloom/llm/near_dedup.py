@@ -334,8 +334,10 @@ def link_classes(docs: DataFrame, classes: DataFrame, size: int, percent: int) -
 
 
 def group(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, sha, n_shingles, component_id) for every row, where the
-    component's id is the smallest doc_id reachable."""
+    """(doc_id, sha, n_shingles, component_id, label) for every row, where
+    the component's id is the smallest doc_id reachable. Components may
+    share an id (null, or rows with one doc_id and unlike texts); ``label``
+    tells them apart, and is null for empty sets."""
     rows = written(features(docs, size), "features")
     classes = written(
         rows.where("n > 0")
@@ -347,10 +349,10 @@ def group(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     labels = link_classes(docs, classes, size, percent)
     placed = _labelled(classes.select("node", "digest", "doc_id"), labels)
     smallest = placed.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    of_class = written(placed.join(smallest, "label").select("digest", "component_id"), "components")
+    of_class = written(placed.join(smallest, "label").select("digest", "component_id", "label"), "components")
     linked = rows.where("n > 0").select("doc_id", "sha", "n", "digest").join(of_class, "digest")
-    alone = rows.where("n = 0").withColumn("component_id", F.col("doc_id"))
-    out = ["doc_id", "sha", F.col("n").alias("n_shingles"), "component_id"]
+    alone = rows.where("n = 0").select("*", F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("label"))
+    out = ["doc_id", "sha", F.col("n").alias("n_shingles"), "component_id", "label"]
     return linked.select(*out).unionByName(alone.select(*out))
 
 
@@ -369,7 +371,7 @@ def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     best = (
         groups.where("n_shingles > 0")
         .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy("component_id", "doc_id")
+        .groupBy("label", "doc_id")
         .agg(F.min("sha").alias("sha"))
     )
     keys = best.select("doc_id", "sha").unionByName(empty)

@@ -89,6 +89,15 @@ def test_edges_and_kept_rows(spark):
     assert near_dedup.report(docs.limit(0)).count() == 0
 
 
+def test_components_that_share_an_id_keep_one_row_each(spark):
+    unlike = [" ".join(f"{c}{i}" for i in range(12)) for c in "abcdef"]
+    rows = [(None, unlike[0]), (None, unlike[1]), (None, unlike[2]), (None, unlike[2].upper())]
+    rows += [(5, unlike[3]), (5, unlike[4]), (6, unlike[4]), (5, unlike[3]), (None, unlike[5]), (9, unlike[5])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted((str(r["doc_id"]), r["text"].lower()) for r in near_dedup.keep_one(docs).collect())
+    assert kept == sorted([("None", t) for t in unlike[:3]] + [("5", unlike[3]), ("5", unlike[4]), ("9", unlike[5])])
+
+
 def test_odd_sketch_estimates_high_similarity():
     rng = np.random.default_rng(1)
     values = rng.integers(0, 1 << 63, 2000, dtype=np.uint64)
