@@ -8,8 +8,9 @@ information, log2(N / df(entity)). Their ratio is 1 for a term that only
 occurs with the entity and 0 for an unrelated one. Terms that reach
 ``GENERALISE`` are replaced by a general mark, those that reach ``REMOVE``
 are removed. A pair counts only with ``MIN_CONTEXTS`` different contexts,
-none of which holds more than half of its occurrences: copies of one
-passage, slightly edited ones too, disclose nothing by repetition.
+each counted once: copies of one passage disclose nothing by repetition,
+and however many there are they veto no pair. An edited copy is a context
+of its own where the edit is near the term.
 
 All counts cover all documents. Only Spark's own functions are used.
 Quantifiers are possessive or single character classes, so long runs do
@@ -140,13 +141,11 @@ def disclosures(contexts: DataFrame, docs: DataFrame) -> DataFrame:
     """(entity, term, ratio) of the pairs that reach ``GENERALISE``.
     ``contexts`` as above; ``docs`` (doc_id, text) is the whole corpus."""
     known = contexts.where("doc_id is not null")
-    pairs = known.groupBy("entity", "term", "context").agg(F.count(F.lit(1)).alias("n"))
     enough = (
-        pairs.groupBy("entity", "term")
-        .agg(F.count(F.lit(1)).alias("contexts"), F.sum("n").alias("times"), F.max("n").alias("most"))
-        .where((F.col("contexts") >= MIN_CONTEXTS) & (2 * F.col("most") <= F.col("times")))
-        .select("entity", "term")
-    )
+        known.select("entity", "term", "context").distinct()
+        .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts"))
+        .where(F.col("contexts") >= MIN_CONTEXTS).select("entity", "term")
+    )
     enough = written(enough, "pairs")
     together = (
         known.join(enough, ["entity", "term"], "left_semi").select("entity", "term", "doc_id").distinct()

@@ -83,6 +83,16 @@ def test_disclosing_terms_are_removed_and_common_ones_stay(spark):
     assert texts[60] == "hidden wexford [EMAIL] hidden"
 
 
+def test_copies_of_a_passage_veto_no_disclosure(spark):
+    rows = [(i, f"a{'x' * i} b{'y' * i} zorblax boss@corp.example.com c{'z' * i} d{'w' * i}") for i in range(3, 8)]
+    rows += [(i, "greetings from zorblax boss@corp.example.com and company") for i in range(10, 30)]
+    rows += [(i, "greetings from some other company and so on") for i in range(30, 200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = {r["doc_id"]: r["text"] for r in pii.sanitise(docs).collect()}
+    assert not [i for i, t in texts.items() if "zorblax" in t]
+    assert texts[10] == "greetings from  [EMAIL] and company"
+
+
 def test_pii_edges(spark):
     rows = [(None, "a@b.cd"), (1, "a@b.cd"), (1, "a@b.cd"), (2, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("spans", F.lit("x"))
