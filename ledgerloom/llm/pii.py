@@ -1,16 +1,21 @@
 """PII by information-theoretic sanitisation.
 
 Base entities are found by fixed patterns (email, ip, card, phone). A
-term near an entity discloses it in so far as seeing the term predicts
-the entity: with document counts over the whole corpus, the pointwise
-mutual information of entity and term is compared with the entity's own
-information, log2(N / df(entity)). Their ratio is 1 for a term that only
-occurs with the entity and 0 for an unrelated one. Terms that reach
-``GENERALISE`` are replaced by a general mark, those that reach ``REMOVE``
-are removed. A pair counts only with ``MIN_CONTEXTS`` different contexts,
-each counted once: copies of one passage disclose nothing by repetition,
-and however many there are they veto no pair. An edited copy is a context
-of its own where the edit is near the term.
+term in the documents of an entity discloses it in so far as seeing the
+term predicts the entity: with document counts over the whole corpus, the
+pointwise mutual information of entity and term is compared with the
+entity's own information, log2(N / df(entity)). Their ratio is 1 for a
+term that only occurs with the entity and 0 for an unrelated one. In all
+documents that hold the entity, every occurrence of a term that reaches
+``GENERALISE`` is replaced by a general mark, and of one that reaches
+``REMOVE`` is removed.
+
+The ``CONTEXT_WORDS`` terms on either side of an occurrence are its
+context. A pair counts only with ``MIN_CONTEXTS`` different contexts, in
+as many documents that differ in them, each counted once: copies of one
+passage disclose nothing by repetition, and however many there are they
+veto no pair. An edited copy is a context of its own where the edit is
+near the term.
 
 All counts cover all documents. Only Spark's own functions are used.
 Quantifiers are possessive or single character classes, so long runs do
@@ -19,7 +24,7 @@ one private character of equal length before matching.
 
 Null texts are empty and have no spans. Repeated rows are separate rows
 with the same spans. Empty tables give empty results. Rows with a null
-doc_id get base spans; they count in no statistics.
+doc_id get their spans; they count in no statistics.
 """
 
 from __future__ import annotations
@@ -31,7 +36,6 @@ from ledgerloom.llm.common import written
 from ledgerloom.llm.native import let, matches
 
 KINDS = ("email", "ip", "card", "phone", "term")
-CONTEXT_CHARS = 60
 CONTEXT_WORDS = 4
 MIN_CONTEXTS = 3
 GENERALISE = 0.8
@@ -108,79 +112,109 @@ def joined(spans: Column) -> Column:
     )
 
 
-def _contexts(found: DataFrame) -> DataFrame:
-    """One row per term near a base span: (row, doc_id, entity, context,
-    term, start, end). ``found`` is (row, doc_id, text, spans)."""
-    each = found.select("row", "doc_id", "text", F.explode("spans").alias("s")).select(
-        "row",
-        "doc_id",
-        F.xxhash64("s.rank", F.lower("s.value")).alias("entity"),
-        F.greatest(F.col("s.start") - CONTEXT_CHARS, F.lit(0)).cast("int").alias("from"),
-        F.col("s.start").alias("at"),
-        F.col("s.end").alias("to"),
-        "text",
+def _masked(text: Column, spans: Column) -> Column:
+    """``text`` with its base spans blanked out, at equal length."""
+    zero = F.struct(F.array().cast("array<string>").alias("out"), F.lit(0).cast("bigint").alias("at"))
+
+    def step(a: Column, s: Column) -> Column:
+        begin = F.greatest(a["at"], s["start"])
+        gap = F.substr(text, (a["at"] + 1).cast("int"), (begin - a["at"]).cast("int"))
+        blank = F.repeat(F.lit(MARK), (s["end"] - begin).cast("int"))
+        taken = F.struct(F.concat(a["out"], F.array(gap, blank)).alias("out"), s["end"].alias("at"))
+        return F.when(s["end"] <= a["at"], a).otherwise(taken)
+
+    return let(
+        F.aggregate(spans, zero, step), lambda p: F.concat(F.array_join(p["out"], ""), F.substr(text, (p["at"] + 1).cast("int")))
     )
-    each = each.withColumn("left", F.substr("text", F.col("from") + 1, (F.col("at") - F.col("from")).cast("int")))
-    each = each.withColumn("right", F.substr("text", (F.col("to") + 1).cast("int"), F.lit(CONTEXT_CHARS))).drop("text")
 
-    def shifted(part: Column, by: Column) -> Column:
+
+def _terms(text: Column) -> Column:
+    """The distinct terms of a text."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
+
+
+def _occurrences(text: Column) -> Column:
+    """array<struct(term, start, end, context)> of every term of a text;
+    the context is the ``CONTEXT_WORDS`` terms on either side."""
+
+    def each(m: Column, words: Column) -> Column:
         return F.transform(
-            part, lambda m: F.struct((m["start"] + by).alias("start"), (m["end"] + by).alias("end"), m["value"].alias("value"))
+            m,
+            lambda t, i: F.struct(
+                F.get(words, i).alias("term"),
+                t["start"].alias("start"),
+                t["end"].alias("end"),
+                F.xxhash64(
+                    F.least(i, F.lit(CONTEXT_WORDS)),
+                    F.slice(words, F.greatest(i - (CONTEXT_WORDS - 1), F.lit(1)), F.least(i, F.lit(CONTEXT_WORDS))),
+                    F.slice(words, i + 2, F.lit(CONTEXT_WORDS)),
+                ).alias("context"),
+            ),
         )
 
-    before = let(matches(F.col("left"), TERM), lambda m: F.slice(m, F.greatest(F.size(m) - (CONTEXT_WORDS - 1), F.lit(1)), F.lit(CONTEXT_WORDS)))
-    after = F.slice(matches(F.col("right"), TERM), F.lit(1), F.lit(CONTEXT_WORDS))
-    terms = F.concat(shifted(before, F.col("from")), shifted(after, F.col("to")))
-    context = F.xxhash64(F.lower("left"), F.lower("right"))
-    return each.select("row", "doc_id", "entity", context.alias("context"), F.explode(terms).alias("t")).select(
-        "row", "doc_id", "entity", "context", F.lower("t.value").alias("term"), "t.start", "t.end"
-    )
+    return let(matches(text, TERM), lambda m: let(F.transform(m, lambda t: F.lower(t["value"])), lambda w: each(m, w)))
 
 
-def disclosures(contexts: DataFrame, docs: DataFrame) -> DataFrame:
-    """(entity, term, ratio) of the pairs that reach ``GENERALISE``.
-    ``contexts`` as above; ``docs`` (doc_id, text) is the whole corpus."""
-    known = contexts.where("doc_id is not null")
-    enough = (
-        known.select("entity", "term", "context").distinct()
-        .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts"))
-        .where(F.col("contexts") >= MIN_CONTEXTS).select("entity", "term")
-    )
-    enough = written(enough, "pairs")
-    together = (
-        known.join(enough, ["entity", "term"], "left_semi").select("entity", "term", "doc_id").distinct()
-        .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("df_both"))
-    )
-    entity = (
-        known.join(enough.select("entity").distinct(), "entity", "left_semi").select("entity", "doc_id").distinct()
-        .groupBy("entity").agg(F.count(F.lit(1)).alias("df_entity"))
-    )
+def _candidates(classes: DataFrame, held: DataFrame, docs: DataFrame) -> DataFrame:
+    """(entity, term, ratio) of the pairs that reach ``GENERALISE``, in
+    ``MIN_CONTEXTS`` different texts at least. ``classes`` is (sha, masked,
+    times), ``held`` (sha, entity, df_entity), ``docs`` (doc_id, text) the
+    whole corpus."""
     n = docs.agg(F.count(F.lit(1)).cast("double").alias("n"))
+    words = classes.join(held.select("sha").distinct(), "sha", "left_semi").select("sha", "times", F.explode(_terms(F.col("masked"))).alias("term"))
+    words = written(words, "words")
+    several = words.groupBy("term").agg(F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= MIN_CONTEXTS).select("term")
+    in_corpus = docs.where("doc_id is not null and text is not null")
+    single = (
+        in_corpus.select(F.explode(_terms(F.col("text"))).alias("term"))
+        .groupBy("term").agg(F.count(F.lit(1)).alias("df_term")).join(several, "term", "left_semi")
+    )
+    single = written(single.join(F.broadcast(n)), "single")
 
-    def ratio(df_term: str) -> Column:
-        pmi = F.log2(F.col("df_both") * F.col("n") / (F.col("df_entity") * F.col(df_term)))
+    def ratio(df_both: Column) -> Column:
+        pmi = F.log2(df_both * F.col("n") / (F.col("df_entity") * F.col("df_term")))
         own = F.log2(F.col("n") / F.col("df_entity"))
         return F.when(own > 0, pmi / own).otherwise(F.lit(0.0))
 
-    # documents with the term near any entity are a part of its documents,
-    # so they bound the ratio from above: common terms go before the corpus
-    # is searched
-    near = known.select("term", "doc_id").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("df_near"))
-    counted = written(
-        together.join(entity, "entity").join(near, "term").join(F.broadcast(n)).where(ratio("df_near") >= GENERALISE), "counted"
+    # no pair is in more documents than its entity or its term, which
+    # bounds the ratio before pairs are counted
+    most = F.least("df_entity", "df_term")
+    both = words.join(single, "term").join(held, "sha").where(ratio(most) >= GENERALISE)
+    return (
+        both.groupBy("entity", "term", "df_entity", "df_term", "n")
+        .agg(F.sum("times").alias("df_both"), F.count(F.lit(1)).alias("texts"))
+        .where((F.col("texts") >= MIN_CONTEXTS) & (ratio(F.col("df_both")) >= GENERALISE))
+        .select("entity", "term", ratio(F.col("df_both")).alias("ratio"))
     )
-    wanted = counted.select("term").distinct()
-    terms = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))
-    in_corpus = docs.where("doc_id is not null and text is not null")
-    single = (
-        in_corpus.select("doc_id", F.explode(terms).alias("term")).join(wanted, "term", "left_semi")
-        .groupBy("term").agg(F.count(F.lit(1)).alias("df_term"))
+
+
+def disclosures(found: DataFrame, docs: DataFrame) -> DataFrame:
+    """(sha, start, end, ratio) of every disclosing term in the texts that
+    hold its entity. ``found`` is (doc_id, sha, text, spans) of the rows
+    with base spans; ``docs`` (doc_id, text) is the whole corpus."""
+    firsts = [F.first(c).alias(c) for c in ("text", "spans")]
+    classes = found.groupBy("sha").agg(*firsts, F.count("doc_id").alias("times"))
+    entities = F.array_distinct(F.transform("spans", lambda s: F.xxhash64(s["rank"], F.lower(s["value"]))))
+    classes = written(classes.select("sha", "times", _masked(F.col("text"), F.col("spans")).alias("masked"), entities.alias("entities")), "classes")
+    each = classes.select("sha", "times", F.explode("entities").alias("entity"))
+    often = (
+        each.where("times > 0").groupBy("entity").agg(F.sum("times").alias("df_entity"), F.count(F.lit(1)).alias("texts"))
+        .where(F.col("texts") >= MIN_CONTEXTS).select("entity", "df_entity")
     )
-    return (
-        counted.join(single, "term")
-        .select("entity", "term", ratio("df_term").alias("ratio"))
-        .where(F.col("ratio") >= GENERALISE)
+    held = written(each.select("sha", "entity").join(often, "entity"), "entities")
+    pairs = written(_candidates(classes.where("times > 0").select("sha", "masked", "times"), held, docs), "pairs")
+    wanted = written(held.select("sha", "entity").join(pairs, "entity"), "wanted")
+    places = classes.join(wanted.select("sha").distinct(), "sha", "left_semi").select("sha", "times", F.explode(_occurrences(F.col("masked"))).alias("t"))
+    places = written(places.select("sha", "times", "t.*").join(wanted, ["sha", "term"]), "places")
+    # equal contexts count once, and so do texts with the same contexts
+    once = places.where("times > 0").select("entity", "term", "sha", "context").distinct()
+    of_text = once.groupBy("entity", "term", "sha").agg(F.bit_xor(F.xxhash64("context")).alias("all"))
+    texts = of_text.select("entity", "term", "all").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("texts"))
+    contexts = once.select("entity", "term", "context").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts"))
+    enough = written(
+        texts.join(contexts, ["entity", "term"]).where(F.least("texts", "contexts") >= MIN_CONTEXTS).select("entity", "term"), "enough"
     )
+    return places.join(enough, ["entity", "term"], "left_semi").groupBy("sha", "start", "end").agg(F.max("ratio").alias("ratio"))
 
 
 def find(docs: DataFrame, with_text: bool = False) -> DataFrame:
@@ -188,36 +222,31 @@ def find(docs: DataFrame, with_text: bool = False) -> DataFrame:
     arrays of struct(start, rank, end, value); ``spans`` adds the terms,
     with their ratio as value."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select("doc_id", text.alias("text"), F.monotonically_increasing_id().alias("row"))
+    rows = docs.select("doc_id", text.alias("text"))
     spanned = rows.withColumn("base", base_spans(F.col("text")))
-    kept = ["doc_id", "row", "base", *(["text"] if with_text else [])]
-    # texts go on only where a span needs its context
+    # texts go on only where there is a base span
     hit = F.size("base") > 0
+    sha = F.when(hit, F.unhex(F.sha2(F.col("text").cast("binary"), 256)))
     held = written(
-        spanned.select(*kept, *([] if with_text else [F.when(hit, F.col("text")).alias("text")])), "spans"
+        spanned.select("doc_id", "base", sha.alias("sha"), F.col("text") if with_text else F.when(hit, F.col("text")).alias("text")),
+        "spans",
     )
-    contexts = written(
-        _contexts(held.where(hit).select("row", "doc_id", "text", F.col("base").alias("spans"))), "contexts"
-    )
-    pairs = disclosures(contexts, docs.select("doc_id", "text"))
+    found = held.where(hit).select("doc_id", "sha", "text", F.col("base").alias("spans"))
     terms = (
-        contexts.join(pairs, ["entity", "term"])
-        .groupBy("row", "start", "end")
-        .agg(F.max("ratio").alias("ratio"))
+        disclosures(found, docs.select("doc_id", "text"))
         .select(
-            "row",
+            "sha",
             F.struct("start", F.lit(KINDS.index("term")).alias("rank"), "end", F.col("ratio").cast("string").alias("value")).alias("t"),
         )
-        .groupBy("row")
-        .agg(F.collect_list("t").alias("terms"))  # at most the terms near one row's spans
+        .groupBy("sha")
+        .agg(F.collect_list("t").alias("terms"))  # at most the terms of one text
     )
+    terms = written(terms, "terms")
     none = F.array().cast("array<struct<start:bigint,rank:int,end:bigint,value:string>>")
-    return held.join(terms, "row", "left").select(
-        "doc_id",
-        "base",
-        F.sort_array(F.concat("base", F.coalesce("terms", none))).alias("spans"),
-        *(["text"] if with_text else []),
-    )
+    spans = F.sort_array(F.concat("base", F.coalesce("terms", none))).alias("spans")
+    kept = ["doc_id", "base", *(["text"] if with_text else [])]
+    marked = held.where(hit).join(terms, "sha", "left").select(*kept, spans)
+    return marked.unionByName(held.where(~hit).select(*kept, F.sort_array("base").alias("spans")))
 
 
 def sanitise(docs: DataFrame) -> DataFrame:

@@ -93,6 +93,21 @@ def test_copies_of_a_passage_veto_no_disclosure(spark):
     assert texts[10] == "greetings from  [EMAIL] and company"
 
 
+def test_disclosing_terms_go_anywhere_in_the_entity_documents(spark):
+    far = " ".join(["the day of the week was long and the talk of the town went on"] * 3)
+    rows = [(i, f"a{'x' * i} zorblax b{'y' * i}. {far}. boss@corp.example.com, {far} c{'z' * i} Zorblax") for i in range(3, 9)]
+    rows += [(i, f"{far} {i}") for i in range(10, 100)]
+    rows += [(i, "mail copy@corp.example.com " + far + " hidden wexford hidden") for i in range(100, 110)]
+    rows.append((None, f"{far} boss@corp.example.com {far} zorblax {far}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["spans"] for r in pii.report(docs).collect()}
+    for i, text in rows:
+        at = [m.start() for m in re.finditer("zorblax", text.lower())]
+        assert [int(x.split(":")[1]) for x in found[i].split(",") if x.startswith("term")] == at
+    texts = [r["text"].lower() for r in pii.sanitise(docs).collect()]
+    assert not [t for t in texts if "zorblax" in t] and sum("wexford" in t for t in texts) == 10
+
+
 def test_pii_edges(spark):
     rows = [(None, "a@b.cd"), (1, "a@b.cd"), (1, "a@b.cd"), (2, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("spans", F.lit("x"))
