@@ -7,7 +7,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import exact_dedup, langid, mixing, near_dedup, packing, pii, quality_rules, quote_threads, suffix_dedup, url_filter
+from ledgerloom.llm import (
+    exact_dedup,
+    filter_audit,
+    langid,
+    mixing,
+    near_dedup,
+    packing,
+    pii,
+    quality_rules,
+    quote_threads,
+    resampling,
+    suffix_dedup,
+    url_filter,
+)
 from ledgerloom.llm.common import table
 
 
@@ -53,6 +66,14 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan_mix(table(spark, sf_dir, "documents"))
 
 
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("n_words")
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -66,6 +87,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_exact_dedup,
         op9_quality_rules,
         op10_mixing,
+        op12_importance_resampling,
+        op13_filter_audit,
     )
 }
 
@@ -181,3 +204,77 @@ select m.conv_id, m.turn, m.role, a.reply_to, coalesce(x.depth, 0)::bigint as de
        coalesce(a.n_quotes, 0)::bigint as n_quotes, coalesce(a.n_linked, 0)::bigint as n_linked, coalesce(c.clean_text, '') as clean_text
 from m left join a using (conv_id, turn) left join x using (conv_id, turn) left join c using (id)
 """
+
+SQL["op12_importance_resampling"] = r"""
+with x as (select unnest(range(256)) as i),
+crc as (
+  select list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, b: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by i) as t
+  from x),
+w as (
+  select 'd' as kind, row_number() over () as id, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from documents
+  union all
+  select 'b', row_number() over (), null, regexp_extract_all(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') from benchmark),
+f as (select kind, id, unnest(ws) as word from w),
+v as (
+  select word, hex(encode(word)) as h, (select t from crc) as t from (select distinct word from f)),
+u as (
+  select word, xor(list_reduce([4294967295] || list_transform(range(1, len(h) // 2 + 1), lambda k: ('0x' || substr(h, 2 * k - 1, 2))::bigint),
+                  lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 as bucket
+  from v),
+g as (select f.kind, f.id, u.bucket from f join u using (word)),
+k as (
+  select bucket, count(*) filter (kind = 'd') as s, count(*) filter (kind = 'b') as t,
+         sum(count(*) filter (kind = 'd')) over () as s_all, sum(count(*) filter (kind = 'b')) over () as t_all
+  from g group by bucket),
+e as (
+  select bucket, floor(1000 * ln((t + 1.0::double) * (s_all + 10000)::double / ((s + 1.0::double) * (t_all + 10000)::double)))::bigint as gain from k),
+m as (select id, count(*) as n, floor(sum(gain)::double / count(*))::bigint as weight from g join e using (bucket) where kind = 'd' group by id),
+q as (
+  select w.doc_id, coalesce(m.n, 0)::bigint as n_features, coalesce(m.weight, 0)::bigint as weight,
+         ('0x' || substr(sha256('2024:' || coalesce(cast(w.doc_id as varchar), '')), 1, 8))::bigint as h
+  from w left join m using (id) where w.kind = 'd'),
+r as (select *, weight + floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296)))::bigint as score from q),
+o as (
+  select *, row_number() over (order by score desc, doc_id nulls last) as nth, (10 * count(*) over ()) // 100 as draws
+  from r where n_features >= 20)
+select r.doc_id, r.n_features, r.weight, r.score, case when o.nth <= o.draws then o.nth end::bigint as rank
+from r left join o on o.doc_id = r.doc_id
+"""
+
+SQL["op13_filter_audit"] = r"""
+with t as (
+  select doc_id, coalesce(lang, '') as part, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w
+  from documents),
+d as (
+  select doc_id, part, [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+         100 * (len(text) - len(regexp_replace(text, '[A-Z]', '', 'g'))) > 3 * len(text),
+         regexp_matches(text, '[#$%&*|]'),
+         exists (select 1 from t o where o.text = t.text and o.doc_id < t.doc_id)] as fails,
+         exists (select 1 from labels l where l.doc_id = t.doc_id and l.quality = 1) as good,
+         exists (select 1 from labels l where l.doc_id = t.doc_id and l.toxic = 1) as toxic
+  from t),
+c as (select part, fails, good, toxic, count(*) as n from d group by all),
+f as (select unnest(range(1, 6)) as i),
+o as (
+  select [a.i, b.i, c.i, d.i, e.i] as p
+  from f a, f b, f c, f d, f e
+  where len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+x as (
+  select c.*, p, step, fails[p[step]] as now,
+         coalesce(len(list_filter(p[1:step - 1], lambda k: fails[k])), 0) > 0 as before,
+         len(list_filter(fails, lambda b: b)) = 1 and fails[p[step]] as only_now, p[step] as own
+  from c, o, (select unnest(range(1, 6)) as step)),
+s as (
+  select part, p, step, own, sum(n) filter (not now and not before) as kept, sum(n) filter (now and not before) as removed,
+         sum(n) filter (now and before) as redundant, sum(n) filter (only_now) as unique_fails,
+         sum(n) filter (now and not before and good) as good_lost, sum(n) filter (now and not before and toxic) as toxic_lost
+  from x group by part, p, step, own),
+y as (select part, own, sum(removed) as shapley from s group by part, own)
+select part, list_reduce(list_transform(p, lambda k: substr('ABCDE', k, 1)), lambda a, b: a || b) as filter_order, step::int as step,
+       coalesce(kept, 0)::bigint as kept, coalesce(removed, 0)::bigint as removed, coalesce(redundant, 0)::bigint as redundant,
+       coalesce(unique_fails, 0)::bigint as unique_fails, coalesce(good_lost, 0)::bigint as good_lost,
+       coalesce(toxic_lost, 0)::bigint as toxic_lost, coalesce(shapley, 0)::bigint as shapley
+from s join y using (part, own)
+"""
