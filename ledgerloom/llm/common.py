@@ -55,21 +55,21 @@ def pick_rows(docs: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
     return hit.groupBy(name).agg(*firsts).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
-def spread(facts: DataFrame, dim: DataFrame, key: str, by: list[str], rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+def spread(facts: DataFrame, dim: DataFrame, key: str, by: list[str], counts: DataFrame, total: int) -> tuple[DataFrame, DataFrame]:
     """Both sides of a join on ``key`` with a column ``salt`` to join on as
     well: rows of a hot key are dealt over salts by the hash of ``by``, and
-    its partner rows repeated once per salt. ``rows`` is a written table
-    with the key of every fact. A key is hot from SALT_ROWS rows, or more
-    where over MOST_HOT keys could be: with rows / MOST_HOT as the least,
-    the broadcast set holds MOST_HOT keys at most, whatever the data."""
-    least = max(SALT_ROWS, -(-rows.count() // MOST_HOT))
-    hot = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("many")).where(F.col("many") >= least)
-    hot = hot.select(key, F.ceil(F.col("many") / SALT_ROWS).cast("int").alias("salts"))
-    hot = F.broadcast(written(hot, "hot"))
+    its partner rows repeated once per salt. ``counts`` has (key, many),
+    the facts per key, and ``total`` is at least the number of facts. A key
+    is hot from SALT_ROWS facts, or from more where over MOST_HOT keys
+    could be: with total / MOST_HOT as the least, the broadcast set holds
+    MOST_HOT keys at most, whatever the data."""
+    least = max(SALT_ROWS, -(-total // MOST_HOT))
+    hot = counts.where((F.col("many") >= least) & F.col(key).isNotNull())
+    hot = F.broadcast(written(hot.select(key, F.ceil(F.col("many") / SALT_ROWS).cast("int").alias("salts")), "hot"))
     dealt = facts.join(hot, key, "left")
-    dealt = dealt.withColumn("salt", F.when(F.col("salts").isNotNull(), F.pmod(F.xxhash64(*by), F.col("salts"))).otherwise(F.lit(0)).cast("int"))
+    salt = F.when(F.col("salts").isNotNull(), F.pmod(F.xxhash64(*by), F.col("salts"))).otherwise(F.lit(0)).cast("int")
     salts = F.when(F.col("salts").isNotNull(), F.sequence(F.lit(0), F.col("salts") - 1)).otherwise(F.array(F.lit(0)))
-    return dealt.drop("salts"), dim.join(hot, key, "left").withColumn("salt", F.explode(salts)).drop("salts")
+    return dealt.withColumn("salt", salt).drop("salts"), dim.join(hot, key, "left").withColumn("salt", F.explode(salts)).drop("salts")
 
 
 def word_count(text: Column) -> Column:

@@ -54,6 +54,10 @@ def text_filters(text: Column) -> tuple[dict[str, Column], dict[str, Column]]:
     return measures, conditions
 
 
+def _counts(rows: DataFrame, key: str) -> tuple[DataFrame, int]:
+    return rows.groupBy(key).agg(F.count(F.lit(1)).alias("many")), rows.count()
+
+
 def copy_ids(texts: DataFrame, rows: DataFrame) -> DataFrame:
     """(doc_id, hash) of the rows whose exact text a smaller doc_id has.
     ``texts`` is (doc_id, hash, text); ``rows`` holds the written (doc_id,
@@ -64,7 +68,7 @@ def copy_ids(texts: DataFrame, rows: DataFrame) -> DataFrame:
         texts = texts.join(F.broadcast(shared), "hash", "left_semi")
     texts = texts.where("doc_id is not null")
     least = texts.groupBy("hash", "text").agg(F.min("doc_id").alias("doc_id"))
-    later, first = spread(texts, least, "hash", ["doc_id"], rows)
+    later, first = spread(texts, least, "hash", ["doc_id"], *_counts(rows, "hash"))
     same = (
         (F.col("a.hash") == F.col("b.hash"))
         & (F.col("a.salt") == F.col("b.salt"))
@@ -101,7 +105,7 @@ def combinations(docs: DataFrame, labels: DataFrame, part: str = "lang") -> tupl
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
         .agg(is_one("quality").alias("good"), is_one("toxic").alias("toxic"))
     )
-    facts, marks = spread(masked.where("doc_id is not null"), marks, "doc_id", ["hash"], rows)
+    facts, marks = spread(masked.where("doc_id is not null"), marks, "doc_id", ["hash"], *_counts(rows, "doc_id"))
     known = facts.join(marks, ["doc_id", "salt"], "left")
     known = known.select("part", "mask", F.coalesce("good", F.lit(0)).alias("good"), F.coalesce("toxic", F.lit(0)).alias("toxic"), "n")
     unknown = masked.where("doc_id is null").select("part", "mask", F.lit(0).alias("good"), F.lit(0).alias("toxic"), "n")

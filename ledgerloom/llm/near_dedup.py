@@ -8,24 +8,15 @@ the XOR of two bitmaps keeps the samples on which they differ, and its
 population count estimates the similarity precisely where it is high.
 
 Classes that share a band key are candidates, but no bucket's pairs are
-written out. In the first round each bucket pairs its most central member
-(the one in the largest buckets: the original of its copies) with the
-others: linear in its size, and it merges groups of copies. Only buckets
-that still hold several components go on; each further round takes members
-of the bucket's smallest components as pivots against its members of other
-components, until no bucket has an untested pair across components. A
-bucket of one large component and few other members is thus done once
-those few are.
-
-Exact bounds close most buckets at once. A set of n shingles of which
-others can share s links only with sets of at most s * (100 + p) / p - n
-shingles; s leaves out shingles that no other candidate has, and for
-members of a bucket those that its pivot does not have. Members that share
-a shingle outside their pivot meet again in a bucket of that shingle. In
-the later rounds, pairs whose odd sketches estimate far too low
-(``SKETCH_FLOOR``, over five standard deviations below 0.8) are dropped;
-all others are confirmed on the full sets. Components follow from
-confirmed links.
+written out. Each bucket pairs its most central member (the one in the
+largest buckets: the original of its copies) with the others: linear in
+its size, and it merges groups of copies. Pairs whose odd sketches
+estimate far too low (``SKETCH_FLOOR``, over five standard deviations
+below 0.8) are dropped; all others are confirmed on the full sets. The
+members of buckets that still hold several components meet through lists
+of their rarest shingles (``set_links``): only pairs across components
+that positions, sizes and known overlaps leave open, again sketches first
+and full sets last. Components follow from confirmed links.
 
 With 24 bands of 4 values a pair at a threshold of 0.85 is missed with
 probability 2e-8, at 0.8 with 3e-6.
@@ -38,7 +29,6 @@ give empty results. Other columns are not read.
 
 from __future__ import annotations
 
-import hashlib
 import math
 from collections.abc import Iterator
 
@@ -46,77 +36,24 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
-from ledgerloom.llm.common import mix64, pick_rows, utf8, written
+from ledgerloom.llm.common import mix64, pick_rows, spread, written
 from ledgerloom.llm.graph import components
+from ledgerloom.llm.set_links import labelled, link, linked, overlaps
+from ledgerloom.llm.shingles import digest, full_sets, sets_of
 
 ROWS, BANDS = 4, 24
 HASHES = ROWS * BANDS
 SKETCH_BITS = 512
 SKETCH_FLOOR = 0.58
-FIRST_PIVOTS, MOST_PIVOTS = 16, 256
-CHUNK_BYTES = 2 << 20
 
-_RNG = np.random.default_rng(20240607)
-_BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BYTE[65:91] = _BYTE[97:123]
+_RNG = np.random.default_rng(20240608)
 _BASE = 0x9E3779B97F4A7C15 | 1
-_BASE_INV = pow(_BASE, -1, 1 << 64)
 _STEP = _RNG.integers(1, 1 << 63, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MUL = _RNG.integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _RNG.integers(0, 1 << 63, HASHES, dtype=np.uint64)
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.cumprod(out, dtype=np.uint64)
-
-
-def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, text index) of every word, in order."""
-    n = len(raw)
-    if not n:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    word = (raw != 32) & ~((raw >= 9) & (raw <= 13))
-    edge = np.zeros(n + 1, bool)
-    edge[offsets] = True
-    begin = word.copy()
-    begin[1:] &= ~word[:-1] | edge[1:-1]
-    end = word.copy()
-    end[:-1] &= ~word[1:] | edge[1:-1]
-    first, last = np.flatnonzero(begin), np.flatnonzero(end) + 1
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE[raw] * _powers(_BASE, n), dtype=np.uint64, out=sums[1:])
-    hashes = (sums[last] - sums[first]) * _powers(_BASE_INV, n)[first]
-    return hashes, np.searchsorted(offsets, first, "right") - 1
-
-
-def shingle_sets(raw: np.ndarray, offsets: np.ndarray, size: int) -> list[np.ndarray]:
-    """Sorted distinct shingle hashes of each text."""
-    words, text = word_hashes(raw, offsets)
-    n = len(offsets) - 1
-    per_text = np.bincount(text, minlength=n) if n else np.zeros(0, np.int64)
-    at = np.concatenate(([0], np.cumsum(per_text)))
-    full = max(0, len(words) - size + 1)
-    mixed = np.zeros(full, np.uint64)
-    for k in range(size):
-        mixed += words[k : k + full] * _STEP[k]
-    mixed = mix64(mixed)
-    out = []
-    for i in range(n):
-        m = int(per_text[i])
-        if m >= size:
-            out.append(np.unique(mixed[at[i] : at[i] + m - size + 1]))
-        elif m:
-            short = (words[at[i] : at[i + 1]] * _STEP[:m]).sum(dtype=np.uint64) + np.uint64(m)
-            out.append(mix64(np.array([short], np.uint64)))
-        else:
-            out.append(np.zeros(0, np.uint64))
-    return out
-
-
 def minhash(values: np.ndarray) -> np.ndarray:
     """``HASHES`` minima of a non-empty set."""
     best = np.full(HASHES, np.iinfo(np.uint64).max, np.uint64)
@@ -147,28 +84,15 @@ def sketch_limit(similarity: float) -> float:
     return SKETCH_BITS / 2 * (1 - math.exp(-2 * differing / SKETCH_BITS))
 
 
-def _sets_of(column: pa.Array, size: int) -> Iterator[np.ndarray]:
-    raw, offsets = utf8(column)
-    n, a = len(offsets) - 1, 0
-    while a < n:
-        b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + CHUNK_BYTES, "right")) - 1)
-        yield from shingle_sets(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], size)
-        a = b
-
-
-def _digest(values: np.ndarray) -> bytes:
-    return hashlib.blake2b(values.tobytes(), digest_size=16).digest()
-
-
 def features(docs: DataFrame, size: int) -> DataFrame:
     """(doc_id, sha, n, digest, bands, sketch) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, digests, bands, sketches = [], [], [], []
-            for values in _sets_of(batch.column("text"), size):
+            for values in sets_of(batch.column("text"), size):
                 n.append(len(values))
-                digests.append(_digest(values) if len(values) else None)
+                digests.append(digest(values) if len(values) else None)
                 samples = minhash(values) if len(values) else None
                 bands.append(band_keys(samples) if len(values) else None)
                 sketches.append(odd_sketch(samples) if len(values) else None)
@@ -192,145 +116,50 @@ def text_key() -> Column:
     return F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256))
 
 
-def _close_sketches(pairs: DataFrame, classes: DataFrame, floor: float) -> DataFrame:
-    """The pairs (a, b) whose odd sketches do not rule the link out."""
+def close_sketches(pairs: DataFrame, classes: DataFrame, floor: float) -> DataFrame:
+    """The pairs (a, b, ...) whose odd sketches do not rule the link out."""
     sketch = lambda c: classes.select(F.col("node").alias(c), F.col("sketch").alias(f"{c}_sketch"))
     apart = sum(
         (F.bit_count(F.get("a_sketch", F.lit(k)).bitwiseXOR(F.get("b_sketch", F.lit(k)))) for k in range(SKETCH_BITS // 64)),
         F.lit(0),
     )
-    joined = pairs.join(sketch("a"), "a").join(sketch("b"), "b")
-    return joined.where(apart <= sketch_limit(floor)).select("a", "b")
-
-
-def full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(node, shingles) for classes ``wanted`` (node, doc_id, digest):
-    their texts are read again and the digest is checked."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = list(_sets_of(batch.column("text"), size))
-            ends = np.concatenate(([0], np.cumsum([len(v) for v in found]))).astype(np.int32)
-            values = np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([_digest(v) for v in found], pa.binary()), pa.ListArray.from_arrays(ends, values)],
-                names=["digest", "shingles"],
-            )
-
-    ids = wanted.select(F.col("doc_id").alias("want")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    texts = texts.join(ids, F.col("doc_id").eqNullSafe(F.col("want")), "left_semi").select("text")
-    sets = texts.mapInArrow(run, "digest binary, shingles array<long>")
-    # rows that share an id may share a digest: one of them is enough
-    return sets.join(wanted.select("node", "digest"), "digest").groupBy("node").agg(F.first("shingles").alias("shingles"))
-
-
-def size_limits(sets: DataFrame, percent: int) -> DataFrame:
-    """(node, n, most): set size, and the largest set it can link with."""
-    each = sets.select("node", F.explode("shingles").alias("s"))
-    own = each.groupBy("s").agg(F.count(F.lit(1)).alias("times"), F.min("node").alias("node")).where("times = 1")
-    unshared = own.groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
-    n, shared = F.col("n"), F.col("n") - F.coalesce("alone", F.lit(0))
-    return (
-        sets.select("node", F.size("shingles").cast("long").alias("n"))
-        .join(unshared, "node", "left")
-        .select("node", "n", (F.floor(shared * (100 + percent) / percent).cast("long") - n).alias("most"))
-    )
-
-
-def overlaps(pairs: DataFrame, sets: DataFrame, outside: bool = False) -> DataFrame:
-    """(a, b, both, m, n): intersection and sizes of each pair's full sets;
-    with ``outside``, the shingles of b that a does not have."""
-    own = lambda c: sets.select(F.col("node").alias(c), F.col("shingles").alias(f"{c}_set"))
-    both = F.size(F.array_intersect("a_set", "b_set"))
-    more = [F.array_except("b_set", "a_set").alias("outside")] if outside else []
-    joined = pairs.join(own("b"), "b").join(own("a"), "a")
-    return joined.select("a", "b", both.alias("both"), F.size("a_set").alias("m"), F.size("b_set").alias("n"), *more)
-
-
-def linked(percent: int) -> Column:
-    """100 * intersection >= percent * union."""
-    return 100 * F.col("both") >= percent * (F.col("m") + F.col("n") - F.col("both"))
-
-
-def _labelled(nodes: DataFrame, labels: DataFrame | None) -> DataFrame:
-    if labels is None:
-        return nodes.withColumn("label", F.col("node"))
-    return nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    counts = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("many"))
+    facts, dim = spread(pairs.join(sketch("b"), "b"), sketch("a"), "a", ["b"], counts, pairs.count())
+    return facts.join(dim, ["a", "salt"]).where(apart <= sketch_limit(floor)).select(*pairs.columns)
 
 
 def link_classes(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame | None:
     """(node, label) of the linked classes. ``classes`` is the written
     (node, doc_id, digest, bands, sketch)."""
+
+    def by_key(rows: DataFrame, keys: DataFrame) -> DataFrame:
+        total = keys.agg(F.sum("many")).first()[0] or 0
+        facts, dim = spread(rows, keys, "key", ["node"], keys, total)
+        return facts.join(dim, ["key", "salt"]).drop("salt")
+
     members = classes.select("node", F.explode("bands").alias("key"))
-    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("together")).where("together > 1")
-    buckets = written(members.join(shared, "key"), "buckets")
-    central = written(buckets.groupBy("node").agg(F.sum("together").alias("central")), "central")
-    wanted = classes.join(central, "node", "left_semi")
-    sets = written(full_sets(docs, wanted.select("node", "doc_id", "digest"), size), "sets")
-    limits = size_limits(sets, percent)
-    # a set that no set of at least its least partner's size can reach is out
-    limits = limits.where(100 * F.col("most") >= percent * F.col("n"))
-    nodes = written(central.join(limits, "node"), "nodes")
-    buckets = written(buckets.select("key", "node").join(nodes, "node"), "buckets")
-    top = buckets.groupBy("key").agg(F.max(F.struct("central", (-F.col("node")).alias("minus"))).alias("top"))
-    top = top.select("key", (-F.col("top.minus")).alias("p"))
-    # first round: every bucket's pivot against its members, on full sets
-    spokes = buckets.join(top, "key").where("p <> node").select("key", "p", "node", "n", "most")
-    star = spokes.select(F.col("p").alias("a"), F.col("node").alias("b")).distinct()
-    star = written(overlaps(star, sets, outside=True), "star")
-    links = star.where(linked(percent)).select("a", "b")
+    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
+    buckets = written(by_key(members, written(shared, "shared")), "buckets")
+    central = written(buckets.groupBy("node").agg(F.sum("many").alias("central")), "central")
+    wanted = classes.join(central, "node", "left_semi").select("node", "doc_id", "digest")
+    sets = written(full_sets(docs, written(wanted, "wanted"), size), "sets")
+    # every bucket's most central member against its others
+    top = buckets.join(central, "node").groupBy("key", "many").agg(F.max(F.struct("central", (-F.col("node")).alias("minus"))).alias("top"))
+    top = written(top.select("key", "many", (-F.col("top.minus")).alias("p")), "top")
+    spokes = by_key(buckets.drop("many"), top).where("p <> node").select(F.col("p").alias("a"), F.col("node").alias("b"))
+    star = close_sketches(written(spokes.distinct(), "spokes"), classes, SKETCH_FLOOR)
+    tested = overlaps(written(star, "star"), sets, percent)
+    links = written(tested.where(linked(percent, F.col("both"), F.col("m"), F.col("n"))).select("a", "b"), "links")
     labels = None if links.isEmpty() else components(links)
-    # members of a bucket meet through shingles of its pivot, which limits
-    # their sizes, or share a shingle that the pivot does not have
-    known = star.select(F.col("a").alias("p"), F.col("b").alias("node"), F.floor(F.col("both") * (100 + percent) / percent - F.col("n")).cast("long").alias("through"))
-    through = F.least("most", F.coalesce("through", "most")).alias("most")
-    near = spokes.join(known, ["p", "node"], "left").select("key", "node", "n", through)
-    beyond = (
-        star.select("a", F.col("b").alias("node"), F.explode("outside").alias("s"))
-        .select(F.xxhash64("a", "s").alias("key"), "node")
-        .join(nodes.select("node", "n", "most"), "node")
-        .select("key", "node", "n", "most")
-    )
-    left = written(near.unionByName(beyond), "left")
-    pairs = None
-    pivots = FIRST_PIVOTS
-    while True:
-        if pairs is not None:
-            pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-            close = written(_close_sketches(pairs, classes, SKETCH_FLOOR), "candidates")
-            found = written(overlaps(close, sets).where(linked(percent)).select("a", "b"), "links")
-            if not found.isEmpty():
-                links = links.unionByName(found)
-                labels = components(links)
-        # only buckets with several components, and sizes that can meet
-        left = _labelled(left, labels)
-        open_keys = (
-            left.groupBy("key")
-            .agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("n").alias("least"), F.max("most").alias("reach"))
-            .where("low <> high")
-            .select("key", "least", "reach")
-        )
-        left = left.join(open_keys, "key").where("least <= most and n <= reach").select("key", "node", "n", "most", "label")
-        left = written(left, "open")
-        if left.isEmpty():
-            return labels
-        # the smallest components of a bucket first: once its other members
-        # are tested, the largest needs no test
-        sizes = left.groupBy("key", "label").agg(F.count(F.lit(1)).alias("together"))
-        ranked = left.join(sizes, ["key", "label"]).withColumn("rank", F.struct("together", "label", "node"))
-        nth = F.row_number().over(Window.partitionBy("key").orderBy("rank"))
-        first = written(ranked.withColumn("nth", nth).where(F.col("nth") <= pivots).drop("nth"), "pivots")
-        pairs = (
-            ranked.alias("m")
-            .join(
-                first.alias("p"),
-                F.expr("m.key = p.key and m.label <> p.label and p.rank < m.rank and m.n <= p.most and p.n <= m.most"),
-            )
-            .select(F.col("p.node").alias("a"), F.col("m.node").alias("b"))
-        )
-        left = left.join(first.select("key", "node"), ["key", "node"], "left_anti").select("key", "node", "n", "most")
-        pivots = min(4 * pivots, MOST_PIVOTS)
+    # buckets of several components: their members' other pairs
+    placed = labelled(buckets.select("key", "node"), labels)
+    several = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("many"))
+    several = written(several.where("low <> high").select("key", "many"), "several")
+    left = by_key(buckets.select("key", "node"), several).select("node").distinct()
+    left = written(sets.join(left, "node", "left_semi"), "left")
+    if left.isEmpty():
+        return labels
+    return link(left, percent, links, lambda pairs: close_sketches(pairs, classes, SKETCH_FLOOR))
 
 
 def group(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -347,13 +176,17 @@ def group(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
         "classes",
     )
     labels = link_classes(docs, classes, size, percent)
-    placed = _labelled(classes.select("node", "digest", "doc_id"), labels)
-    smallest = placed.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    of_class = written(placed.join(smallest, "label").select("digest", "component_id", "label"), "components")
-    linked = rows.where("n > 0").select("doc_id", "sha", "n", "digest").join(of_class, "digest")
+    placed = labelled(classes.select("node", "digest", "doc_id"), labels)
+    smallest = placed.groupBy("label").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("many"))
+    facts, dim = spread(placed, smallest, "label", ["node"], smallest.select("label", "many"), classes.count())
+    of_class = written(facts.join(dim, ["label", "salt"]).select("digest", "component_id", "label"), "components")
+    sized = rows.where("n > 0").select("doc_id", "sha", "n", "digest")
+    copies = sized.groupBy("digest").agg(F.count(F.lit(1)).alias("many"))
+    facts, dim = spread(sized, of_class, "digest", ["doc_id", "sha"], copies, rows.count())
+    placed = facts.join(dim, ["digest", "salt"])
     alone = rows.where("n = 0").select("*", F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("label"))
     out = ["doc_id", "sha", F.col("n").alias("n_shingles"), "component_id", "label"]
-    return linked.select(*out).unionByName(alone.select(*out))
+    return placed.select(*out).unionByName(alone.select(*out))
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ from ledgerloom.llm import (
     quality_rules,
     quote_threads,
     resampling,
+    set_join,
     suffix_dedup,
     url_filter,
 )
@@ -66,6 +67,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan_mix(table(spark, sf_dir, "documents"))
 
 
+def op11_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return set_join.group(table(spark, sf_dir, "documents"))
+
+
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("n_words")
 
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_exact_dedup,
         op9_quality_rules,
         op10_mixing,
+        op11_ngram_jaccard,
         op12_importance_resampling,
         op13_filter_audit,
     )
