@@ -187,16 +187,36 @@ def suffix_order(codes: np.ndarray) -> np.ndarray:
         width *= 2
 
 
-def merge_transforms(transforms: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """(shard, block) along the merged order after ``depth`` rounds of
-    interleave refinement: the i-th entry of a shard is its i-th suffix,
-    and a block holds the suffixes that agree on ``depth`` characters."""
-    shard = np.repeat(np.arange(len(transforms), dtype=np.uint8), [len(t) for t in transforms])
+def runs_before(codes: list[np.ndarray], orders: list[np.ndarray], length: int) -> list[np.ndarray]:
+    """Per shard the transform of ``length`` characters: along its suffix
+    order, the rank of the characters that precede each suffix."""
+    base = 1 + max(int(c.max(initial=0)) for c in codes)
+    whole = []
+    for code, order in zip(codes, orders):
+        key = np.zeros(len(order), np.int64)
+        for k in range(length, 0, -1):
+            key = key * base + code[order - k]  # a segment's first follows an end
+        whole.append(key)
+    ranks = np.unique(np.concatenate(whole))
+    return [np.searchsorted(ranks, key) for key in whole] if length == 1 or len(ranks) <= 1 << 16 else []
+
+
+def merge_transforms(codes: list[np.ndarray], orders: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """(shard, block) along the merged order after interleave refinement to
+    ``depth`` characters: the i-th entry of a shard is its i-th suffix, and
+    a block holds the suffixes that agree on ``depth`` characters. A round
+    refines by as many characters as have ranks of 16 bits, which sort in
+    linear time; the last rounds by fewer."""
+    size = [len(o) for o in orders]
+    shard = np.repeat(np.arange(len(orders), dtype=np.uint8), size)
     block = np.zeros(len(shard), np.int32)
-    kind = np.uint8 if all(t.max(initial=0) < 256 for t in transforms) else np.uint16
-    transforms = [t.astype(kind) for t in transforms]
-    char = np.empty(len(shard), kind)
-    for _ in range(depth):
+    char = np.empty(len(shard), np.uint16)
+    step, left, transforms = 1, depth, runs_before(codes, orders, 1)
+    while step < 4 and (longer := runs_before(codes, orders, step + 1)):
+        step, transforms = step + 1, longer
+    while left:
+        if left < step:
+            step, transforms = left, runs_before(codes, orders, left)
         for k, t in enumerate(transforms):
             char[shard == k] = t
         order = np.argsort(char, kind="stable")
@@ -205,13 +225,14 @@ def merge_transforms(transforms: list[np.ndarray], depth: int) -> tuple[np.ndarr
         starts = np.zeros(len(order), bool)
         starts[1:] = (dealt[1:] != dealt[:-1]) | (before[1:] != before[:-1])
         block = np.cumsum(starts, dtype=np.int32)
+        left -= step
     return shard, block
 
 
 def smallest_ids(segments: list[bytes], ids: np.ndarray) -> list[np.ndarray]:
     """For each window of each segment, the smallest id of a segment that
     has the same window."""
-    codes, transforms, orders, owners, inside = [], [], [], [], []
+    codes, orders, owners, inside = [], [], [], []
     per_shard = max(1, -(-len(segments) // SHARDS))
     for a in range(0, len(segments), per_shard):
         part = segments[a : a + per_shard]
@@ -222,14 +243,13 @@ def smallest_ids(segments: list[bytes], ids: np.ndarray) -> list[np.ndarray]:
         body[ends - 1] = False
         code[body] = np.frombuffer(b"".join(part), np.uint8).astype(np.int64) + 1
         order = suffix_order(code)
-        transforms.append(code[order - 1])  # the character before; a segment's first follows an end
         orders.append(order)
         owners.append(a + np.repeat(np.arange(len(part)), size + 1))
         inside.append(np.arange(len(code)) - np.repeat(ends - size - 1, size + 1))
         codes.append(code)
     used = np.unique(np.concatenate([np.unique(c) for c in codes]))
-    transforms = [np.searchsorted(used, t) for t in transforms]
-    shard, block = merge_transforms(transforms, WINDOW)
+    codes = [np.searchsorted(used, c) for c in codes]
+    shard, block = merge_transforms(codes, orders, WINDOW)
     low = np.full(int(block[-1]) + 1, NO_ID)
     spots = []
     for k, order in enumerate(orders):
