@@ -11,7 +11,8 @@ goes on. Two passes find every link:
    hold is answered to those that asked. A set with fewer than ``l``
    shared prefix shingles has no link. A task answers itself what several
    of its own classes hold, and sends one entry per shingle, so a common
-   passage adds one entry per task.
+   passage adds one entry per task. Answers travel packed as well, and are
+   added up per class.
 2. Joining, by ``set_links``: lists of the remaining sets' prefixes by
    rarity, with blocks by position that are skipped whole, and answers
    derived from those of a highly similar set.
@@ -27,7 +28,7 @@ give empty results. Other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -72,6 +73,12 @@ def _dealt(kind: int, target: np.ndarray, data: np.ndarray) -> Iterator[tuple[in
         yield int(target[a]), kind, data[a:b].tobytes()
 
 
+def _table(rows: Iterable[tuple[int, int, bytes]]) -> pa.Table:
+    columns = list(zip(*rows)) or [(), (), ()]
+    types = (pa.int64(), pa.int32(), pa.binary())
+    return pa.table({n: pa.array(c, t) for n, c, t in zip(("target", "kind", "data"), columns, types)})
+
+
 def _of(mark: np.ndarray, blocks: int) -> np.ndarray:
     return (mix64(mark.view(np.uint64)) % np.uint64(blocks)).astype(np.int64)
 
@@ -101,8 +108,7 @@ def shared_counts(docs: DataFrame, size: int, percent: int, blocks: int) -> Data
             entry = np.stack([(shingle[first] & ~np.uint64(1)) | (many == 1), owner[first].view(np.uint64)], 1)
             out = [*_dealt(0, _of(shingle[first] >> np.uint64(1), blocks), entry)]
             out += _dealt(1, _of(here, blocks), np.stack([here, times], 1))
-            columns = [pa.array([r[k] for r in out], t) for k, t in enumerate((pa.int64(), pa.int32(), pa.binary()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["target", "kind", "data"])
+            yield from _table(out).to_batches()
 
     def answer(table: pa.Table) -> pa.Table:
         kinds = table.column("kind").to_numpy()
@@ -125,11 +131,19 @@ def shared_counts(docs: DataFrame, size: int, percent: int, blocks: int) -> Data
         once = np.ones(len(told), bool)
         once[1:] = (run[told[1:]] != run[told[:-1]]) | (owner[told[1:]] != owner[told[:-1]])
         mark, times = np.unique(owner[told[once]].view(np.int64), return_counts=True)
-        return pa.table({"mark": np.concatenate([mark, local[:, 0]]), "shared": np.concatenate([times, local[:, 1]])})
+        told = np.concatenate([np.stack([mark, times], 1), local])
+        return _table(_dealt(1, _of(told[:, 0], blocks), told))
+
+    def add(table: pa.Table) -> pa.Table:
+        told = np.concatenate([np.frombuffer(d.as_buffer(), np.int64).reshape(-1, 2) for d in table.column("data")])
+        mark, of = np.unique(told[:, 0], return_inverse=True)
+        total = np.zeros(len(mark), np.int64)
+        np.add.at(total, of, told[:, 1])
+        return pa.table({"mark": mark, "shared": total})
 
     packed = docs.select("text").mapInArrow(ask, _PACKED)
-    answers = packed.groupBy("target").applyInArrow(answer, "mark long, shared long")
-    return answers.groupBy("mark").agg(F.sum("shared").alias("shared"))
+    answers = packed.groupBy("target").applyInArrow(answer, _PACKED)
+    return answers.groupBy("target").applyInArrow(add, "mark long, shared long")
 
 
 def group(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
