@@ -141,8 +141,10 @@ def judge(
     rank = sorted(range(len(names)), key=lambda k: (len(names[k]), names[k]))
     host, path = host_and_path(F.col("url"))
     query = F.regexp_extract(F.coalesce(F.col("url"), F.lit("")), r"(?s)^[^?#]*(\?[^#]*)?", 1)
+    # one blank alone ends the host: "*" of a host rule cannot run past it
+    plain = lambda c: F.translate(c, " ", "\x01")
     parsed = pages.select(F.col("page_id"), host.alias("host"), path.alias("path"), query.alias("query")).select(
-        "page_id", "host", "path", F.concat(F.lit("."), "host", F.lit(" "), "path", "query").alias("url")
+        "page_id", "host", "path", F.concat(F.lit("."), plain("host"), F.lit(" "), plain("path"), plain("query")).alias("url")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
