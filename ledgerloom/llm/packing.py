@@ -21,6 +21,7 @@ partitions; ``sequence_id`` holds the partition in its upper bits.
 from __future__ import annotations
 
 import base64
+import json
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -40,16 +41,20 @@ VOCABULARY = "byte_bpe_50k"
 
 
 def tokenizer(vocabulary: str = VOCABULARY) -> Callable[[str], list[int]]:
-    """Encoder of a public byte-level vocabulary, read from its ranks
-    file: the ids equal those of the vocabulary's ``tokenizers`` file with
-    special strings taken as ordinary text."""
+    """Encoder of a public byte-level vocabulary, read from its files: the
+    ids equal those of ``tokenizers`` on the vocabulary's JSON file
+    without special tokens added. Added tokens of that file that stand in
+    a text are matched whole, as there."""
     import public_tokenizers
     import tiktoken
 
     with open(public_tokenizers.path(f"{vocabulary}.tiktoken"), "rb") as f:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
-    encoding = tiktoken.Encoding(vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return encoding.encode_ordinary
+    with open(public_tokenizers.path(f"{vocabulary}.json"), encoding="utf-8") as f:
+        added = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+    ranks = {token: rank for token, rank in ranks.items() if rank not in added.values()}
+    encoding = tiktoken.Encoding(vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
+    return lambda text: encoding.encode(text, allowed_special="all")
 
 
 class Packer:
