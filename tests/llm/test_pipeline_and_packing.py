@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tests.llm.test_near_dedup import brute_components
@@ -29,7 +30,6 @@ def norm(text):
 @pytest.fixture(scope="module")
 def encode():
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids + [packing.END_ID]
 
 
@@ -118,7 +118,7 @@ def test_pipeline_stage_by_stage(spark, encode):
 
 
 def test_packing_edges(spark, encode):
-    texts = ["", None, "a", "word " * 9000, "é😀\n" * 50, "x" * 3000, "<|endoftext|>", "a", *["t%d" % k * (k % 40) for k in range(300)]]
+    texts = ["", None, "a", "word " * 9000, "é😀\n" * 50, "x" * 3000, "<|endoftext|>", "a", "x <|endoftext|><|endoftext|> y <|endoftext", *["t%d" % k * (k % 40) for k in range(300)]]
     rows = [(k if k else None, t) for k, t in enumerate(texts)] + [(3, texts[3])]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("start", F.lit("clash")).withColumn("ids", F.lit(1))
     out = packing.pack(docs.repartition(2)).collect()
@@ -211,11 +211,43 @@ def test_language_id_held_out_and_edges(spark):
     assert langid.predict(odd.limit(0), model).count() == 0
 
 
+def test_language_id_rejects_and_scores(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = sorted((r["lang"], r["text"]) for r in langid.sample(docs, rows_per_lang=150).collect())
+    model = langid.train([t for _, t in rows], [y for y, _ in rows])
+    strange = ["これは日本語の文章です", "Η γρήγορη καφέ αλεπού πηδάει πάνω", "זהו משפט בעברית", "Быстрая лиса прыгает", "asdf jkl qwer zxcv uiop hjkl vbnm", "½ ² ③"]
+    assert all(r["rejected"] for r in langid._label(model, pa.array(strange)).to_pylist())
+    made = langid.negatives([t for _, t in rows], np.random.default_rng(99))
+    gone = [r["rejected"] for r in langid._label(model, pa.array(made)).to_pylist()]
+    assert np.mean(gone) >= 0.95
+    kept = langid.predict(docs, model).where("held_out and lang_pred <> 'und'").collect()
+    assert np.mean([not r["rejected"] for r in kept]) >= 0.97
+
+    def brute(text):
+        raw = np.frombuffer((text or "").encode(), np.uint8)
+        cells = np.concatenate(langid._grams(raw)) if len(raw) else np.zeros(0, int)
+        return model.table[cells].sum(axis=0) / max(1, len(cells)) + model.bias
+
+    texts = ["", "ab", "Der Hund", "x" * 3000, None, " Über dem ", "y", "é" * 40] * 5
+    for size in (1, 5, 64, 1 << 18):
+        monkeypatch.setattr(langid, "WINDOW_BYTES", size)
+        assert np.abs(langid._scores(model, pa.array(texts)) - [brute(t) for t in texts]).max() < 1e-3
+
+
+def test_language_sample_is_bounded(spark):
+    rows = [(1, "ein Haus %d" % (k % 3), "de") for k in range(300)] + [(2 + k, "a house %d" % k, "en") for k in range(50)] + [(900, "x", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = Counter(r["lang"] for r in langid.sample(docs, rows_per_lang=20).collect())
+    assert got["en"] == 20 and got["de"] <= 3 and set(got) <= {"de", "en"}
+    assert {r["lang"] for r in langid.sample(docs, rows_per_lang=20, langs=1).collect()} <= {"de"}
+
+
 def test_url_filter_edges(spark):
     cases = [
         (1, None, "", "", None, "allow"), (2, "no scheme", "", "", None, "allow"), (3, "http://A.NET", "a.net", "", None, "allow"),
         (4, "http://A.NET/x", "a.net", "/x", "net/", "block"), (5, "s://example.net/en/", "example.net", "/en/", "example.net/en/", "allow"),
         (6, "s://x.example.com/de/q?x=1#y", "x.example.com", "/de/q", "example.com/de/", "block"), (7, "s://badexample.com/de/", "badexample.com", "/de/", None, "allow"),
+        (10, "http://evil.com/x.net /y", "evil.com", "/x.net /y", None, "allow"), (11, "http://a.com/b.org /fr/z", "a.com", "/b.org /fr/z", None, "allow"),
         (8, "s://q.org/fr/a", "q.org", "/fr/a", "org/fr/", "allow"), (None, "s://net/", "net", "/", "net/", "block"),
         (9, "s://é.net/" + "p" * 70000, "é.net", "/" + "p" * 70000, "net/", "block"), (9, "", "", "", None, "allow"),
     ]
