@@ -28,6 +28,7 @@ from ledgerloom.session import work_path
 from ledgerloom.sinks import files as K
 from ledgerloom.sources import files as SRC
 from ledgerloom.sources import tables as T
+from ledgerloom.sources.open_json import read_open_orders
 from ledgerloom.streaming.landing import land_orders, landed_clean
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -120,6 +121,20 @@ def scan_json_month_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _doc_rows(clean, "source_file")
 
 
+def open_schema_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of one month with every order and item field the
+    documents hold, declared or not (here ``note`` and ``line_no``)."""
+    base = stage_inputs(spark, sf_dir)
+    docs = read_open_orders(spark, f"{base}/orders", *MONTH, layout="month_partitions")
+    clean, _ = SRC.split_corrupt(docs)
+    lines = L.normalize_items(L.explode_items(clean))
+    return _doubles(
+        lines.select("order_id", "customer_id", "note", "item_pos", F.col("item_line_no").cast("int").alias("line_no"), "item_qty", "item_unit_price"),
+        "item_qty",
+        "item_unit_price",
+    )
+
+
 def union_evolving(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines written with {qty, unit_price} and lines written with
     {quantity, price}, unioned by name (missing fields are null)."""
@@ -389,6 +404,7 @@ def builders() -> dict[str, Builder]:
         "scan_csv_customers": scan_csv_customers,
         "scan_json_month": scan_json_month,
         "scan_json_month_files": scan_json_month_files,
+        "open_schema_lines": open_schema_lines,
         "union_evolving": union_evolving,
         "paid_orders": paid_orders,
         "explode_lines": explode_lines,

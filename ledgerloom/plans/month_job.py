@@ -20,7 +20,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerloom.operators import lines as L
 from ledgerloom.operators import sales as S
@@ -38,6 +39,21 @@ from ledgerloom.schemas import (
 from ledgerloom.session import work_path
 from ledgerloom.sinks import files as K
 from ledgerloom.sources import files as SRC
+from ledgerloom.sources.open_json import day_files, typed
+
+
+def _salvaged(landed: DataFrame, input_dir: str, path: str) -> DataFrame:
+    """The landed documents, with the day files that did not parse as
+    documents read again element by element; only what is no document
+    stays in quarantine. At most one name per day is looked at."""
+    spark = landed.sparkSession
+    unreadable = F.col(SRC.CORRUPT_COLUMN).startswith(SRC.UNREADABLE)
+    names = [r[0] for r in landed.where(unreadable).select("source_file").distinct().collect()]
+    if not names:
+        return landed
+    typed(day_files(spark, input_dir, names)).select(*landed.columns).write.mode("overwrite").parquet(path)
+    rest = landed.where(F.coalesce(~unreadable, F.lit(True)))
+    return rest.unionByName(spark.read.parquet(path))
 
 
 def run_month(
@@ -69,7 +85,7 @@ def run_month(
     # 1. land the month (one JSON parse)
     raw = SRC.read_orders_month(spark, input_dir, year, month, layout=layout)
     raw.write.mode("overwrite").parquet(f"{run}/docs")
-    landed = spark.read.parquet(f"{run}/docs")
+    landed = _salvaged(spark.read.parquet(f"{run}/docs"), input_dir, f"{run}/salvaged")
     docs, quarantine = SRC.split_corrupt(landed)
 
     # 2. quarantine

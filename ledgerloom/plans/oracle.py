@@ -190,6 +190,11 @@ def statements() -> dict[str, str]:
         "scan_json_month_files": with_ctes(HEADS, ITEMS, N_ITEMS)
         + f" SELECT *, 'orders_' || CAST(TRY_CAST(created_at AS DATE) AS VARCHAR) || '.json' AS source_file"
         f" FROM doc_rows WHERE {IN_MONTH}",
+        "open_schema_lines": with_ctes(HEADS, ITEMS, EXPLODED.format(join="JOIN"))
+        + f""" SELECT order_id, customer_id, 'note of ' || customer_id AS note, item_pos, item_line_no AS line_no,
+                 {dbl('TRY_CAST(COALESCE(item_qty, item_quantity) AS DECIMAL(18,4))')} AS item_qty,
+                 {dbl('TRY_CAST(COALESCE(item_unit_price, item_price) AS DECIMAL(18,4))')} AS item_unit_price
+               FROM ex WHERE {IN_MONTH}""",
         "union_evolving": with_ctes(ITEMS)
         + " SELECT order_id, item_pos, item_qty, item_unit_price FROM items WHERE item_qty IS NOT NULL"
         " UNION ALL BY NAME"

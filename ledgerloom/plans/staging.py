@@ -27,11 +27,12 @@ from ledgerloom.sources import tables as T
 from ledgerloom.sources.files import MONTH_PARTITION
 
 DAY = "order_day"
+NOTE = "note"
 
 # Fixed values of the staged fixture: month that receives a malformed file.
 BAD_MONTH = "1997-03"
 # bumped whenever the staged layout changes, so old copies are not reused
-LAYOUT_VERSION = "5"
+LAYOUT_VERSION = "6"
 BAD_TEXT = '{"order_id": "broken", "items": [ this is not json'
 
 
@@ -46,6 +47,9 @@ def stage_inputs(spark: SparkSession, sf_dir: str) -> str:
     if path_exists(spark, f"{base}/refunds.csv/_SUCCESS"):
         return base
     docs = T.order_documents(spark, sf_dir).withColumn(MONTH_PARTITION, F.substring("created_at", 1, 7))
+    # an order field that the read schema does not declare (the items hold
+    # one too, line_no)
+    docs = docs.withColumn(NOTE, F.concat(F.lit("note of "), "customer_id"))
     # range partitioning keeps each month in few files while a very large
     # month is still split over several writer tasks (order_id in the key)
     (

@@ -35,6 +35,7 @@ from ledgerloom.schemas import (
 
 LAYOUTS = ("daily_files", "month_partitions")
 MONTH_PARTITION = "order_month"
+UNREADABLE = "unreadable file, bytes: "  # then its length
 
 
 def _is_missing_path(e: AnalysisException) -> bool:
@@ -146,7 +147,7 @@ def _documents(df: DataFrame, multi_line: bool) -> DataFrame:
     items = F.from_json(F.col("items"), ORDER_DOC["items"].dataType)
     if multi_line:
         size = F.col("_metadata.file_size").cast("string")
-        whole = F.when(F.coalesce(*fields).isNull(), F.concat(F.lit("unreadable file, bytes: "), size))
+        whole = F.when(F.coalesce(*fields).isNull(), F.concat(F.lit(UNREADABLE), size))
     else:
         whole = F.col(CORRUPT_COLUMN)
     wrong = F.when(F.col("items").isNotNull() & items.isNull(), F.col("items"))
