@@ -89,7 +89,10 @@ def explode_items_and_normalize(orders: DataFrame) -> DataFrame:
 
 def detect_and_save_rejects(df: DataFrame, out_dir: str, csv_encoding: str = "utf-8") -> DataFrame:
     """Write lines with a negative unit price to ``<out>/rejects_items.csv``
-    (only if there are any) and return the lines with price >= 0."""
+    (only if there are any) and return the lines with price >= 0. A frame
+    without that column is returned as it is (P17)."""
+    if "item_unit_price" not in df.columns:
+        return df
     good, rejects = L.split_rejects(df)
     K.write_rejects(rejects.select(*ITEM_COLUMNS) if set(ITEM_COLUMNS) <= set(rejects.columns) else rejects, str(out_dir), csv_encoding)
     return good

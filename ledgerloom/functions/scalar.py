@@ -15,22 +15,34 @@ from pyspark.sql import functions as F
 
 from ledgerloom.schemas import FACTOR, FALSE_TOKENS, NUM, TRUE_TOKENS
 
-ColumnOrName = Column | str
-
-# Extra date layouts accepted after the ISO forms (which
+# Date layouts accepted after the ISO forms (which
 # ``try_cast`` already handles: 'yyyy-MM-dd', 'yyyy-MM-dd HH:mm:ss',
-# 'yyyy-MM-ddTHH:mm:ss', with or without a zone suffix).
-FALLBACK_DATE_FORMATS = [
-    "yyyy/M/d",
-    "M/d/yyyy",
-    "yyyy/M/d H:mm",
-    "yyyy/M/d H:mm:ss",
-    "M/d/yyyy H:mm",
-    "M/d/yyyy H:mm:ss",
-    "yyyyMMdd",
-    "MMMM d, yyyy",
-    "d-MMM-yyyy",
-]
+# 'yyyy-MM-ddTHH:mm:ss', with or without a zone suffix), by the text's
+# shape: every run of digits is 9, every run of letters a. Month first;
+# day first where no such month exists.
+DATE_SHAPES = {
+    "9/9/9": ["yyyy/M/d", "M/d/yyyy", "d/M/yyyy"],
+    "9/9/9 9:9": ["yyyy/M/d H:mm", "M/d/yyyy H:mm", "d/M/yyyy H:mm"],
+    "9/9/9 9:9:9": ["yyyy/M/d H:mm:ss", "M/d/yyyy H:mm:ss", "d/M/yyyy H:mm:ss"],
+    "9/9/9 9:9 a": ["M/d/yyyy h:mm a", "d/M/yyyy h:mm a"],
+    "9.9.9": ["M.d.yyyy", "d.M.yyyy", "yyyy.M.d"],
+    "9.9.9 9:9": ["M.d.yyyy H:mm", "d.M.yyyy H:mm", "yyyy.M.d H:mm"],
+    "9.9.9 9:9:9": ["M.d.yyyy H:mm:ss", "d.M.yyyy H:mm:ss", "yyyy.M.d H:mm:ss"],
+    "9": ["yyyyMMdd", "yyyyMMddHHmmss"],
+    "a 9, 9": ["MMMM d, yyyy", "MMM d, yyyy"],
+    "a 9 9": ["MMMM d yyyy", "MMM d yyyy"],
+    "a 9, 9 9:9": ["MMMM d, yyyy H:mm", "MMM d, yyyy H:mm"],
+    "a 9, 9 9:9:9": ["MMMM d, yyyy H:mm:ss", "MMM d, yyyy H:mm:ss"],
+    "a 9, 9 9:9 a": ["MMMM d, yyyy h:mm a", "MMM d, yyyy h:mm a"],
+    "a 9, 9 9:9:9 a": ["MMMM d, yyyy h:mm:ss a", "MMM d, yyyy h:mm:ss a"],
+    "9 a 9": ["d MMMM yyyy", "d MMM yyyy"],
+    "9 a 9 9:9": ["d MMMM yyyy H:mm", "d MMM yyyy H:mm"],
+    "9 a 9 9:9:9": ["d MMMM yyyy H:mm:ss", "d MMM yyyy H:mm:ss"],
+    "9-a-9": ["d-MMM-yyyy", "d-MMMM-yyyy"],
+    "9-a-9 9:9:9": ["d-MMM-yyyy H:mm:ss"],
+}
+
+ColumnOrName = Column | str
 
 
 def _col(c: ColumnOrName) -> Column:
@@ -65,11 +77,30 @@ def first_present(*cols: ColumnOrName) -> Column:
 
 def parse_date(c: ColumnOrName) -> Column:
     """F8/F9 text to DATE: ISO date or timestamp text (space or 'T'),
-    then the fixed fallback layouts; anything else gives null."""
-    s = F.trim(_col(c))
-    return F.coalesce(
-        s.try_cast("date"), *[F.try_to_date(s, fmt) for fmt in FALLBACK_DATE_FORMATS]
-    )
+    then the layouts of the text's shape, so a row tries two or three and
+    not all of them; a leading weekday and a trailing zone name are left
+    out. Anything else gives null."""
+    s = F.regexp_replace(_col(c).cast("string"), r"^\s+|\s+$", "")
+    plain = F.regexp_replace(s, r"^(?i:mon|tue|wed|thu|fri|sat|sun)[a-z]*,? +| +(?:GMT|UTC|Z)$", "")
+    shape = F.regexp_replace(F.regexp_replace(plain, "[0-9]+", "9"), "[A-Za-z]+", "a")
+    tries = []
+    for k in range(max(map(len, DATE_SHAPES.values()))):
+        nth = [F.lit(x) for known, formats in DATE_SHAPES.items() if k < len(formats) for x in (known, formats[k])]
+        tries.append(F.try_to_timestamp(plain, F.try_element_at(F.create_map(*nth), shape)).cast("date"))
+    return F.coalesce(s.try_cast("date"), *tries)
+
+
+def exact_sum(c: ColumnOrName) -> Column:
+    """Sum of exact numbers: exact where it fits the type; past 28 digits
+    before the point the sum of doubles, and null only where that does not
+    fit either. Never an overflow error that would end the job."""
+    return F.coalesce(F.try_sum(c), F.sum(_col(c).cast("double")).try_cast(NUM))
+
+
+def wide_sum(c: ColumnOrName) -> Column:
+    """Sum of exact numbers as a double: of the exact sum where it fits,
+    else of doubles."""
+    return F.coalesce(F.try_sum(c).cast("double"), F.sum(_col(c).cast("double")))
 
 
 def to_double(c: ColumnOrName) -> Column:

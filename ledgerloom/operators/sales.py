@@ -19,7 +19,8 @@ customers -> report):
   plain count, leaving one distinct aggregate and no Expand.
 
 All money and quantity sums are exact decimals; doubles appear only in
-the output projections.
+the output projections, and where a sum is too large for the exact type
+(``scalar.exact_sum``, ``scalar.wide_sum``).
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.scalar import active_flag, parse_date, product, safe_number, to_double
+from ledgerloom.functions.scalar import active_flag, exact_sum, parse_date, product, safe_number, to_double, wide_sum
 from ledgerloom.operators.dedup import unique_by_key
 from ledgerloom.operators.skew import salted_join
 from ledgerloom.schemas import NUM
@@ -47,7 +48,7 @@ def per_order(lines: DataFrame) -> DataFrame:
     return (
         with_line_gross(lines)
         .groupBy(*PER_ORDER_KEYS)
-        .agg(F.sum("item_qty").alias("items_sold"), F.sum("line_gross").alias("gross_revenue_eur"))
+        .agg(exact_sum("item_qty").alias("items_sold"), exact_sum("line_gross").alias("gross_revenue_eur"))
     )
 
 
@@ -105,7 +106,7 @@ def refunds_per_order(refunds: DataFrame, bad_amount: float = 0.0) -> DataFrame:
             safe_number("amount", default=bad_amount).alias("amount"),
         )
         .groupBy("order_id")
-        .agg(F.sum("amount").alias("refunds_eur"))
+        .agg(exact_sum("amount").alias("refunds_eur"))
     )
 
 
@@ -154,20 +155,23 @@ def daily_city_sales(enriched: DataFrame, sort: bool = True, orders_unique: bool
     agg = enriched.groupBy(*REPORT_KEYS).agg(
         orders.alias("orders_count"),
         F.count_distinct("customer_id").alias("unique_customers"),
-        F.sum("items_sold").alias("items_sold"),
-        F.sum("gross_revenue_eur").alias("gross_revenue_eur"),
-        F.sum("refunds_eur").alias("refunds_eur"),
+        wide_sum("items_sold").alias("items_sold"),
+        wide_sum("gross_revenue_eur").alias("gross_revenue_eur"),
+        wide_sum("refunds_eur").alias("refunds_eur"),
+        # exact difference where both sums are exact
+        (F.try_subtract(F.try_sum("gross_revenue_eur"), F.try_sum("refunds_eur"))).cast("double").alias("net"),
     )
+    net = F.coalesce("net", F.col("gross_revenue_eur") - F.col("refunds_eur"))
     out = agg.select(
         F.col("order_date").alias("date"),
         "city",
         "channel",
         "orders_count",
         "unique_customers",
-        to_double("items_sold").alias("items_sold"),
-        to_double("gross_revenue_eur").alias("gross_revenue_eur"),
-        to_double("refunds_eur").alias("refunds_eur"),
-        to_double(F.col("gross_revenue_eur") - F.col("refunds_eur")).alias("net_revenue_eur"),
+        "items_sold",
+        "gross_revenue_eur",
+        "refunds_eur",
+        net.alias("net_revenue_eur"),
     )
     return out.orderBy("date", "city", "channel") if sort else out
 

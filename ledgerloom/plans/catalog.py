@@ -22,8 +22,8 @@ from ledgerloom.operators.skew import hot_keys
 from ledgerloom.plans import metrics as M
 from ledgerloom.plans import report as R
 from ledgerloom.plans.month_job import run_month
-from ledgerloom.plans.staging import stage_daily_files, stage_inputs
-from ledgerloom.schemas import CUSTOMERS_FILE, PAID, REJECTS, REJECTS_FILE, TABLE_DAILY_SALES
+from ledgerloom.plans.staging import MIXED_CUSTOMERS, stage_daily_files, stage_inputs
+from ledgerloom.schemas import CUSTOMERS_FILE, PAID, REFUNDS_FILE, REJECTS, REJECTS_FILE, TABLE_DAILY_SALES
 from ledgerloom.session import work_path
 from ledgerloom.sinks import files as K
 from ledgerloom.sources import files as SRC
@@ -102,6 +102,20 @@ def scan_csv_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SRC.read_customers_raw(spark, f"{base}/{CUSTOMERS_FILE}")
 
 
+def scan_csv_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part files with headers of different order and letter case, and
+    fields with quotes and line breaks."""
+    base = stage_inputs(spark, sf_dir)
+    return SRC.read_customers_raw(spark, f"{base}/{MIXED_CUSTOMERS}")
+
+
+def scan_csv_refunds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Refunds.csv (written from the tables), the amount as number."""
+    base = stage_inputs(spark, sf_dir)
+    raw = SRC.read_refunds_raw(spark, f"{base}/{REFUNDS_FILE}")
+    return raw.select("order_id", to_double(safe_number("amount")).alias("amount"), "created_at")
+
+
 def scan_json_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The order documents of one month in one scan of its
     partition directory; the malformed file of that month goes to
@@ -222,7 +236,7 @@ def _created_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """created_at text in the layouts met in order files (one per order,
     chosen by a rule on the order key), plus unparseable text."""
     o = T.table(spark, sf_dir, "orders")
-    d, k = F.col("o_orderdate"), F.col("o_orderkey") % 12
+    d, k = F.col("o_orderdate"), F.col("o_orderkey") % 17
     text = (
         F.when(k == 0, F.date_format(d, "yyyy-MM-dd HH:mm:ss"))
         .when(k == 1, F.date_format(d, "yyyy-MM-dd"))
@@ -235,6 +249,11 @@ def _created_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k == 8, F.date_format(d, "MMMM d, yyyy"))
         .when(k == 9, F.date_format(d, "dd-MMM-yyyy"))
         .when(k == 10, F.date_format(d, "yyyy/MM/dd HH:mm"))
+        .when(k == 11, F.date_format(d, "d MMMM yyyy"))
+        .when(k == 12, F.date_format(d, "MMM d, yyyy h:mm a"))
+        .when(k == 13, F.date_format(d, "MM.dd.yyyy"))
+        .when(k == 14, F.date_format(d, "EEE, dd MMM yyyy HH:mm:ss 'GMT'"))
+        .when(k == 15, F.date_format(d, "yyyyMMddHHmmss"))
         .otherwise(F.concat(F.lit("week of "), F.date_format(d, "yyyyMMdd")))
     )
     return o.select(F.col("o_orderkey").cast("string").alias("order_id"), text.alias("created_text"))
@@ -402,6 +421,8 @@ def landed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def builders() -> dict[str, Builder]:
     return {
         "scan_csv_customers": scan_csv_customers,
+        "scan_csv_parts": scan_csv_parts,
+        "scan_csv_refunds": scan_csv_refunds,
         "scan_json_month": scan_json_month,
         "scan_json_month_files": scan_json_month_files,
         "open_schema_lines": open_schema_lines,

@@ -87,6 +87,7 @@ def active_sql(x: str) -> str:
 def date_sql(x: str) -> str:
     t = f"trim({x})"
     layouts = ["%Y/%m/%d", "%m/%d/%Y", "%m/%d/%Y %H:%M:%S", "%Y/%m/%d %H:%M", "%Y%m%d", "%B %d, %Y", "%d-%b-%Y"]
+    layouts += ["%d %B %Y", "%b %d, %Y %I:%M %p", "%m.%d.%Y", "%a, %d %b %Y %H:%M:%S GMT", "%Y%m%d%H%M%S"]
     tries = ", ".join(f"CAST(TRY_STRPTIME({t}, '{f}') AS DATE)" for f in layouts)
     return f"COALESCE(TRY_CAST({t} AS DATE), {tries})"
 
@@ -185,6 +186,10 @@ def statements() -> dict[str, str]:
     line_report = with_ctes(*LINE_CHAIN, FIRST, *ENRICH_CHAIN)
     out = {
         "scan_csv_customers": with_ctes(CUST_RAW) + " SELECT customer_id, city, is_active FROM cust_raw",
+        "scan_csv_parts": with_ctes(CUST_RAW)
+        + """ SELECT customer_id, CASE WHEN customer_id LIKE '%7' THEN '"new"' || chr(10) || city ELSE city END AS city, is_active
+              FROM cust_raw""",
+        "scan_csv_refunds": with_ctes(REFUNDS_RAW) + f" SELECT order_id, {dbl('amount')} AS amount, created_at FROM refunds_raw",
         "scan_json_month": with_ctes(HEADS, ITEMS, N_ITEMS)
         + f" SELECT *, substr(created_at, 1, 7) AS order_month FROM doc_rows WHERE {IN_MONTH}",
         "scan_json_month_files": with_ctes(HEADS, ITEMS, N_ITEMS)
@@ -228,7 +233,7 @@ FROM t""",
         "parse_dates": f"""
 WITH t AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS order_id,
-         CASE o_orderkey % 12
+         CASE o_orderkey % 17
            WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
            WHEN 1 THEN strftime(o_orderdate, '%Y-%m-%d')
            WHEN 2 THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S')
@@ -240,6 +245,11 @@ WITH t AS (
            WHEN 8 THEN strftime(o_orderdate, '%B %-d, %Y')
            WHEN 9 THEN strftime(o_orderdate, '%d-%b-%Y')
            WHEN 10 THEN strftime(o_orderdate, '%Y/%m/%d %H:%M')
+           WHEN 11 THEN strftime(o_orderdate, '%-d %B %Y')
+           WHEN 12 THEN strftime(o_orderdate, '%b %-d, %Y %-I:%M %p')
+           WHEN 13 THEN strftime(o_orderdate, '%m.%d.%Y')
+           WHEN 14 THEN strftime(o_orderdate, '%a, %d %b %Y %H:%M:%S GMT')
+           WHEN 15 THEN strftime(o_orderdate, '%Y%m%d%H%M%S')
            ELSE 'week of ' || strftime(o_orderdate, '%Y%m%d') END AS created_text
   FROM orders)
 SELECT order_id, created_text, {date_sql('created_text')} AS order_date FROM t""",

@@ -17,7 +17,7 @@ interrupted staging is rewritten from scratch (all writes overwrite).
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.schemas import CUSTOMERS_FILE, ORDERS_FILE_PREFIX, REFUNDS_FILE
@@ -28,11 +28,12 @@ from ledgerloom.sources.files import MONTH_PARTITION
 
 DAY = "order_day"
 NOTE = "note"
+MIXED_CUSTOMERS = "customers_mixed.csv"
 
 # Fixed values of the staged fixture: month that receives a malformed file.
 BAD_MONTH = "1997-03"
 # bumped whenever the staged layout changes, so old copies are not reused
-LAYOUT_VERSION = "6"
+LAYOUT_VERSION = "8"
 BAD_TEXT = '{"order_id": "broken", "items": [ this is not json'
 
 
@@ -63,10 +64,24 @@ def stage_inputs(spark: SparkSession, sf_dir: str) -> str:
         f"{base}/orders/{MONTH_PARTITION}={BAD_MONTH}"
     )
     write_csv(T.customers_raw(spark, sf_dir), f"{base}/customers.csv", sep=",")
+    _write_mixed_parts(T.customers_raw(spark, sf_dir), f"{base}/{MIXED_CUSTOMERS}")
     write_csv(T.refunds_raw(spark, sf_dir), f"{base}/refunds.csv", sep=",")
     return base
 
 
+def _write_mixed_parts(customers: DataFrame, path: str) -> None:
+    """Part files of one folder whose headers differ in order and letter
+    case; cities hold a line break and quotes in part of the rows."""
+    odd = F.pmod(F.xxhash64("customer_id"), F.lit(2)) == 1
+    city = F.when(F.col("customer_id").endswith("7"), F.concat(F.lit('"new"\n'), "city")).otherwise(F.col("city"))
+    customers = customers.withColumn("city", city)
+    whole = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    write = lambda df, mode: df.write.mode(mode).options(**whole).csv(path)
+    write(customers.where(odd).select("customer_id", "city", "is_active"), "overwrite")
+    turned = [F.col("is_active").alias("IS_ACTIVE"), F.col("city").alias("City"), F.lit("x").alias("more"), F.col("customer_id").alias("Customer_Id")]
+    write(customers.where(~odd).select(*turned), "append")
+
+
 def stage_daily_files(spark: SparkSession, sf_dir: str) -> str:
     """The reference's own input layout in one folder: one multi-line JSON
     array per day named ``orders_YYYY-MM-DD.json`` plus customers.csv and

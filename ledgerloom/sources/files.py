@@ -1,7 +1,7 @@
 """File sources of the order model.
 
-* CSV with a header, declared all-string schema (S1); a missing file is
-  a typed empty frame, not an error (S2).
+* CSV with a header, declared all-string schema, columns by name in each
+  part file (S1); a missing file is a typed empty frame, not an error (S2).
 * Order documents as JSON, one scan per month with a declared schema
   (S3/S4): either the reference's flat layout of day files
   ``orders_YYYY-MM-DD.json`` (multi-line arrays; the day is validated
@@ -17,7 +17,9 @@
 
 from __future__ import annotations
 
+import csv
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -49,6 +51,32 @@ def empty_frame(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def _header_groups(spark: SparkSession, path: str, sep: str, encoding: str) -> list[tuple[list[str], list[str]]]:
+    """(column names, files) of the CSV files under a path, files of one
+    header together. Only names and headers (one line a file) reach the
+    driver; a single file needs no pass."""
+    text = spark.read.option("encoding", encoding).text(path)
+    files = text.inputFiles()
+    if len(files) < 2:
+        return []
+    lines = text.where(F.trim("value") != "").select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("nth"))
+    heads = lines.groupBy("file").agg(F.min_by("value", "nth").alias("head"))
+    groups: dict[str, list[str]] = {}
+    for row in heads.collect():
+        groups.setdefault(row["head"].strip("\ufeff"), []).append(unquote(row["file"]))
+    names = lambda head: next(csv.reader([head], delimiter=sep))
+    return [(names(head), sorted(own)) for head, own in sorted(groups.items())]
+
+
+def _by_name(found: DataFrame, schema: StructType) -> DataFrame:
+    """The declared columns of ``found``, names matched without case."""
+    own: dict[str, str] = {}
+    for c in found.columns:
+        own.setdefault(c.strip("\ufeff \t").lower(), c)
+    columns = [F.col(f"`{own[f.name.lower()]}`") if f.name.lower() in own else F.lit(None) for f in schema.fields]
+    return found.select(*[c.cast(f.dataType).alias(f.name) for c, f in zip(columns, schema.fields)])
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
@@ -56,27 +84,39 @@ def read_csv(
     header: bool = True,
     sep: str = ",",
     encoding: str = "utf-8",
+    multi_line: bool = True,
 ) -> DataFrame:
     """CSV (file or directory of part files) as the declared
-    columns. With a header they are taken by name: other columns are
-    ignored, absent ones are null. Without one the schema is positional.
-    A missing path gives a typed empty frame."""
+    columns. With a header they are taken by name, without case: other
+    columns are ignored, absent ones are null, and every part file may
+    have an order of its own. Without one the schema is positional. A
+    quoted field may hold line breaks (``multi_line``; a file is then read
+    by one task -- part files are the unit of parallel reads). A missing
+    path gives a typed empty frame."""
     reader = (
         spark.read.option("header", header)
         .option("sep", sep)
         .option("encoding", encoding)
         .option("escape", '"')
+        .option("multiLine", multi_line)
         .option("mode", "PERMISSIVE")
     )
     try:
         if not header:
             return reader.schema(schema).csv(path)
-        found = reader.csv(path)
-        own = {c.strip("\ufeff \t"): c for c in found.columns}
-        columns = [
-            F.col(f"`{own[f.name]}`") if f.name in own else F.lit(None) for f in schema.fields
-        ]
-        return found.select(*[c.cast(f.dataType).alias(f.name) for c, f in zip(columns, schema.fields)])
+        groups = _header_groups(spark, path, sep, encoding)
+        if len(groups) < 2:
+            return _by_name(reader.csv(path), schema)
+        # one positional scan per distinct header, then by name
+        frames = []
+        for names, files in groups:
+            fields = [StructField(f"c{k}", StringType()) for k in range(len(names))]
+            own = reader.schema(StructType(fields)).option("enforceSchema", True).csv(files)
+            seen: set[str] = set()
+            plain = [n.strip("\ufeff \t").lower() for n in names]
+            keep = [k for k, n in enumerate(plain) if not (n in seen or seen.add(n))]
+            frames.append(_by_name(own.select(*[F.col(f"c{k}").alias(plain[k] or f"_c{k}") for k in keep]), schema))
+        return union_by_name(*frames)
     except AnalysisException as e:
         if _is_missing_path(e):
             return empty_frame(spark, schema)
