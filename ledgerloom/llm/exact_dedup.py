@@ -149,12 +149,15 @@ def lookup(asked: DataFrame, index: DataFrame, shards: int) -> DataFrame:
 def decide(rows: DataFrame, history: DataFrame | None = None) -> DataFrame:
     """One verdict per distinct digest of ``rows`` (doc_id, digest):
     (digest, keep_id, group_size, member). ``history`` (digest, winner)
-    holds earlier winners; without it the rows' own first occurrences are
+    holds earlier winners (of a repeated digest the smallest); without it the rows' own first occurrences are
     the history. Members keep the historical winner; nonmembers are
     grouped separately and keep their smallest doc_id."""
     groups = rows.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("group_size"))
     groups = written(groups, "digests")
-    past = groups.select("digest", F.col("first_id").alias("winner")) if history is None else history
+    if history is None:
+        past = groups.select("digest", F.col("first_id").alias("winner"))
+    else:  # an index needs distinct digests
+        past = history.where("digest is not null").groupBy("digest").agg(F.min("winner").alias("winner"))
     index, shards = build_index(past.select("digest", "winner"))
     found = written(lookup(groups, index, shards), "lookups")
     members = groups.join(found.where("member").select("digest", "winner"), "digest").select(

@@ -197,13 +197,18 @@ def learn(rows: list[tuple[dict, int]]) -> list[Rule]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = SAMPLE_ROWS) -> list[Rule]:
+    """Rules learned from at most ``max_rows`` labelled documents. Labels
+    other than 0 and 1 are left out; of several for one id the smallest
+    counts, and of several texts of one id the smallest."""
     picked = (
-        labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
-        .select("doc_id", "quality")
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "quality")
+        labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
+        .groupBy("doc_id")
+        .agg(F.min("quality").alias("quality"))
+        .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(max_rows)
     )
-    labelled = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")  # at most max_rows
+    labelled = docs.select("doc_id", "text").join(F.broadcast(picked.select("doc_id")), "doc_id")  # at most max_rows ids
+    labelled = labelled.groupBy("doc_id").agg(F.min("text").alias("text"))
     # written, so that no feature expression repeats the statistics' work
     stats = written(statistics(labelled.select("doc_id", "text")), "statistics")
     cols = [c.alias(n) for n, c in features().items()]

@@ -201,3 +201,15 @@ def test_long_chain_depth(spark):
     messages = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     got = {r["turn"]: (r["depth"], r["thread"]) for r in quote_threads.link(messages).collect()}
     assert got == {t: (t, 0) for t in range(300)}
+
+
+def test_quality_labels_out_of_range_and_repeated(spark):
+    good = " ".join(f"word{k}" for k in range(60))
+    rows = [(k, good if k % 2 else "#|# " * 40) for k in range(40)] + [(3, good)] * 5 + [(None, good)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = [(k, k % 2) for k in range(40)] + [(3, 1)] * 4 + [(3, 7), (5, -1), (6, None), (None, 1)]
+    labels = spark.createDataFrame(marks, "doc_id long, quality int")
+    rules = quality_rules.fit(docs, labels)
+    assert rules == quality_rules.fit(docs.where("doc_id is not null").dropDuplicates(["doc_id"]), labels.where("quality in (0, 1)").distinct())
+    odd = labels.select("doc_id", (F.col("quality") + 2).alias("quality"))
+    assert quality_rules.fit(docs, odd) == [] and quality_rules.judge(docs, []).count() == len(rows)

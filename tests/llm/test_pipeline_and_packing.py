@@ -181,7 +181,7 @@ def test_exact_dedup_edges(spark):
     assert sum(r["kept"] for r in got) == len(groups)
     kept = exact_dedup.keep_distinct(docs)
     assert kept.columns == docs.columns and Counter(norm(r["text"]) for r in kept.collect()) == Counter(groups.keys())
-    past = spark.createDataFrame([(100, "é"), (101, "A  b"), (102, "never seen")], "doc_id long, text string")
+    past = spark.createDataFrame([(100, "é"), (101, "A  b"), (102, "never seen"), (103, "é"), (103, "A b")], "doc_id long, text string")
     history = past.select(exact_dedup.digest_of(F.col("text")).alias("digest"), F.col("doc_id").alias("winner"))
     left = exact_dedup.keep_distinct(docs, history).collect()
     assert Counter(norm(r["text"]) for r in left) == Counter(k for k in groups if k not in ("é", "A b"))
