@@ -23,6 +23,13 @@ bytes form the repeated intervals of a merged Burrows-Wheeler transform.
 4. A window whose interval holds a smaller doc_id is removed; runs go back
    to the documents' blocks, where texts are cut.
 
+An anchor whose segments could fill half a block (a phrase that very many
+documents share) is hot. Its windows are dealt one by one, by the hash of
+all their bytes: equal windows still meet, others spread over the buckets.
+A block sends each of them once, with its smallest doc_id, and is told the
+smallest of all blocks; it finds the other places itself. So no bucket
+holds an entry for each document of a hot window, only one for each block.
+
 Blocks and buckets hold about ``BLOCK_BYTES`` of text each; their number
 follows the input. Null texts are empty. A null doc_id is larger than any
 other. Rows with the same doc_id do not remove each other's text. Empty
@@ -126,26 +133,100 @@ def _sorted_block(table: pa.Table) -> tuple[pa.Table, np.ndarray]:
     return table, table.column("doc_id").fill_null(NO_ID).to_numpy()
 
 
-_ASKED = np.dtype([("anchor", "<u8"), ("block", "<u4"), ("many", "?")])
+# docs: the documents of the block with the anchor, as a power of two
+_ASKED = np.dtype([("anchor", "<u8"), ("block", "<u4"), ("docs", "u1")])
+PLAIN, HOT = 0, 1  # origin of what a block is told
 
 
 def _shared(table: pa.Table) -> pa.Table:
     """Of a bucket's anchors, those in two documents, sent to the blocks
-    that have them."""
+    that have them, hot ones apart."""
     asked = np.concatenate([np.frombuffer(d.as_buffer(), _ASKED) for d in table.column("data")])
-    hashes, many, origin = asked["anchor"], asked["many"], asked["block"].astype(np.int64)
-    value, where, count = np.unique(hashes, return_inverse=True, return_counts=True)
-    keep = count > 1
-    keep[where[many]] = True
-    chosen = keep[where]
-    hashes, origin = hashes[chosen], origin[chosen]
-    order = np.argsort(origin, kind="stable")
-    targets, data = [], []
-    for part in np.split(order, np.flatnonzero(np.diff(origin[order])) + 1):
-        if len(part):
-            targets.append(int(origin[part[0]]))
-            data.append(hashes[part].tobytes())
-    return _blob(targets, [0] * len(targets), data)
+    hashes, origin = asked["anchor"], asked["block"].astype(np.int64)
+    _, where = np.unique(hashes, return_inverse=True)
+    docs = np.bincount(where, np.exp2(asked["docs"]))[where]
+    hot = docs * (2 * WINDOW - GRAM) >= BLOCK_BYTES / 2
+    targets, kinds, data = [], [], []
+    for kind, chosen in ((PLAIN, (docs > 1) & ~hot), (HOT, hot & (docs > 1))):
+        own, of = hashes[chosen], origin[chosen]
+        order = np.argsort(of, kind="stable")
+        for part in np.split(order, np.flatnonzero(np.diff(of[order])) + 1):
+            if len(part):
+                targets.append(int(of[part[0]]))
+                kinds.append(kind)
+                data.append(own[part].tobytes())
+    return _blob(targets, kinds, data)
+
+
+# A hot window as a block sends it (its smallest id, one of its places),
+# and as the block is told about it.
+_HOT = np.dtype([("key", "<u8"), ("id", "<i8"), ("text", "<u4"), ("at", "<u4"), ("body", f"V{WINDOW}")])
+_TOLD = np.dtype([("text", "<u4"), ("at", "<u4"), ("id", "<i8")])
+
+
+def window_keys(raw: np.ndarray) -> np.ndarray:
+    """Hash of the WINDOW bytes from each position, as far as they last."""
+    h, n = gram_hashes(raw), len(raw) - WINDOW + 1
+    key, step = h[: max(0, n)], GRAM
+    while step < WINDOW:
+        at = min(step, WINDOW - GRAM)  # the last gram ends with the window
+        key = mix64(key * np.uint64(0x9E3779B97F4A7C15) ^ h[at : at + len(key)])
+        step += GRAM
+    return key
+
+
+def bodies(raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The WINDOW bytes from each of ``starts``, as rows."""
+    return np.lib.stride_tricks.sliding_window_view(raw, WINDOW)[starts] if len(starts) else np.zeros((0, WINDOW), np.uint8)
+
+
+def same_bodies(raw: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Whether the windows from ``left`` and ``right`` are equal, in parts
+    of bounded size."""
+    step = STRETCH // 16
+    parts = [(bodies(raw, left[a : a + step]) == bodies(raw, right[a : a + step])).all(1) for a in range(0, len(left), step)]
+    return np.concatenate(parts) if parts else np.zeros(0, bool)
+
+
+def hot_windows(raw: np.ndarray, offsets: np.ndarray, ids: np.ndarray, first: np.ndarray, last: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """The distinct windows of a block's runs, each with its smallest id (a
+    window whose hash another one shares may come more than once)."""
+    size = last - first + 1
+    run = np.repeat(np.arange(len(first)), size)
+    starts = first[run] + np.arange(len(run)) - np.repeat(np.cumsum(size) - size, size)
+    key, of = window_keys(raw)[starts], text[run]
+    order = np.lexsort((ids[of], key))
+    key, starts, of = key[order], starts[order], of[order]
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
+    lead = starts[new][np.cumsum(new) - 1]
+    chosen = np.flatnonzero(new | ~same_bodies(raw, starts, lead))
+    out = np.zeros(len(chosen), _HOT)
+    out["key"], out["id"], out["text"] = key[chosen], ids[of[chosen]], of[chosen]
+    out["at"] = starts[chosen] - offsets[of[chosen]]
+    out["body"] = bodies(raw, starts[chosen]).view(f"V{WINDOW}").reshape(-1)
+    return out
+
+
+def hot_places(raw: np.ndarray, offsets: np.ndarray, ids: np.ndarray, told: np.ndarray) -> np.ndarray:
+    """Positions of the block's windows that equal a told one and lie in a
+    document with a larger id."""
+    keys = window_keys(raw)
+    lead = offsets[told["text"]] + told["at"]
+    order = np.argsort(keys[lead], kind="stable")
+    lead, low, known = lead[order], told["id"][order], keys[lead[order]]
+    spot = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    starts = np.flatnonzero(known[spot] == keys)
+    spot = spot[starts]
+    same = same_bodies(raw, starts, lead[spot])
+    least = low[spot]
+    if len(np.unique(known)) < len(known) or not same.all():  # shared hashes: by their bytes
+        by_body: dict[bytes, int] = {}
+        for body, i in zip(bodies(raw, lead), low.tolist()):
+            by_body[body.tobytes()] = min(i, by_body.get(body.tobytes(), NO_ID))
+        least = np.array([by_body.get(raw[a : a + WINDOW].tobytes(), NO_ID) for a in starts.tolist()], np.int64)
+    text = np.searchsorted(offsets, starts, "right") - 1
+    return starts[(starts + WINDOW <= offsets[text + 1]) & (least < ids[text])]
 
 
 # A segment's record: anchor, segment index in its block's list, document,
@@ -271,7 +352,13 @@ def _judge(table: pa.Table) -> pa.Table:
     anchors: list[int] = []
     ids: list[int] = []
     for origin, data in zip(table.column("origin").to_pylist(), table.column("data")):
-        seen, listed, raw = _unpack(memoryview(data.as_buffer()))
+        if origin < 0:  # hot windows, see hot_windows
+            seen = np.frombuffer(data.as_buffer(), _HOT)
+            listed = np.zeros(len(seen), _SEGMENT)
+            listed["anchor"], listed["size"], listed["id"] = seen["key"], WINDOW, seen["id"]
+            raw = np.ascontiguousarray(seen["body"]).tobytes()
+        else:
+            seen, listed, raw = _unpack(memoryview(data.as_buffer()))
         own = np.zeros(len(listed), np.int64)
         at = 0
         for k, (anchor, size, low) in enumerate(listed.tolist()):
@@ -310,8 +397,15 @@ def _judge(table: pa.Table) -> pa.Table:
     least = np.array([w.min() for w in found], np.int64)
     most = np.array([w.max() for w in found], np.int64)
     size = np.array([len(s) for s in segments], np.int64)
-    targets, data = [], []
+    targets, kinds, data = [], [], []
     for origin, seen, own in requests:
+        if origin < 0:
+            told = np.zeros(len(seen), _TOLD)
+            told["text"], told["at"], told["id"] = seen["text"], seen["at"], least[own]
+            targets.append(-1 - origin)
+            kinds.append(HOT)
+            data.append(told.tobytes())
+            continue
         index = own[seen["segment"]]
         whole = most[index] < seen["id"]
         out = [np.stack([seen["text"][whole], seen["at"][whole], seen["at"][whole] + size[index[whole]]], 1)]
@@ -324,8 +418,9 @@ def _judge(table: pa.Table) -> pa.Table:
         spans = np.concatenate(out).astype(np.uint32)
         if len(spans):
             targets.append(origin)
+            kinds.append(PLAIN)
             data.append(spans.tobytes())
-    return _blob(targets, [0] * len(targets), data)
+    return _blob(targets, kinds, data)
 
 
 def dedup(docs: DataFrame) -> DataFrame:
@@ -355,7 +450,7 @@ def dedup(docs: DataFrame) -> DataFrame:
             first = np.flatnonzero(new)
             asked = np.zeros(len(first), _ASKED)
             asked["anchor"], asked["block"] = own[first], of[first]
-            asked["many"] = np.diff(first, append=len(own)) > 1
+            asked["docs"] = np.log2(np.diff(first, append=len(own)))
             out = [(k, asked[i].tobytes()) for k, i in _by(asked["anchor"], blocks)]
             yield from _blob([k for k, _ in out], [0] * len(out), [d for _, d in out]).to_batches()
 
@@ -365,12 +460,21 @@ def dedup(docs: DataFrame) -> DataFrame:
         block = texts.column("block")[0].as_py()
         texts, ids = _sorted_block(texts)
         raw, offsets = utf8(texts.column("text"))
-        wanted = np.unique(np.concatenate([np.frombuffer(d.as_buffer(), np.uint64) for d in shared.column("data")]))
         hashes, first, last, text = anchor_runs(raw, offsets)
-        spot = np.minimum(np.searchsorted(wanted, hashes), len(wanted) - 1)
-        hit = np.flatnonzero(wanted[spot] == hashes)
+
+        def of_kind(kind: int) -> np.ndarray:
+            lists = shared.filter(pa.compute.equal(shared.column("origin"), kind)).column("data")
+            return np.flatnonzero(np.isin(hashes, np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(d.as_buffer(), np.uint64) for d in lists)])))
+
+        hit, hot = of_kind(PLAIN), of_kind(HOT)
         body = raw.tobytes()
-        targets, data = [], []
+        targets, origins, data = [], [], []
+        if len(hot):
+            windows = hot_windows(raw, offsets, ids, first[hot], last[hot], text[hot])
+            for bucket, at in _by(windows["key"], blocks):
+                targets.append(bucket)
+                origins.append(-1 - block)
+                data.append(windows[at].tobytes())
         for bucket, at in _by(hashes[hit], blocks):
             listed: dict[tuple[int, bytes], int] = {}
             low: list[int] = []
@@ -385,17 +489,25 @@ def dedup(docs: DataFrame) -> DataFrame:
                 seen[k] = (index, t, a - offsets[t], ids[t])
             segments = np.array([(h, len(s), i) for (h, s), i in zip(listed, low)], _SEGMENT)
             targets.append(bucket)
+            origins.append(block)
             data.append(_pack(seen, segments, b"".join(s for _, s in listed)))
-        return _blob(targets, [block] * len(targets), data)
+        return _blob(targets, origins, data)
 
     def cut(texts: pa.Table, removed: pa.Table) -> pa.Table:
         texts, ids = _sorted_block(texts)
         raw, offsets = utf8(texts.column("text"))
         edge = np.zeros(len(raw) + 1, np.int32)
-        if removed.num_rows:
-            spans = np.concatenate([np.frombuffer(d.as_buffer(), np.uint32) for d in removed.column("data")]).reshape(-1, 3).astype(np.int64)
+        kinds = removed.column("origin").to_pylist()
+        told = [d.as_buffer() for d, kind in zip(removed.column("data"), kinds) if kind == PLAIN]
+        if told:
+            spans = np.concatenate([np.frombuffer(d, np.uint32) for d in told]).reshape(-1, 3).astype(np.int64)
             np.add.at(edge, offsets[spans[:, 0]] + spans[:, 1], 1)
             np.add.at(edge, offsets[spans[:, 0]] + spans[:, 2], -1)
+        told = [d.as_buffer() for d, kind in zip(removed.column("data"), kinds) if kind == HOT]
+        if told:
+            starts = hot_places(raw, offsets, ids, np.concatenate([np.frombuffer(d, _TOLD) for d in told]))
+            edge[starts] += 1
+            edge[starts + WINDOW] -= 1
         gone = np.cumsum(edge[:-1]) > 0
         out: list[tuple] = []
         for k in range(len(ids)):

@@ -76,3 +76,41 @@ def test_merge_equals_sorting():
             want[s[a : a + 50]] = min(want.get(s[a : a + 50], 10**9), i)
     for s, low in zip(segments, S.smallest_ids(segments, ids)):
         assert low.tolist() == [want[s[a : a + 50]] for a in range(len(s) - 49)]
+
+
+def test_hot_anchor_is_spread(spark, monkeypatch):
+    """A phrase between different words in every document: the anchors in
+    it are hot, and no bucket grows with the number of documents."""
+    monkeypatch.setattr(S, "BLOCK_BYTES", 8000)
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(9))
+    phrase = "of the said party of the first part herein be"
+    rows = []
+    for i in range(400):
+        middle = phrase if i % 3 else phrase + " and of the second part" + ("" if i % 2 else " also")
+        rows.append((i, f"{word()} {word()} {middle} {word()} {word()}"))
+    rows += [(900, rows[7][1]), (None, rows[8][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    assert got(docs) == brute(rows)
+    # as blocks would send them: one entry per distinct window, dealt by its bytes
+    raw = np.frombuffer("".join(t for _, t in rows).encode(), np.uint8)
+    offsets = np.cumsum([0] + [len(t) for _, t in rows])
+    _, first, last, text = S.anchor_runs(raw, offsets)
+    found = S.hot_windows(raw, offsets, np.arange(len(rows)), first, last, text)
+    sizes = [len(at) for _, at in S._by(found["key"], 40)]
+    assert len(sizes) == 40 and max(sizes) < 2 * len(found) / 40
+
+
+def test_hot_windows_with_one_hash(monkeypatch):
+    """Windows that share a hash are told apart by their bytes."""
+    monkeypatch.setattr(S, "window_keys", lambda raw: np.zeros(max(0, len(raw) - 49), np.uint64))
+    texts = [b"a" * 52, b"b" * 51, b"a" * 51]
+    raw = np.frombuffer(b"".join(texts), np.uint8)
+    offsets = np.cumsum([0] + [len(t) for t in texts])
+    ids = np.array([4, 5, 6])
+    first, last = offsets[:-1], offsets[1:] - 50
+    found = S.hot_windows(raw, offsets, ids, first, last, np.arange(3))
+    assert {(w["body"].tobytes()[:1], int(w["id"])) for w in found} >= {(b"a", 4), (b"b", 5)}
+    low = {b"a": 4, b"b": 2}
+    told = np.array([(w["text"], w["at"], low[w["body"].tobytes()[:1]]) for w in found], S._TOLD)
+    assert S.hot_places(raw, offsets, ids, told).tolist() == [52, 53, 103, 104]
