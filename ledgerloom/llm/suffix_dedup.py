@@ -191,9 +191,8 @@ def same_bodies(raw: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndar
 def hot_windows(raw: np.ndarray, offsets: np.ndarray, ids: np.ndarray, first: np.ndarray, last: np.ndarray, text: np.ndarray) -> np.ndarray:
     """The distinct windows of a block's runs, each with its smallest id (a
     window whose hash another one shares may come more than once)."""
-    size = last - first + 1
-    run = np.repeat(np.arange(len(first)), size)
-    starts = first[run] + np.arange(len(run)) - np.repeat(np.cumsum(size) - size, size)
+    run = np.repeat(np.arange(len(first)), last - first + 1)
+    starts = _ranges(first, last + 1)
     key, of = window_keys(raw)[starts], text[run]
     order = np.lexsort((ids[of], key))
     key, starts, of = key[order], starts[order], of[order]
@@ -248,8 +247,9 @@ def _unpack(data: memoryview) -> tuple[np.ndarray, np.ndarray, memoryview]:
 
 
 def suffix_order(codes: np.ndarray) -> np.ndarray:
-    """Order of all suffixes of a shard by their first 112 characters
-    (segments are shorter), by prefix doubling; ties by position."""
+    """Order of all suffixes of a shard by at least their first WINDOW
+    characters, by prefix doubling. Ties stay in any order: the merge
+    looks at WINDOW characters, so ties share a block of every round."""
     n = len(codes)
     padded = np.concatenate((codes, np.zeros(7, np.int64)))
     key = np.zeros(n, np.int64)
@@ -257,10 +257,13 @@ def suffix_order(codes: np.ndarray) -> np.ndarray:
         key = (key << 9) | padded[k : k + n]
     width = 7
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
+        if width >= WINDOW:
+            return order
+        dealt = key[order]
         rank = np.zeros(n, np.int64)
-        rank[order[1:]] = np.cumsum(key[order[1:]] != key[order[:-1]])
-        if width >= 112 or (n and rank[order[-1]] == n - 1):
+        rank[order[1:]] = np.cumsum(dealt[1:] != dealt[:-1])
+        if n and rank[order[-1]] == n - 1:
             return order
         after = np.zeros(n, np.int64)
         after[: max(0, n - width)] = rank[width:] + 1
@@ -292,9 +295,9 @@ def merge_transforms(codes: list[np.ndarray], orders: list[np.ndarray], depth: i
     shard = np.repeat(np.arange(len(orders), dtype=np.uint8), size)
     block = np.zeros(len(shard), np.int32)
     char = np.empty(len(shard), np.uint16)
-    step, left, transforms = 1, depth, runs_before(codes, orders, 1)
-    while step < 4 and (longer := runs_before(codes, orders, step + 1)):
-        step, transforms = step + 1, longer
+    step, left = min(4, depth), depth
+    while not (transforms := runs_before(codes, orders, step)):
+        step -= 1
     while left:
         if left < step:
             step, transforms = left, runs_before(codes, orders, left)
@@ -310,14 +313,14 @@ def merge_transforms(codes: list[np.ndarray], orders: list[np.ndarray], depth: i
     return shard, block
 
 
-def smallest_ids(segments: list[bytes], ids: np.ndarray) -> list[np.ndarray]:
-    """For each window of each segment, the smallest id of a segment that
-    has the same window."""
+def smallest_ids(segments: list[bytes], ids: np.ndarray) -> np.ndarray:
+    """For each window of each segment, one after the other, the smallest
+    id of a segment that has the same window."""
     codes, orders, owners, inside = [], [], [], []
     per_shard = max(1, -(-len(segments) // SHARDS))
     for a in range(0, len(segments), per_shard):
         part = segments[a : a + per_shard]
-        size = np.array([len(s) for s in part])
+        size = np.array([len(s) for s in part], np.int64)
         ends = np.cumsum(size + 1)
         code = np.zeros(int(ends[-1]), np.int64)  # 0 ends a segment
         body = np.ones(len(code), bool)
@@ -332,16 +335,20 @@ def smallest_ids(segments: list[bytes], ids: np.ndarray) -> list[np.ndarray]:
     codes = [np.searchsorted(used, c) for c in codes]
     shard, block = merge_transforms(codes, orders, WINDOW)
     low = np.full(int(block[-1]) + 1, NO_ID)
-    spots = []
+    spots, lengths = [], np.array([len(s) for s in segments], np.int64)
     for k, order in enumerate(orders):
         of = np.empty(len(order), np.int64)
         of[order] = block[shard == k]
-        window = inside[k] + WINDOW <= np.array([len(s) for s in segments])[owners[k]]
+        window = inside[k] + WINDOW <= lengths[owners[k]]
         np.minimum.at(low, of[window], ids[owners[k][window]])
         spots.append(of[window])
-    found = low[np.concatenate(spots)]
-    windows = np.array([max(0, len(s) - WINDOW + 1) for s in segments])
-    return np.split(found, np.cumsum(windows)[:-1])
+    return low[np.concatenate(spots)]
+
+
+def _ranges(begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The numbers from each of ``begins`` up to its end, one after the other."""
+    size = ends - begins
+    return np.repeat(begins - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
 
 
 def _judge(table: pa.Table) -> pa.Table:
@@ -374,29 +381,31 @@ def _judge(table: pa.Table) -> pa.Table:
             own[k] = index
         requests.append((origin, seen, own))
     where.clear()
-    found: list[np.ndarray] = [np.zeros(0, np.int64)] * len(segments)
-    order = sorted(range(len(segments)), key=anchors.__getitem__)
-    low_ids = np.array(ids, np.int64)
+    size = np.array([len(s) for s in segments], np.int64)
+    low_ids, of = np.array(ids, np.int64), np.array(anchors, np.uint64)
+    # each segment's windows in one array: the smallest id of each
+    ends = np.cumsum(size - WINDOW + 1)
+    begins = ends - (size - WINDOW + 1)
+    # the only segment of its anchor holds the smallest ids of its windows
+    found = np.repeat(low_ids, ends - begins)
+    order = np.argsort(of, kind="stable")
+    twin = of[order][1:] == of[order][:-1]
+    meets = np.append(twin, False)
+    meets[1:] |= twin
+    order = order[meets]
+    first = np.flatnonzero(np.append(True, np.diff(of[order]) != 0)) if len(order) else order
+    filled = np.cumsum(size[order] + 1)
     a = 0
-    alone = []  # the only segment of its anchor: its intervals hold its id
-    for k, i in enumerate(order):
-        near = order[max(0, k - 1) : k] + order[k + 1 : k + 2]
-        if all(anchors[i] != anchors[j] for j in near):
-            alone.append(i)
-            found[i] = low_ids[i : i + 1]
-    order = sorted(set(order).difference(alone), key=lambda i: (anchors[i], i))
     while a < len(order):  # runs of whole anchors, of about SHARDS shards
-        b, size = a, 0
-        while b < len(order) and (size < SHARDS * SHARD_BYTES or anchors[order[b]] == anchors[order[b - 1]]):
-            size += len(segments[order[b]]) + 1
-            b += 1
+        full = np.searchsorted(filled, (filled[a - 1] if a else 0) + SHARDS * SHARD_BYTES) + 1
+        later = np.searchsorted(first, full)
+        b = int(first[later]) if later < len(first) else len(order)
         some = order[a:b]
-        for index, windows in zip(some, smallest_ids([segments[i] for i in some], low_ids[some])):
-            found[index] = windows
+        windows = smallest_ids([segments[i] for i in some.tolist()], low_ids[some])
+        found[_ranges(begins[some], ends[some])] = windows
         a = b
-    least = np.array([w.min() for w in found], np.int64)
-    most = np.array([w.max() for w in found], np.int64)
-    size = np.array([len(s) for s in segments], np.int64)
+    least = np.minimum.reduceat(found, begins) if len(found) else found
+    most = np.maximum.reduceat(found, begins) if len(found) else found
     targets, kinds, data = [], [], []
     for origin, seen, own in requests:
         if origin < 0:
@@ -410,11 +419,17 @@ def _judge(table: pa.Table) -> pa.Table:
         whole = most[index] < seen["id"]
         out = [np.stack([seen["text"][whole], seen["at"][whole], seen["at"][whole] + size[index[whole]]], 1)]
         partly = np.flatnonzero(~whole & (least[index] < seen["id"]))
-        for k in partly.tolist():
-            _, text, at, own_id = seen[k].tolist()
-            hit = np.flatnonzero(np.diff(found[index[k]] < own_id, prepend=False, append=False))
-            begin, end = hit[::2], hit[1::2]
-            out.append(np.stack([np.full(len(begin), text), at + begin, at + end - 1 + WINDOW], 1))
+        begin, end = begins[index[partly]], ends[index[partly]]
+        place = _ranges(begin, end)
+        part = np.repeat(np.arange(len(partly)), end - begin)
+        hit = np.flatnonzero(found[place] < seen["id"][partly][part])
+        new = np.ones(len(hit), bool)
+        new[1:] = (np.diff(hit) != 1) | (np.diff(part[hit]) != 0)
+        head = hit[new]
+        tail = hit[np.append(new[1:], True)] if len(hit) else hit
+        at = seen["at"][partly][part[head]].astype(np.int64)
+        base = begin[part[head]]
+        out.append(np.stack([seen["text"][partly][part[head]], at + place[head] - base, at + place[tail] - base + WINDOW], 1))
         spans = np.concatenate(out).astype(np.uint32)
         if len(spans):
             targets.append(origin)
@@ -478,15 +493,18 @@ def dedup(docs: DataFrame) -> DataFrame:
         for bucket, at in _by(hashes[hit], blocks):
             listed: dict[tuple[int, bytes], int] = {}
             low: list[int] = []
-            seen = np.zeros(len(at), _SEEN)
             own = hit[at]
-            for k, (h, a, z, t) in enumerate(zip(hashes[own].tolist(), first[own].tolist(), last[own].tolist(), text[own].tolist())):
+            seen = np.zeros(len(at), _SEEN)
+            seen["text"], seen["at"], seen["id"] = text[own], first[own] - offsets[text[own]], ids[text[own]]
+            index_of = []
+            for h, a, z, i in zip(hashes[own].tolist(), first[own].tolist(), last[own].tolist(), seen["id"].tolist()):
                 index = listed.setdefault((h, body[a : z + WINDOW]), len(low))
                 if index == len(low):
-                    low.append(int(ids[t]))
-                elif ids[t] < low[index]:
-                    low[index] = int(ids[t])
-                seen[k] = (index, t, a - offsets[t], ids[t])
+                    low.append(i)
+                elif i < low[index]:
+                    low[index] = i
+                index_of.append(index)
+            seen["segment"] = index_of
             segments = np.array([(h, len(s), i) for (h, s), i in zip(listed, low)], _SEGMENT)
             targets.append(bucket)
             origins.append(block)

@@ -74,8 +74,8 @@ def test_merge_equals_sorting():
     for s, i in zip(segments, ids):
         for a in range(len(s) - 49):
             want[s[a : a + 50]] = min(want.get(s[a : a + 50], 10**9), i)
-    for s, low in zip(segments, S.smallest_ids(segments, ids)):
-        assert low.tolist() == [want[s[a : a + 50]] for a in range(len(s) - 49)]
+    found = S.smallest_ids(segments, ids).tolist()
+    assert found == [want[s[a : a + 50]] for s in segments for a in range(len(s) - 49)]
 
 
 def test_hot_anchor_is_spread(spark, monkeypatch):
