@@ -16,6 +16,7 @@ from ledgerloom.functions.scalar import safe_number, to_double
 from ledgerloom.operators import dedup
 from ledgerloom.operators import lines as L
 from ledgerloom.operators import sales as S
+from ledgerloom.operators.skew import hot_keys
 from ledgerloom.plans.month_job import run_month
 from ledgerloom.sinks import files as K
 from ledgerloom.sources import files as SRC
@@ -117,10 +118,11 @@ def compute_per_order_and_agg(
     items_df: DataFrame, customers_df: DataFrame, refunds_df: DataFrame
 ) -> tuple[DataFrame, DataFrame]:
     """(per-order rows of active customers with city, order_date and
-    refunds_eur; daily city/channel report)."""
+    refunds_eur; daily city/channel report). Customers and orders with
+    very many lines are spread over tasks by salted joins."""
     po = S.per_order(_exact(items_df))
     enriched = S.enrich(po, customers_df.select("customer_id", "city", F.col("is_active").cast("boolean").alias("is_active")),
-                        S.refunds_per_order(refunds_df))
+                        S.refunds_per_order(refunds_df), hot_keys(items_df, "customer_id"), hot_keys(items_df, "order_id"))
     per_order = enriched.select(
         "order_id", "customer_id", "city", "channel", "created_at", "order_date",
         to_double("items_sold").alias("items_sold"),

@@ -12,7 +12,8 @@ alone. ``salted_join`` spreads such keys:
    bound, so it may be broadcast.
 2. Fact rows of a hot key get a deterministic salt in [0, salts) from a
    hash of their own columns (stable under task retries); other rows
-   get salt 0.
+   get salt 0. Rows without a key match nothing, so that hash itself is
+   their salt: a left join does not gather them in one task.
 3. The dimension row of a hot key is repeated once per salt; in total
    at most ``rows / salt_rows`` extra rows. Other rows appear once, with
    salt 0.
@@ -62,12 +63,9 @@ def salted_join(
     ``hot`` comes from ``hot_keys`` (bounded); ``salt_by`` are fact columns
     whose hash picks the salt (e.g. the fact's own id)."""
     flag = F.broadcast(hot.select(key, "_salts"))
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in salt_by]), F.col("_salts"))
-    f = (
-        facts.join(flag, key, "left")
-        .withColumn("_salt", F.when(F.col("_salts").isNotNull(), salt).otherwise(F.lit(0)).cast("long"))
-        .drop("_salts")
-    )
+    own = F.xxhash64(*[F.col(c) for c in salt_by])
+    salt = F.when(F.col(key).isNull(), own).when(F.col("_salts").isNotNull(), F.pmod(own, F.col("_salts")))
+    f = facts.join(flag, key, "left").withColumn("_salt", F.coalesce(salt, F.lit(0)).cast("long")).drop("_salts")
     copies = F.when(
         F.col("_salts").isNotNull(), F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1)
     ).otherwise(F.array(F.lit(0).cast("long")))

@@ -9,8 +9,6 @@ built from global aggregates (partial count per task, one tiny final).
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -35,9 +33,9 @@ def line_metrics(price: str = "item_unit_price") -> dict[str, Column]:
     }
 
 
-def _count(df: DataFrame, metric: str, where: Column | None = None) -> DataFrame:
-    src = df if where is None else df.where(where)
-    return src.agg(rows_count().cast("long").alias("value")).select(F.lit(metric).alias("metric"), "value")
+def _counts(df: DataFrame, **metrics: Column) -> DataFrame:
+    """(metric, value) rows from one aggregate over ``df``."""
+    return df.agg(*[m.cast("long").alias(k) for k, m in metrics.items()]).unpivot([], list(metrics), "metric", "value")
 
 
 def counters_frame(
@@ -48,14 +46,10 @@ def counters_frame(
 ) -> DataFrame:
     """(metric, value): orders loaded, paid orders (before de-duplication),
     paid lines, rejected lines (price < 0), lines with no price, lines
-    kept by keep-first."""
-    price = F.col("item_unit_price")
-    parts = [
-        _count(docs, "orders_loaded"),
-        _count(paid_docs, "orders_paid"),
-        _count(lines, "lines_paid"),
-        _count(lines, "lines_rejected", price < 0),
-        _count(lines, "lines_null_price", price.isNull()),
-        _count(kept, "lines_kept"),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    kept by keep-first. One aggregate a frame."""
+    return (
+        _counts(docs, orders_loaded=rows_count())
+        .unionByName(_counts(paid_docs, orders_paid=rows_count()))
+        .unionByName(_counts(lines, **line_metrics()))
+        .unionByName(_counts(kept, lines_kept=rows_count()))
+    )

@@ -66,6 +66,32 @@ def list_paths(spark: SparkSession, pattern: str) -> list[str]:
     return [str(st.getPath().toString()) for st in found]
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that the library wrote itself, if it is there."""
+    fs, p = _fs_and_path(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
+def swap_folder(spark: SparkSession, fresh: str, path: str) -> None:
+    """Put the folder ``fresh`` in the place of ``path``: two renames in
+    one file system. The old folder is removed last; if the second rename
+    fails, it goes back."""
+    fs, target = _fs_and_path(spark, path)
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    old = Path(f"{fresh}-old")
+    had = fs.exists(target)
+    fs.mkdirs(target.getParent())
+    if had and not fs.rename(target, old):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(Path(fresh), target):
+        if had:
+            fs.rename(old, target)
+        raise OSError(f"cannot move the new table to {path}")
+    if had:
+        fs.delete(old, True)
+
+
 def move_files(spark: SparkSession, moves: list[tuple[str, str]], target_dir: str) -> int:
     """Move many files into ``target_dir`` (file-system metadata only).
     The folder is emptied first, so a rerun after a failure starts clean;

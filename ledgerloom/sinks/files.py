@@ -14,6 +14,8 @@ executors in parallel (no collect, no per-date loop of jobs):
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
@@ -27,6 +29,7 @@ from ledgerloom.schemas import (
     DAILY_PREFIX,
     REJECTS_FILE,
 )
+from ledgerloom.session import remove_folder, swap_folder
 
 DAY_COLUMN = "day"
 
@@ -86,11 +89,21 @@ def write_rejects(rejects: DataFrame, out_dir: str, encoding: str = CSV_ENCODING
 
 
 def write_table(df: DataFrame, path: str, replace_empty: bool = False) -> bool:
-    """K5: replace a table stored as Parquet at ``path``."""
-    if not replace_empty and df.isEmpty():
-        return False
-    df.write.mode("overwrite").parquet(path)
-    return True
+    """K5: replace a table stored as Parquet at ``path``. The rows are
+    written once, beside the table, and then take its place: a write that
+    fails leaves the old table readable, and ``df`` may read it. Whether
+    there are rows is asked of the written files, not of the plan (A7)."""
+    spark = df.sparkSession
+    head, _, name = path.rstrip("/").rpartition("/")
+    fresh = f"{head}/.{name}-{uuid.uuid4().hex[:12]}" if head else f".{name}-{uuid.uuid4().hex[:12]}"
+    try:
+        df.write.parquet(fresh)
+        if not replace_empty and spark.read.schema(df.schema).parquet(fresh).isEmpty():
+            return False
+        swap_folder(spark, fresh, path.rstrip("/"))
+        return True
+    finally:
+        remove_folder(spark, fresh)
 
 
 def formatted_report(report: DataFrame, float_format: str = CSV_FLOAT_FORMAT) -> DataFrame:
