@@ -9,6 +9,11 @@ locator (doc_id) of the winner. A lookup compares all digest bytes, so a
 digest outside the history is never taken for a member; such digests are
 grouped separately.
 
+A table without a given history is its own: the rows of one half of the
+ids (``historical``, a hash of doc_id) are the history, the other rows are
+looked up in its index. A row whose digest is a member joins the winner
+its slot names; the nonmembers are grouped among themselves.
+
 Null texts count as empty. Rows with a null doc_id lose against any id.
 Repeated rows (same id, same text) keep one row. An empty table gives an
 empty result. Only ``doc_id`` and ``text`` are read by the decision.
@@ -130,12 +135,13 @@ def _shard(shards: int) -> Column:
     return F.pmod(F.xxhash64("digest"), F.lit(shards)).cast("long")
 
 
-def build_index(history: DataFrame) -> tuple[DataFrame, int]:
+def build_index(history: DataFrame, asked: int = 0) -> tuple[DataFrame, int]:
     """Index table (one row per shard, written to the shared folder) over
     ``history`` (digest, winner), whose digests are distinct. The number
-    of shards follows the exact number of digests, so a shard's memory
-    does not grow with the input."""
-    shards = max(1, -(-history.count() // SHARD_DIGESTS))
+    of shards follows the exact number of digests, of the history or
+    ``asked`` if those are more, so a shard's memory does not grow with
+    the input."""
+    shards = max(1, -(-max(history.count(), asked) // SHARD_DIGESTS))
     dealt = history.select(_shard(shards).alias("shard"), "digest", F.col("winner").cast("long").alias("winner"))
     return written(dealt.groupBy("shard").applyInPandas(_build_shard, INDEX_SCHEMA), "mphf"), shards
 
@@ -146,27 +152,45 @@ def lookup(asked: DataFrame, index: DataFrame, shards: int) -> DataFrame:
     return dealt.groupBy("shard").cogroup(index.groupBy("shard")).applyInPandas(_lookup_shard, FOUND_SCHEMA)
 
 
+def historical(doc_id: Column) -> Column:
+    """Whether a row belongs to the half of a table that is its history."""
+    return F.pmod(F.xxhash64(doc_id), F.lit(2)) == 0
+
+
+def _sizes(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("group_size"))
+
+
 def decide(rows: DataFrame, history: DataFrame | None = None) -> DataFrame:
     """One verdict per distinct digest of ``rows`` (doc_id, digest):
     (digest, keep_id, group_size, member). ``history`` (digest, winner)
-    holds earlier winners (of a repeated digest the smallest); without it the rows' own first occurrences are
-    the history. Members keep the historical winner; nonmembers are
-    grouped separately and keep their smallest doc_id."""
-    groups = rows.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("group_size"))
-    groups = written(groups, "digests")
+    holds earlier winners (of a repeated digest the smallest); members
+    keep the historical winner, nonmembers are grouped separately and keep
+    their smallest doc_id. Without ``history`` the ``historical`` rows are
+    it; the smaller id of the winner and the members then stays."""
+    old = historical(F.col("doc_id"))
+    new = written(_sizes(rows if history is not None else rows.where(~old)), "digests")
     if history is None:
-        past = groups.select("digest", F.col("first_id").alias("winner"))
+        past = written(_sizes(rows.where(old)), "history").withColumnRenamed("first_id", "winner")
     else:  # an index needs distinct digests
         past = history.where("digest is not null").groupBy("digest").agg(F.min("winner").alias("winner"))
-    index, shards = build_index(past.select("digest", "winner"))
-    found = written(lookup(groups, index, shards), "lookups")
-    members = groups.join(found.where("member").select("digest", "winner"), "digest").select(
-        "digest", F.col("winner").alias("keep_id"), "group_size", F.lit(True).alias("member")
-    )
-    others = groups.join(found.where("not member").select("digest"), "digest").select(
+    index, shards = build_index(past.select("digest", "winner"), new.count())
+    found = written(lookup(new, index, shards), "lookups")
+    members = new.join(found.where("member").select("digest", "winner"), "digest")
+    others = new.join(found.where("not member").select("digest"), "digest").select(
         "digest", F.col("first_id").alias("keep_id"), "group_size", F.lit(False).alias("member")
     )
-    return members.unionByName(others)
+    if history is None:
+        joining = members.select("digest", "first_id", F.col("group_size").alias("more"))
+        known = past.join(joining, "digest", "left").select(
+            "digest",
+            F.least("winner", "first_id").alias("keep_id"),  # a null loses
+            (F.col("group_size") + F.coalesce("more", F.lit(0))).alias("group_size"),
+            F.lit(True).alias("member"),
+        )
+    else:
+        known = members.select("digest", F.col("winner").alias("keep_id"), "group_size", F.lit(True).alias("member"))
+    return known.unionByName(others)
 
 
 def group_documents(docs: DataFrame) -> DataFrame:

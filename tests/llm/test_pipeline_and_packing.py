@@ -188,6 +188,22 @@ def test_exact_dedup_edges(spark):
     assert exact_dedup.group_documents(docs.limit(0)).count() == 0 and exact_dedup.keep_distinct(docs.limit(0)).count() == 0
 
 
+def test_exact_dedup_history_and_new_rows(spark):
+    """Digests of the historical half only, of the other half only, and of
+    both: each gets one verdict, over all its rows."""
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), F.floor(F.col("id") / F.when(F.col("id") < 200, 1).otherwise(5)).cast("string")).alias("text"))
+    rows = docs.select("doc_id", exact_dedup.digest_of(F.col("text")).alias("digest"), "text", exact_dedup.historical(F.col("doc_id")).alias("old")).collect()
+    want = defaultdict(list)
+    for r in rows:
+        want[bytes(r["digest"])].append((r["doc_id"], r["old"]))
+    got = exact_dedup.decide(docs.select("doc_id", exact_dedup.digest_of(F.col("text")).alias("digest"))).collect()
+    assert sorted((bytes(r["digest"]), r["keep_id"], r["group_size"], r["member"]) for r in got) == sorted(
+        (d, min(ids)[0], len(ids), any(old for _, old in ids)) for d, ids in want.items()
+    )
+    kinds = {frozenset(old for _, old in ids) for ids in want.values()}
+    assert kinds == {frozenset({True}), frozenset({False}), frozenset({True, False})}
+
+
 def test_minimal_perfect_hash(spark):
     digests = np.random.default_rng(3).integers(0, 256, (5000, 32), dtype=np.uint8)
     sizes, bits, slots = exact_dedup.build_mphf(digests)
