@@ -54,6 +54,7 @@ GRAM = 18
 BLOCK_BYTES = 4 << 20
 SHARD_BYTES = 256 << 10
 STRETCH = 1 << 20
+PIECE = 1 << 16  # bytes hashed at once: the arrays fit a core's cache
 SHARDS = 4  # merged at once
 NO_ID = np.iinfo(np.int64).max
 BLOB = "target long, origin long, data binary"
@@ -76,33 +77,36 @@ def gram_hashes(raw: np.ndarray) -> np.ndarray:
 
 
 def _runs(raw: np.ndarray, at: int, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """``anchor_runs`` of the windows in ``raw``, which starts at ``at``."""
+    """``anchor_runs`` of the windows in ``raw``, which starts at ``at``. A
+    window's anchor is the leftmost of its smallest hashes, so the next
+    window has another one if its smallest hash differs or the window
+    itself starts with its anchor."""
     h = gram_hashes(raw)
     span = WINDOW - GRAM + 1
-    best, width = np.arange(len(h), dtype=np.int32), 1
+    least, width = h, 1
     while width < span:
         step = min(width, span - width)
-        left, right = best[: len(best) - step], best[step:]
-        best = np.where(h[right] < h[left], right, left)  # ties: the leftmost
+        least = np.minimum(least[: len(least) - step], least[step:])
         width += step
-    start = np.arange(at, at + len(raw) - WINDOW + 1)
-    text = np.searchsorted(offsets, start, "right") - 1
-    valid = start + WINDOW <= offsets[text + 1]
-    start, best, text = start[valid], best[valid], text[valid]
-    new = np.ones(len(start), bool)
-    new[1:] = (best[1:] != best[:-1]) | (start[1:] != start[:-1] + 1)
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(start))[: len(first)] - 1
-    return h[best[first]], start[first], start[last], text[first]
+    n = len(least)
+    low, high = np.searchsorted(offsets, [at, at + n - 1], "right") - 1
+    size = np.diff(np.clip(offsets[low : high + 2], at, at + n))
+    text = np.repeat(np.arange(low, high + 1), size)
+    valid = np.repeat(offsets[low + 1 : high + 2] - at - WINDOW, size) >= np.arange(n)
+    new = ~valid
+    new[0] = True
+    new[1:] |= ~valid[:-1] | (least[1:] != least[:-1]) | (h[: n - 1] == least[:-1])
+    begin = np.flatnonzero(new)
+    last = np.append(begin[1:], n) - 1
+    begin, last = begin[valid[begin]], last[valid[begin]]
+    return least[begin], at + begin, at + last, text[begin]
 
 
 def anchor_runs(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     """(anchor hash, first window, last window, text) of every run of
-    windows that share an anchor, worked off in stretches of bounded size
+    windows that share an anchor, worked off in pieces of bounded size
     (a run cut in two is two runs of one anchor)."""
-    found = [
-        _runs(raw[a : a + STRETCH + WINDOW - 1], a, offsets) for a in range(0, len(raw) - WINDOW + 1, STRETCH)
-    ]
+    found = [_runs(raw[a : a + PIECE + WINDOW - 1], a, offsets) for a in range(0, len(raw) - WINDOW + 1, PIECE)]
     if not found:
         none = np.zeros(0, np.int64)
         return np.zeros(0, np.uint64), none, none, none
