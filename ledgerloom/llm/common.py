@@ -15,6 +15,8 @@ from ledgerloom.session import work_path
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 # Hot keys of a join: rows per salt, and most keys of the broadcast set.
 SALT_ROWS = 2_000
 MOST_HOT = 200_000
@@ -27,10 +29,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet under the shared work folder and read
     back: cuts the lineage, survives lost executors, fixes every value
-    that later jobs rely on."""
-    path = work_path(df.sparkSession, "llm", f"{name}-{uuid.uuid4().hex[:12]}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    that later jobs rely on. Nothing reads the write's shuffles again, so
+    Spark removes their files when it ends, not when the driver happens to
+    collect its garbage."""
+    spark = df.sparkSession
+    path = work_path(spark, "llm", f"{name}-{uuid.uuid4().hex[:12]}")
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def parts(spark: SparkSession) -> int:
