@@ -8,8 +8,9 @@ alone. ``salted_join`` spreads such keys:
 1. ``hot_keys``: exact row count per key over the facts (partial
    aggregation, so only (key, count) pairs are shuffled); a key with at
    least ``min_rows`` rows is hot and gets ``ceil(rows / salt_rows)``
-   salts. The hot set has at most ``rows / min_rows`` keys -- a proven
-   bound, so it may be broadcast.
+   salts. The set holds the ``MOST_HOT`` largest such keys at most -- a
+   bound that does not grow with the data, so it may be broadcast. A key
+   beyond it has at most ``rows / MOST_HOT`` rows and joins unsalted.
 2. Fact rows of a hot key get a deterministic salt in [0, salts) from a
    hash of their own columns (stable under task retries); other rows
    get salt 0. Rows without a key match nothing, so that hash itself is
@@ -33,15 +34,18 @@ from pyspark.sql import functions as F
 # into pieces of about SALT_ROWS fact rows.
 HOT_ROWS = 1_000_000
 SALT_ROWS = 250_000
+MOST_HOT = 100_000
 
 
 def hot_keys(facts: DataFrame, key: str, min_rows: int = HOT_ROWS, salt_rows: int = SALT_ROWS) -> DataFrame:
-    """(key, _salts) for keys with at least ``min_rows`` rows; at most
-    rows/min_rows keys."""
+    """(key, _salts) for keys with at least ``min_rows`` rows; of those the
+    ``MOST_HOT`` largest at most (a partial top-k, no sort of all keys)."""
     return (
         facts.groupBy(key)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_rows") >= min_rows)
+        .orderBy(F.desc("_rows"), key)
+        .limit(MOST_HOT)
         .select(key, F.ceil(F.col("_rows") / F.lit(salt_rows)).cast("long").alias("_salts"))
     )
 

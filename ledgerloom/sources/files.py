@@ -34,6 +34,7 @@ from ledgerloom.schemas import (
     ORDERS_FILE_PREFIX,
     REFUNDS_RAW,
 )
+from ledgerloom.sources.unify import aligned, clash
 
 LAYOUTS = ("daily_files", "month_partitions")
 MONTH_PARTITION = "order_month"
@@ -215,7 +216,10 @@ def split_corrupt(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def union_by_name(*frames: DataFrame) -> DataFrame:
     """Union all by column name; a column missing on one side is null
-    there; duplicates are kept."""
+    there; duplicates are kept. Where frames hold a column under different
+    types, all take the common one first (``unify``)."""
+    if clash(*frames):
+        frames = aligned(*frames)
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
