@@ -6,8 +6,8 @@ executors in parallel (no collect, no per-date loop of jobs):
 * per-day report files are one ``partitionBy('day')`` write; dynamic
   partition overwrite replaces the days being written and keeps the
   other months' days (D25);
-* the all-days report is a directory of part files (no single-task
-  funnel);
+* the all-days report is a directory of part files in the report's order
+  (a range-partitioned sort, no single-task funnel);
 * an empty result leaves an existing table/file untouched unless
   ``replace_empty`` is set (D24).
 """
@@ -80,12 +80,20 @@ def reject_rows(rejects: DataFrame) -> DataFrame:
 
 def write_rejects(rejects: DataFrame, out_dir: str, encoding: str = CSV_ENCODING, replace_empty: bool = False) -> bool:
     """K1: ``<out>/rejects_items.csv`` (comma separated, header), written
-    only when there is at least one reject unless ``replace_empty``."""
+    only when there is at least one reject unless ``replace_empty``. As
+    with tables, the rows are written beside it and asked there (A7)."""
     rows = reject_rows(rejects)
-    if not replace_empty and rows.isEmpty():
-        return False
-    write_csv(rows, f"{out_dir}/{REJECTS_FILE}", sep=",", encoding=encoding)
-    return True
+    spark = rows.sparkSession
+    fresh = f"{out_dir}/.{REJECTS_FILE}-{uuid.uuid4().hex[:12]}"
+    try:
+        write_csv(rows, fresh, sep=",", encoding=encoding)
+        found = spark.read.schema(rows.schema).option("header", True).option("encoding", encoding).csv(fresh)
+        if not replace_empty and found.isEmpty():
+            return False
+        swap_folder(spark, fresh, f"{out_dir}/{REJECTS_FILE}")
+        return True
+    finally:
+        remove_folder(spark, fresh)
 
 
 def write_table(df: DataFrame, path: str, replace_empty: bool = False) -> bool:
@@ -129,15 +137,32 @@ def export_daily_csvs(
 ) -> bool:
     """K2/K3/K4: one file per non-null date under
     ``<out>/daily_summary/day=YYYYMMDD/`` and every row (null dates too)
-    under ``<out>/daily_summary_all.csv/``."""
-    if not replace_empty and report.isEmpty():
-        return False
+    under ``<out>/daily_summary_all.csv/``. The formatted report is
+    written once; the emptiness test and both outputs read that copy, so
+    the plan of the report runs once."""
+    spark = report.sparkSession
     text = formatted_report(report, float_format)
+    staged = f"{out_dir}/.report-{uuid.uuid4().hex[:12]}"
+    try:
+        text.write.parquet(staged)
+        text = spark.read.schema(text.schema).parquet(staged)
+        if not replace_empty and text.isEmpty():
+            return False
+        _write_days(text, out_dir, sep, encoding)
+        # O1: a range-partitioned sort, so the part files in the order of
+        # their names, one after the other, are the sorted report
+        write_csv(text.orderBy("date", "city", "channel"), f"{out_dir}/{DAILY_ALL}", sep, encoding)
+        return True
+    finally:
+        remove_folder(spark, staged)
+
+
+def _write_days(text: DataFrame, out_dir: str, sep: str, encoding: str) -> None:
     # One file per day: the cost of this write is per file, not per byte,
     # so the day shuffle keeps the session's partition count (an explicit
     # count, which AQE does not coalesce) and days are written in
     # parallel instead of all by the one task a small report shrinks to.
-    writers = file_writers(report.sparkSession)
+    writers = file_writers(text.sparkSession)
     per_day = (
         text.where(F.col("date").isNotNull())
         .withColumn(DAY_COLUMN, day_key(F.to_date("date")))
@@ -145,5 +170,3 @@ def export_daily_csvs(
         .sortWithinPartitions(DAY_COLUMN, "city", "channel")
     )
     write_csv(per_day, f"{out_dir}/{DAILY_PREFIX.rstrip('_')}", sep, encoding, partition_by=DAY_COLUMN)
-    write_csv(text, f"{out_dir}/{DAILY_ALL}", sep, encoding)
-    return True
