@@ -12,7 +12,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.scalar import active_flag, parse_date, safe_number, to_double
@@ -158,6 +158,30 @@ def union_evolving(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SRC.union_by_name(old, new)
 
 
+def union_clashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose order id is a number and whose items hold
+    {line_no int, qty text}, united with documents whose order id is text
+    and whose items hold {line_no bigint, qty bigint, status}."""
+    l = T.table(spark, sf_dir, "lineitem")
+    line, qty = F.col("l_linenumber"), F.col("l_quantity").cast("bigint")
+    even = F.col("l_orderkey") % 2 == 0
+
+    def documents(rows: DataFrame, order_id: Column, *fields: Column) -> DataFrame:
+        return rows.groupBy(order_id.alias("order_id")).agg(F.collect_list(F.struct(*fields)).alias("items"))
+
+    old = documents(
+        l.where(even), F.col("l_orderkey").cast("bigint"), line.cast("int").alias("line_no"), qty.cast("string").alias("qty")
+    )
+    new = documents(
+        l.where(~even),
+        F.concat(F.lit("o"), F.col("l_orderkey").cast("string")),
+        line.cast("bigint").alias("line_no"),
+        qty.alias("qty"),
+        F.col("l_linestatus").alias("status"),
+    )
+    return SRC.union_by_name(old, new).select("order_id", F.inline("items"))
+
+
 # ---------------------------------------------------------- lines / filters
 def paid_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """payment_status = 'paid'."""
@@ -382,6 +406,30 @@ def daily_csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return day.unionByName(all_days).where(F.col("line") != header)
 
 
+def sorted_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3/O1: the all-days CSV with the number of each line when its part
+    files are read in the order of their names. Lines are numbered within
+    their file; only the line counts of the files are summed in one task."""
+    out = work_path(spark, "exports", uuid.uuid4().hex[:12])
+    report = _table_chain(spark, sf_dir, sort=False).report
+    K.export_daily_csvs(report, out, replace_empty=True)
+    read = spark.read.text(f"{out}/daily_summary_all.csv").where(F.col("value") != ";".join(report.columns))
+    lines = read.select(F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("nth"), "value")
+    counts = lines.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.select("file", F.coalesce(before, F.lit(0)).alias("start"))
+    numbered = lines.withColumn("own", F.row_number().over(Window.partitionBy("file").orderBy("nth")))
+    return numbered.join(starts, "file").select((F.col("start") + F.col("own")).alias("line_no"), F.col("value").alias("line"))
+
+
+def month_job_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counters that the monthly job returns, as rows."""
+    base = stage_inputs(spark, sf_dir)
+    out = work_path(spark, "jobs", uuid.uuid4().hex[:12])
+    found = run_month(spark, f"{base}/orders", out, *MONTH, layout="month_partitions", side_dir=base, replace_empty=True)
+    return spark.createDataFrame(sorted(found.items()), "metric string, value bigint")
+
+
 def quality_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M1-M4/A4: counters of the chain as (metric, value) rows."""
     heads = T.order_heads(spark, sf_dir)
@@ -427,6 +475,7 @@ def builders() -> dict[str, Builder]:
         "scan_json_month_files": scan_json_month_files,
         "open_schema_lines": open_schema_lines,
         "union_evolving": union_evolving,
+        "union_clashing": union_clashing,
         "paid_orders": paid_orders,
         "explode_lines": explode_lines,
         "explode_lines_outer": explode_lines_outer,
@@ -450,7 +499,9 @@ def builders() -> dict[str, Builder]:
         "daily_city_sales_all_lines": daily_city_sales_all_lines,
         "report_dates": report_dates,
         "daily_csv_export": daily_csv_export,
+        "sorted_csv_lines": sorted_csv_lines,
         "quality_counters": quality_counters,
+        "month_job_counters": month_job_counters,
         "month_job": month_job,
         "month_job_daily_files": month_job_daily_files,
         "landed_orders": landed_orders,

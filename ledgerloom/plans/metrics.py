@@ -1,8 +1,8 @@
 """Data-quality counters (M1-M4, A4).
 
-Inside the job the counters are ``Observation`` metrics attached to the
-frames that are written anyway, so they cost no extra pass: their values
-exist after the write that consumed the frame. For reporting as data,
+The monthly job counts its written tables (``month_job``). ``observed``
+attaches ``Observation`` metrics to a frame that is consumed anyway; a
+retried task may count twice there. For reporting as data,
 ``counters_frame`` returns the same counters as a (metric, value) table
 built from global aggregates (partial count per task, one tiny final).
 """

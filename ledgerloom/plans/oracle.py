@@ -311,6 +311,15 @@ QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY city NULLS LAST, is
                FROM report WHERE date IS NOT NULL
                UNION ALL
                SELECT 'all' AS target, CAST(NULL AS VARCHAR) AS day, {CSV_LINE} AS line FROM report""",
+        "sorted_csv_lines": with_ctes(*LINE_CHAIN, FIRST, *ENRICH_CHAIN, REPORT)
+        + f""" SELECT CAST(row_number() OVER (ORDER BY date NULLS FIRST, city NULLS FIRST, channel NULLS FIRST) AS BIGINT) AS line_no,
+                 {CSV_LINE} AS line FROM report""",
+        "union_clashing": """
+SELECT CASE WHEN l_orderkey % 2 = 0 THEN '' ELSE 'o' END || CAST(l_orderkey AS VARCHAR) AS order_id,
+       CAST(l_linenumber AS BIGINT) AS line_no,
+       CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS qty,
+       CASE WHEN l_orderkey % 2 <> 0 THEN l_linestatus END AS status
+FROM lineitem""",
         "quality_counters": with_ctes(*LINE_CHAIN, FIRST)
         + """ SELECT 'orders_loaded' AS metric, CAST(COUNT(*) AS BIGINT) AS value FROM heads
               UNION ALL SELECT 'orders_paid', COUNT(*) FROM heads WHERE payment_status = 'paid'
@@ -329,6 +338,26 @@ QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY city NULLS LAST, is
         + REPORT_SELECT,
         "landed_orders": with_ctes(HEADS, ITEMS, N_ITEMS) + " SELECT * FROM doc_rows",
     }
+    # the staged month holds one malformed line
+    out["month_job_counters"] = (
+        with_ctes(
+            HEADS.replace("FROM orders)", "FROM orders) , month_heads AS (SELECT * FROM heads WHERE " + IN_MONTH + ")"),
+            ITEMS,
+            LINES.replace("JOIN heads", "JOIN month_heads"),
+            *LINE_CHAIN[3:],
+            FIRST,
+            *ENRICH_CHAIN,
+        )
+        + """ SELECT 'orders_corrupt' AS metric, CAST(1 AS BIGINT) AS value
+              UNION ALL SELECT 'orders_loaded', COUNT(*) FROM month_heads
+              UNION ALL SELECT 'orders_paid', COUNT(*) FROM month_heads WHERE payment_status = 'paid'
+              UNION ALL SELECT 'lines_paid', COUNT(*) FROM paid
+              UNION ALL SELECT 'lines_rejected', COUNT(*) FROM paid WHERE item_unit_price < 0
+              UNION ALL SELECT 'lines_null_price', COUNT(*) FROM paid WHERE item_unit_price IS NULL
+              UNION ALL SELECT 'lines_good', COUNT(*) FROM good
+              UNION ALL SELECT 'lines_kept', COUNT(*) FROM kept
+              UNION ALL SELECT 'orders_enriched', COUNT(*) FROM enriched"""
+    )
     # E1 gives the same report whichever input layout it reads
     out["month_job_daily_files"] = out["month_job"]
     return out
