@@ -32,8 +32,10 @@ MIXED_CUSTOMERS = "customers_mixed.csv"
 
 # Fixed values of the staged fixture: month that receives a malformed file.
 BAD_MONTH = "1997-03"
+# shuffle partitions that the months are dealt to, at least
+MONTH_TASKS = 256
 # bumped whenever the staged layout changes, so old copies are not reused
-LAYOUT_VERSION = "8"
+LAYOUT_VERSION = "9"
 BAD_TEXT = '{"order_id": "broken", "items": [ this is not json'
 
 
@@ -51,10 +53,12 @@ def stage_inputs(spark: SparkSession, sf_dir: str) -> str:
     # an order field that the read schema does not declare (the items hold
     # one too, line_no)
     docs = docs.withColumn(NOTE, F.concat(F.lit("note of "), "customer_id"))
-    # range partitioning keeps each month in few files while a very large
-    # month is still split over several writer tasks (order_id in the key)
+    # dealt by month, then AQE cuts a large month into pieces of its advisory
+    # size and joins small ones: few files a month, several writer tasks for
+    # a large one, and no piece too large to be sorted in memory. A range
+    # partitioning would build the documents twice, once to sample them.
     (
-        docs.repartitionByRange(MONTH_PARTITION, "order_id")
+        docs.hint("rebalance", max(MONTH_TASKS, file_writers(spark)), F.col(MONTH_PARTITION))
         .write.mode("overwrite")
         .partitionBy(MONTH_PARTITION)
         .json(f"{base}/orders")

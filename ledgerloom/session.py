@@ -45,6 +45,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Length of a file, or of all files of a folder (metadata only)."""
+    fs, p = _fs_and_path(spark, path)
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
+
 def fingerprint(spark: SparkSession, *paths: str) -> str:
     """Short key from the length and modification time of input paths, so
     staged copies are rebuilt when the inputs change."""

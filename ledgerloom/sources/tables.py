@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.schemas import NUM
+from ledgerloom.session import path_bytes
+from ledgerloom.sinks.files import file_writers
 
 # Declared schemas of the stand-in tables (only the columns used): the
 # read needs no footer-inference job, and a type change in the files is
@@ -47,6 +49,12 @@ SEGMENT_ACTIVE_TEXT = {
 }
 CREATED_AT_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
+# Nested documents are built in shuffle partitions of about so many bytes of
+# lineitem files (8 MB hold some 400,000 lines, 100 MB while they are sorted
+# and collected); the number of partitions has a bound.
+LINE_BYTES = 8 << 20
+MOST_PARTITIONS = 20_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     reader = spark.read.schema(TABLE_SCHEMAS[name]) if name in TABLE_SCHEMAS else spark.read
@@ -111,6 +119,14 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return item_rows(spark, sf_dir).join(order_heads(spark, sf_dir), "order_id", "inner")
 
 
+def _line_partitions(spark: SparkSession, sf_dir: str) -> int | None:
+    """Shuffle partitions for the lines of all orders, where the session
+    has fewer than their size asks for (else None: the session's)."""
+    wanted = -(-path_bytes(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet") // LINE_BYTES)
+    wanted = min(wanted, MOST_PARTITIONS)
+    return wanted if wanted > file_writers(spark) else None
+
+
 def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested order documents: order fields + ``items`` array.
 
@@ -120,10 +136,17 @@ def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``items`` (left join), which is what the explode variants differ on.
     An order document is bounded by the lines of one order: that is the
     unit of the input format itself.
+
+    Grouping and join sort what they are given, so where the session's
+    partitions would be too large to be sorted in memory, both sides go to
+    more of them (``_line_partitions``), which serve grouping and join.
     """
+    heads, rows = order_heads(spark, sf_dir), item_rows(spark, sf_dir)
+    partitions = _line_partitions(spark, sf_dir)
+    if partitions:
+        heads, rows = (f.repartition(partitions, "order_id") for f in (heads, rows.where(F.col("order_id").isNotNull())))
     items = (
-        item_rows(spark, sf_dir)
-        .groupBy("order_id")
+        rows.groupBy("order_id")
         .agg(
             F.array_sort(
                 F.collect_list(
@@ -138,7 +161,7 @@ def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             ).alias("items")
         )
     )
-    return order_heads(spark, sf_dir).join(items, "order_id", "left")
+    return heads.join(items, "order_id", "left")
 
 
 def customers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
