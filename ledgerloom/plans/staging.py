@@ -17,7 +17,7 @@ interrupted staging is rewritten from scratch (all writes overwrite).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.schemas import CUSTOMERS_FILE, ORDERS_FILE_PREFIX, REFUNDS_FILE
@@ -32,10 +32,10 @@ MIXED_CUSTOMERS = "customers_mixed.csv"
 
 # Fixed values of the staged fixture: month that receives a malformed file.
 BAD_MONTH = "1997-03"
-# shuffle partitions that the months are dealt to, at least
-MONTH_TASKS = 256
+# order documents that one writer task sorts by month (some 20 MB)
+PIECE_DOCS = 50_000
 # bumped whenever the staged layout changes, so old copies are not reused
-LAYOUT_VERSION = "9"
+LAYOUT_VERSION = "10"
 BAD_TEXT = '{"order_id": "broken", "items": [ this is not json'
 
 
@@ -44,25 +44,44 @@ def _stage_base(spark: SparkSession, sf_dir: str) -> str:
     return work_path(spark, "stage", f"v{LAYOUT_VERSION}-{key}")
 
 
+def _month() -> Column:
+    return F.substring("created_at", 1, 7)
+
+
+def _dealt_by_month(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents in partitions of about ``PIECE_DOCS``, month after
+    month: small months share a partition, a large one is cut, so a month is
+    in few files and no partition is too large to be sorted in memory.
+
+    The months' sizes are counted over the order heads (a document each; one
+    row a month reaches the driver). A range partitioning would build the
+    documents twice, once to sample them; a rebalance makes pieces of the
+    session's advisory size, whatever they take in memory."""
+    heads = T.order_heads(spark, sf_dir)
+    sizes = heads.groupBy(_month().alias("of_month")).agg(F.count(F.lit(1)).alias("month_docs")).collect()
+    total, months = 0, []
+    for month, n in sorted(sizes, key=lambda r: (r[0] is None, r[0])):
+        months.append((month, total, n))
+        total += n
+    by_core = -(-total // spark.sparkContext.defaultParallelism)
+    piece = max(1, min(PIECE_DOCS, max(PIECE_DOCS // 25, by_core)), total // max(T.MOST_PARTITIONS, file_writers(spark)))
+    places = spark.createDataFrame(months, "of_month string, first_doc long, month_docs long")
+    place = F.col("first_doc") + F.pmod(F.xxhash64("order_id", "customer_id", "created_at"), F.col("month_docs"))
+    placed = docs.join(F.broadcast(places), F.col(MONTH_PARTITION).eqNullSafe(F.col("of_month")))
+    dealt = placed.repartitionById(max(1, -(-total // piece)), F.floor(place / piece).cast("int"))
+    return dealt.select(*docs.columns)
+
+
 def stage_inputs(spark: SparkSession, sf_dir: str) -> str:
     sf_dir = sf_dir.rstrip("/")
     base = _stage_base(spark, sf_dir)
     if path_exists(spark, f"{base}/refunds.csv/_SUCCESS"):
         return base
-    docs = T.order_documents(spark, sf_dir).withColumn(MONTH_PARTITION, F.substring("created_at", 1, 7))
+    docs = T.order_documents(spark, sf_dir).withColumn(MONTH_PARTITION, _month())
     # an order field that the read schema does not declare (the items hold
     # one too, line_no)
     docs = docs.withColumn(NOTE, F.concat(F.lit("note of "), "customer_id"))
-    # dealt by month, then AQE cuts a large month into pieces of its advisory
-    # size and joins small ones: few files a month, several writer tasks for
-    # a large one, and no piece too large to be sorted in memory. A range
-    # partitioning would build the documents twice, once to sample them.
-    (
-        docs.hint("rebalance", max(MONTH_TASKS, file_writers(spark)), F.col(MONTH_PARTITION))
-        .write.mode("overwrite")
-        .partitionBy(MONTH_PARTITION)
-        .json(f"{base}/orders")
-    )
+    _dealt_by_month(spark, docs, sf_dir).write.mode("overwrite").partitionBy(MONTH_PARTITION).json(f"{base}/orders")
     # appended next to the month's JSON part files (append keeps them)
     spark.range(1).select(F.lit(BAD_TEXT).alias("value")).write.mode("append").text(
         f"{base}/orders/{MONTH_PARTITION}={BAD_MONTH}"

@@ -49,9 +49,11 @@ SEGMENT_ACTIVE_TEXT = {
 }
 CREATED_AT_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
-# Nested documents are built in shuffle partitions of about so many bytes of
-# lineitem files (8 MB hold some 400,000 lines, 100 MB while they are sorted
-# and collected); the number of partitions has a bound.
+# Nested documents are built in shuffle partitions of about so many rows of
+# orders and lineitem (some 80 MB while they are sorted and collected), or of
+# so many bytes of lineitem files where these ask for more partitions; their
+# number has a bound.
+PART_ROWS = 300_000
 LINE_BYTES = 8 << 20
 MOST_PARTITIONS = 20_000
 
@@ -95,20 +97,29 @@ def signed_price(l: DataFrame) -> Column:
     return F.when(neg, -F.col("l_extendedprice")).otherwise(F.col("l_extendedprice"))
 
 
-def item_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def item_rows(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """Flat item lines with the evolving field names of the documents:
     even line numbers use ``qty``/``unit_price``, odd ones
-    ``quantity``/``price`` (the other pair is null)."""
+    ``quantity``/``price`` (the other pair is null). With ``partitions``
+    the lines that have an order id are dealt to so many by it, as narrow
+    rows (a map task holds its rows while it deals them)."""
     l = table(spark, sf_dir, "lineitem")
-    odd = (F.col("l_linenumber") % 2) == 1
-    price = signed_price(l)
-    return l.select(
+    l = l.select(
         F.col("l_orderkey").cast("string").alias("order_id"),
         F.col("l_linenumber").alias("item_pos"),
-        F.when(~odd, F.col("l_quantity")).alias("item_qty"),
-        F.when(odd, F.col("l_quantity")).alias("item_quantity"),
-        F.when(~odd, price).alias("item_unit_price"),
-        F.when(odd, price).alias("item_price"),
+        F.col("l_quantity").alias("quantity"),
+        signed_price(l).alias("price"),
+    )
+    if partitions:
+        l = l.where(F.col("order_id").isNotNull()).repartition(partitions, "order_id")
+    odd = (F.col("item_pos") % 2) == 1
+    return l.select(
+        "order_id",
+        "item_pos",
+        F.when(~odd, F.col("quantity")).alias("item_qty"),
+        F.when(odd, F.col("quantity")).alias("item_quantity"),
+        F.when(~odd, F.col("price")).alias("item_unit_price"),
+        F.when(odd, F.col("price")).alias("item_price"),
     )
 
 
@@ -120,11 +131,17 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _line_partitions(spark: SparkSession, sf_dir: str) -> int | None:
-    """Shuffle partitions for the lines of all orders, where the session
-    has fewer than their size asks for (else None: the session's)."""
-    wanted = -(-path_bytes(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet") // LINE_BYTES)
-    wanted = min(wanted, MOST_PARTITIONS)
-    return wanted if wanted > file_writers(spark) else None
+    """Shuffle partitions for the heads and lines of all orders, where their
+    size asks for more than a task per core or than the session has (else
+    None: the session's). A larger count of the session is not enough: AQE
+    would join its partitions to the advisory size, whatever their rows take
+    in memory. Rows are counted from the files' footers."""
+    rows = sum(table(spark, sf_dir, name).count() for name in ("orders", "lineitem"))
+    size = path_bytes(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet")
+    wanted = max(-(-rows // PART_ROWS), -(-size // LINE_BYTES))
+    session = file_writers(spark)
+    enough = min(session, spark.sparkContext.defaultParallelism)
+    return min(wanted, max(MOST_PARTITIONS, session)) if wanted > enough else None
 
 
 def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,13 +155,14 @@ def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     unit of the input format itself.
 
     Grouping and join sort what they are given, so where the session's
-    partitions would be too large to be sorted in memory, both sides go to
-    more of them (``_line_partitions``), which serve grouping and join.
+    partitions could be too large to be sorted in memory, both sides go to
+    a number of them that follows their rows (``_line_partitions``), which
+    serves grouping and join.
     """
-    heads, rows = order_heads(spark, sf_dir), item_rows(spark, sf_dir)
     partitions = _line_partitions(spark, sf_dir)
+    heads, rows = order_heads(spark, sf_dir), item_rows(spark, sf_dir, partitions)
     if partitions:
-        heads, rows = (f.repartition(partitions, "order_id") for f in (heads, rows.where(F.col("order_id").isNotNull())))
+        heads = heads.repartition(partitions, "order_id")
     items = (
         rows.groupBy("order_id")
         .agg(

@@ -60,3 +60,39 @@ def test_staging_builds_each_document_once(spark, small_tables, monkeypatch):
     for month, n in ((3, 22), (4, 21)):
         clean, bad = split_corrupt(read_orders_month(spark, f"{base}/orders", 1997, month, layout="month_partitions"))
         assert (clean.count(), bad.count()) == (n, int(month == 3))
+
+
+def test_documents_where_the_session_has_many_partitions(spark, small_tables, monkeypatch):
+    """AQE joins the session's partitions to its advisory size, so their
+    number does not bound what a task sorts."""
+    plain = rows(T.order_documents(spark, small_tables))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        assert T._line_partitions(spark, small_tables) is None
+        monkeypatch.setattr(T, "PART_ROWS", 6)
+        wanted = -(-(43 + 125) // 6)
+        assert T._line_partitions(spark, small_tables) == wanted
+        sized = T.order_documents(spark, small_tables)
+        assert sized.rdd.getNumPartitions() == wanted
+        assert rows(sized) == plain
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_months_are_dealt_in_pieces(spark, small_tables, monkeypatch):
+    late = [(k, 1, "O", day, "2-HIGH") for k, day in ((100, None), (101, None), (102, dt.datetime(1998, 1, 1)))]
+    spark.createDataFrame(late, T.TABLE_SCHEMAS["orders"]).write.mode("append").parquet(f"{small_tables}/orders.parquet")
+    monkeypatch.setattr(staging, "PIECE_DOCS", 5)
+    docs = T.order_documents(spark, small_tables).withColumn(staging.MONTH_PARTITION, staging._month())
+    dealt = staging._dealt_by_month(spark, docs, small_tables)
+    assert rows(dealt) == rows(docs)
+    pieces = dealt.groupBy(F.spark_partition_id().alias("part")).agg(F.count("*").alias("n"), F.collect_set(staging.MONTH_PARTITION).alias("months"))
+    found = pieces.collect()
+    assert dealt.rdd.getNumPartitions() == 10 and max(r.n for r in found) < 20
+    assert max(len(r.months) for r in found) <= 2
+    base = staging.stage_inputs(spark, small_tables)
+    written = spark.read.json(f"{base}/orders").where("order_id <> 'broken' or order_id is null").where("_corrupt_record is null")
+    assert written.count() == 46 and written.where("created_at is null").count() == 2
+    names = [p.rsplit("/", 2)[1:] for p in spark.read.text(f"{base}/orders/order_month=1997-04").inputFiles()]
+    assert len(names) > 1
